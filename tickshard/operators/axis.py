@@ -13,9 +13,12 @@ from tickshard.names import AXIS, SHARD
 
 
 def or_fail(value: Column, source: Column, message: str) -> Column:
-    """*value*, or a failed job where *source* holds something *value* could not take."""
+    """*value*, or a failed job where *source* holds something *value* could not take.
+
+    *value* is evaluated once; the check runs only for rows where it is NULL.
+    """
     failure = F.raise_error(F.concat(F.lit(message + ": "), source.cast("string")))
-    return F.when(value.isNotNull() | source.isNull(), value).otherwise(failure)
+    return F.coalesce(value, F.when(source.isNotNull(), failure))
 
 
 def normalize_axis(df: DataFrame, column: str | None = None) -> DataFrame:

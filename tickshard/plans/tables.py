@@ -42,7 +42,8 @@ def shard_width(spark: SparkSession, table: str) -> int:
 
 def location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()
-    return next(row["data_type"] for row in rows if row["col_name"] == "Location")
+    # The last one: a column may be called "Location", too.
+    return [row["data_type"] for row in rows if row["col_name"] == "Location"][-1]
 
 
 def create_table(
@@ -53,10 +54,8 @@ def create_table(
     path: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> None:
-    columns = ", ".join(
-        f"{quoted_column(f.name)} {f.dataType.simpleString()}"
-        for f in [*schema, T.StructField(SHARD, T.LongType())]
-    )
+    nullable = [T.StructField(f.name, f.dataType) for f in schema]
+    columns = T.StructType([*nullable, T.StructField(SHARD, T.LongType())]).toDDL()
     settings = {WIDTH_PROPERTY: str(width), **(extra or {})}
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in settings.items())
     statement = (

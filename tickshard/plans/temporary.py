@@ -8,17 +8,19 @@ creation and carry a lifetime; ``expire_temp`` drops the ones past it.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickshard.functions.clock import instant_micros, require_utc, width_micros
-
 from tickshard.operators.axis import normalize_axis
-from tickshard.operators.schema import hide_internal
+from tickshard.operators.schema import hide_internal, named
 from tickshard.plans.tables import (
     append_rows,
     create_table,
@@ -29,10 +31,13 @@ from tickshard.plans.tables import (
 )
 
 TEMP_DATABASE = "tickshard_temp"
-CREATED_PROPERTY = "tickshard.created.micros"
 TTL_PROPERTY = "tickshard.ttl.micros"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_FOLDER = "tickshard.local.folder"
+DEFAULT_TTL = "1d"
+LEFTOVER_TTL = "7d"  # of a table whose driver was lost while using it
+
+_NAME = re.compile(r"[a-z]+_(\d{20})_[0-9a-f]{32}")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,13 +73,6 @@ def temp_name(spark: SparkSession, kind: str = "tmp") -> str:
     return f"{temp_database(spark)}.{kind}_{created:020d}_{uuid.uuid4().hex}"
 
 
-def lifetime(ttl: str | int | dt.timedelta) -> dict[str, str]:
-    return {
-        CREATED_PROPERTY: str(instant_micros(_now())),
-        TTL_PROPERTY: str(width_micros(ttl)),
-    }
-
-
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """*df* evaluated once into the shared folder; dropped when the block ends."""
@@ -87,11 +85,17 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
 
 
+def storable(df: DataFrame) -> DataFrame:
+    """*df* with untyped NULL columns as text; Parquet has no untyped column."""
+    untyped = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    return df.withColumns({c: F.lit(None).cast("string") for c in untyped}) if untyped else df
+
+
 def materialize(
     df: DataFrame,
     *,
     shard_size: str | int | dt.timedelta = "1d",
-    ttl: str | int | dt.timedelta = "1d",
+    ttl: str | int | dt.timedelta = DEFAULT_TTL,
 ) -> DataFrame:
     """Run *df* once, store it as a temporary table and return the stored rows.
 
@@ -101,15 +105,15 @@ def materialize(
     spark = df.sparkSession
     require_utc(spark)
     width = width_micros(shard_size)
-    rows = hide_internal(normalize_axis(df))
+    rows = storable(hide_internal(normalize_axis(df)))
     name = temp_name(spark)
-    create_table(spark, name, rows.schema, width, extra=lifetime(ttl))
+    create_table(spark, name, rows.schema, width, extra={TTL_PROPERTY: str(width_micros(ttl))})
     try:
         append_rows(spark, name, with_shard(rows, width))
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
         raise
-    return hide_internal(raw_table(spark, name)).select(rows.columns)
+    return raw_table(spark, name).select([named(c) for c in rows.columns])
 
 
 def temp_tables(spark: SparkSession) -> list[str]:
@@ -121,16 +125,18 @@ def temp_tables(spark: SparkSession) -> list[str]:
 def expire_temp(spark: SparkSession, now: dt.datetime | str | None = None) -> list[str]:
     """Drop temporary tables older than their lifetime; returns their names.
 
-    The clock runs from creation, not from the rows' times, so a result about old
-    data lives as long as any other. Tables without a lifetime are left alone.
+    The clock runs from creation, which the name holds, and not from the rows'
+    times, so a result about old data lives as long as any other. Tables without a
+    lifetime of their own, such as a batch a lost driver had staged, get a week.
     """
     moment = instant_micros(_now() if now is None else now)
     dropped = []
     for name in temp_tables(spark):
-        found = properties(spark, name)
-        if CREATED_PROPERTY not in found or TTL_PROPERTY not in found:
+        stamp = _NAME.fullmatch(name.split(".")[-1])
+        if stamp is None:
             continue
-        if moment - int(found[CREATED_PROPERTY]) > int(found[TTL_PROPERTY]):
+        ttl = int(properties(spark, name).get(TTL_PROPERTY, width_micros(LEFTOVER_TTL)))
+        if moment - int(stamp[1]) > ttl:
             spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
             dropped.append(name)
     return dropped
