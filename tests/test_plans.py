@@ -1,0 +1,84 @@
+"""What the plans must and must not contain."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import tickshard as ts
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return ts.normalize_axis(spark.read.parquet(f"{SF}/events.parquet"), "ts")
+
+
+@pytest.fixture(scope="module")
+def table(spark, events):
+    ts.write_dataframe(events, "events_for_plans").compute()
+    return "events_for_plans"
+
+
+def test_time_range_reaches_the_scan(events):
+    text = plan(ts.time_range(events, "2024-01-03", "2024-01-05").select("value"))
+    assert "GreaterThanOrEqual(ts,2024-01-03T00:00)" in text and "LessThan(ts,2024-01-05T00:00)" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in text
+
+
+def test_reader_prunes_shards(spark, table, capsys):
+    df = ts.read_ranges(spark, table=table, column_names=["value"], ranges=[("2024-01-03", "2024-01-05")])
+    df.explain("formatted")
+    text = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull($shard" in text and "PushedFilters: [IsNotNull(`$timestamp`)" in text
+    assert "ReadSchema: struct<$timestamp:timestamp_ntz,value:double>" in text
+    shards = {f.split("shard=")[1].split("/")[0] for f in df.inputFiles()}
+    assert len(shards) == 2
+
+
+def test_statistics_are_a_constant_for_the_rows(events):
+    text = plan(ts.with_global_stats(events, "value"))
+    assert "Join" not in text and "CartesianProduct" not in text
+    assert text.count("Subquery subquery") == 2  # one, named where it is used and where it is defined
+    outer = text.split("Subquery", 1)[0]
+    assert "Exchange" not in outer and "Window" not in text
+
+
+def test_slices_do_not_shuffle(events):
+    text = plan(ts.with_slice(events, 7))
+    assert "Join" not in text and "Exchange" not in text.split("Subquery", 1)[0]
+
+
+def test_bucket_counts_aggregate_before_the_shuffle(events):
+    text = plan(ts.bucket_count(events, "1h", "value"))
+    assert text.count("Exchange") == 1 and "partial_count" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in text
+
+
+def test_asof_moves_rows_once_and_forms_no_pairs(events):
+    left, right = events.select("$timestamp", "user_id"), events.select("$timestamp", "user_id", "value")
+    text = plan(ts.asof_join(left, right, on=["user_id"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    hot = plan(ts.asof_join(left, right.drop("user_id"), hot_rows=10, splits=8))
+    assert "NestedLoop" not in hot and "Cartesian" not in hot and "SinglePartition" not in hot
+
+
+def test_deduplication_joins_are_equi_joins(spark, table, events):
+    from tickshard.plans.rewrite import _match
+
+    keys = ["$timestamp", "event_id"]
+    left, right = spark.table(table), events
+    text = plan(left.join(right, _match(left, right, keys), "left_anti"))
+    assert "NestedLoop" not in text and "HashJoin" in text or "SortMergeJoin" in text
+
+
+def test_write_without_cluster_has_no_shuffle(spark, events):
+    from tickshard.plans.tables import clustered, with_shard
+
+    rows = with_shard(events, 86_400_000_000)
+    assert "Exchange" not in plan(rows)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(clustered(rows))
+    assert rows.select(F.countDistinct("$shard")).first()[0] > 1

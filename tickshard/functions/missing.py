@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickshard.names import quoted_column
+
 
 def is_float(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
@@ -19,4 +21,4 @@ def nan_to_null(df: DataFrame, *columns: str) -> DataFrame:
     """Turn NaN into NULL in *columns* (all float columns when none are named)."""
     floats = [f.name for f in df.schema if is_float(f.dataType)]
     wanted = [c for c in (columns or floats) if c in floats]
-    return df.withColumns({c: null_if_nan(F.col(f"`{c}`")) for c in wanted}) if wanted else df
+    return df.withColumns({c: null_if_nan(F.col(quoted_column(c))) for c in wanted}) if wanted else df

@@ -9,3 +9,8 @@ SLICE = "$slice"  # slice number while a result is cut in time
 
 def is_internal(name: str) -> bool:
     return name.startswith("$") and name != AXIS
+
+
+def quoted_column(name: str) -> str:
+    """*name* as one SQL identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

@@ -110,6 +110,8 @@ def asof_join(
     segments enters each segment as one extra row.
     """
     require_utc(left.sparkSession)
+    if hot_rows is None and not on:
+        raise ValueError("hot_rows=None needs key columns: without them all rows are one key")
     splits = default_splits(left) if splits is None else splits
     keys = [f"k{i}" for i in range(len(on))]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickshard.functions.missing import is_float, null_if_nan
-from tickshard.names import AXIS, is_internal
+from tickshard.names import AXIS, is_internal, quoted_column
 from tickshard.operators.axis import or_fail
 
 # Input type -> stored type. Anything else is not storable.
@@ -29,7 +29,7 @@ _FRACTION = (T.FloatType(), T.DoubleType())
 
 
 def named(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col(quoted_column(name))
 
 
 def stored_type(name: str, data_type: T.DataType) -> T.DataType:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickshard.functions.clock import instant_micros
-from tickshard.names import AXIS, SHARD
+from tickshard.names import AXIS, SHARD, quoted_column
 from tickshard.operators.axis import within
 from tickshard.operators.schema import named
 from tickshard.plans.tables import (
@@ -48,18 +48,22 @@ def truncate_range(table: str, rows: DataFrame) -> None:
             return
         inside = within([(instant_micros(lo), instant_micros(hi) + 1)])
         edges = raw_table(spark, table).where(F.col(SHARD).isin(first, last))
-        kept = edges.where(~inside).select(batch.columns)
+        kept = edges.where(~inside)
 
         written = shards_of(batch)
         covered = {s for s in stored_shards(spark, table) if first <= s <= last}
         replace_shards(
-            spark, table, batch.unionByName(kept), written, covered.difference(written)
+            spark,
+            table,
+            batch.unionByName(kept, allowMissingColumns=True),
+            written,
+            covered.difference(written),
         )
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality on all keys; stays a hash or sort-merge join."""
-    pairs = [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys]
+    pairs = [left[quoted_column(k)].eqNullSafe(right[quoted_column(k)]) for k in keys]
     return reduce(lambda a, b: a & b, pairs)
 
 
@@ -138,7 +142,7 @@ def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
             replace_shards(
                 spark,
                 table,
-                renewed.unionByName(kept.select(batch.columns)),
+                renewed.unionByName(kept, allowMissingColumns=True),
                 set(touched).difference(emptied),
                 emptied,
             )

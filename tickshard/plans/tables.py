@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickshard.functions.clock import shard_of
-from tickshard.names import AXIS, SHARD
+from tickshard.names import AXIS, SHARD, is_internal, quoted_column
 
 WIDTH_PROPERTY = "tickshard.shard.micros"
 PARTITIONS_PER_STATEMENT = 500
@@ -68,10 +68,6 @@ def create_table(
     spark.sql(statement)
 
 
-def quoted_column(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def raw_table(spark: SparkSession, table: str) -> DataFrame:
     """The table with its ``$shard`` column."""
     return spark.table(quoted(table))
@@ -116,9 +112,19 @@ def clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(SHARD)).sortWithinPartitions(SHARD, AXIS)
 
 
+def _in_table_order(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """*rows* with the table's columns in its order; bookkeeping they lack is NULL."""
+    columns = []
+    for field in raw_table(spark, table).schema:
+        absent = field.name not in rows.columns and is_internal(field.name)
+        column = F.lit(None).cast(field.dataType) if absent else F.col(quoted_column(field.name))
+        columns.append(column.alias(field.name))
+    return rows.select(columns)
+
+
 def append_rows(spark: SparkSession, table: str, rows: DataFrame, cluster: bool = True) -> None:
     """Append *rows* (with ``$shard``); files show up when the job commits."""
-    ordered = rows.select([F.col(quoted_column(c)) for c in raw_table(spark, table).columns])
+    ordered = _in_table_order(spark, table, rows)
     (clustered(ordered) if cluster else ordered).write.insertInto(quoted(table))
 
 
@@ -132,9 +138,8 @@ def replace_shards(
     moves partitions in only after every task has finished. The moves and the drop
     are not one atomic step; a reader in between sees some shards old, some new.
     """
-    ordered = rows.select([F.col(quoted_column(c)) for c in raw_table(spark, table).columns])
     (
-        clustered(ordered)
+        clustered(_in_table_order(spark, table, rows))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SHARD)

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickshard.names import BATCH
+from tickshard.names import BATCH, quoted_column
 from tickshard.operators.schema import coerce
-from tickshard.plans.tables import quoted, quoted_column, raw_table, with_shard
+from tickshard.plans.tables import quoted, raw_table, with_shard
 from tickshard.sinks.writer import check_modes, dedup_keys, open_table, prepared, store
 
 
@@ -59,6 +59,7 @@ def write_stream(
     check_modes(push_mode, deduplication_mode)
     stream = checkpoint if name is None else name
     appends = push_mode != "truncate" and not deduplicate
+    caller = df.sparkSession
     seen_first = False
 
     def put(batch: DataFrame, number: int) -> None:
@@ -83,6 +84,8 @@ def write_stream(
             deduplication_mode=deduplication_mode,
             cluster=True,
         )
+        # Batches run in a session of their own; the caller's may have listed old files.
+        caller.catalog.refreshTable(quoted(table))
 
     writer = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     if available_now:
