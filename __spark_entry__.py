@@ -238,6 +238,16 @@ def materialized_slices(spark, sf_dir):
     )
 
 
+def table_slices(spark, sf_dir):
+    """A stored table read as slices without a shuffle."""
+    name = temp_name(spark, "run")
+    ts.write_dataframe(_orders(spark, sf_dir), name, shard_size="30d").compute()
+    read = ts.read_slices(spark, table=name, npartitions=8)
+    return read.groupBy(F.spark_partition_id().alias("slice")).agg(
+        F.count("*").alias("rows"), F.min(AXIS).alias("first"), F.max(AXIS).alias("last")
+    )
+
+
 # -- tables ------------------------------------------------------------------------
 
 
@@ -457,6 +467,7 @@ def queries() -> dict[str, Query]:
         "slice_counts_orders": _slice_counts("orders", "o_orderdate", 8),
         "slice_counts_lineitem": _slice_counts("lineitem", "l_shipdate", 1000),
         "sliced_partitions": sliced_partitions,
+        "table_slices": table_slices,
         "materialized_slices": materialized_slices,
         "write_read_roundtrip": write_read_roundtrip,
         "write_long_history": write_long_history,
@@ -561,6 +572,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT slice, count(*) AS rows, min(o_orderdate) AS first, max(o_orderdate) AS last
             FROM ({_slice_sql("o_orderdate", 8, "SELECT o_orderdate FROM orders")})
             GROUP BY slice""",
+        "table_slices": f"""
+            SELECT slice, count(*) AS rows, min(o_orderdate) AS first, max(o_orderdate) AS last
+            FROM ({_slice_sql("o_orderdate", 8, "SELECT o_orderdate FROM orders")})
+            GROUP BY slice""",
         "materialized_slices": f"""
             SELECT slice, count(*) AS rows, count(before) AS with_before,
                    CAST(sum(CAST(before AS DECIMAL(18, 2))) AS DOUBLE) AS sum_before

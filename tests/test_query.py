@@ -148,3 +148,33 @@ def test_ranges(spark, stored):
     assert ts.read_ranges(spark, table=stored, ranges=[]).count() == 0
     with pytest.raises(TypeError):
         ts.read_ranges(spark, table=stored)
+
+
+@pytest.mark.parametrize("n", [1, 2, 9, 40])
+def test_slices_of_a_table_are_range_reads(spark, stored, n):
+    df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"])
+    assert df.columns == ["$timestamp", "x"] and df.rdd.getNumPartitions() == n
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    rows = df.select(F.spark_partition_id().alias("p"), "x").collect()
+    assert [r.x for r in rows] == list(range(300))
+    span = 299 * 3_600_000_000 + 1
+    assert [r.p for r in rows] == [((i * 3_600_000_000 + 1) * n - 1) // span for i in range(300)]
+
+
+def test_slices_of_a_table_with_gaps_and_hot_slices(spark, table_name):
+    hours = [0] * 3000 + [1, 2, 5000]
+    df = spark.createDataFrame([(START + dt.timedelta(hours=h), i) for i, h in enumerate(hours)],
+                               "`$timestamp` timestamp_ntz, id bigint").repartition(8)
+    ts.write_dataframe(df, table_name, cluster=False).compute()
+    even = ts.read_slices(spark, table=table_name, npartitions=10)
+    sizes = {r.p: r["count"] for r in even.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    assert even.rdd.getNumPartitions() == 10 and sizes == {0: 3002, 9: 1}
+    split = ts.read_slices(spark, table=table_name, npartitions=10, max_partition_rows=1000)
+    assert split.rdd.getNumPartitions() == 9 + 4
+    assert split.exceptAll(df).count() == df.exceptAll(split).count() == 0
+
+
+def test_materialized_rows_without_a_time_are_kept(spark, stored):
+    text = f"""SELECT CASE WHEN x % 3 > 0 THEN `$timestamp` END AS `$timestamp`, x FROM {stored}"""
+    df = ts.query(spark, text, npartitions=4, materialize=True)
+    assert sorted(r.x for r in df.collect()) == list(range(300))

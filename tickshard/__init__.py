@@ -23,6 +23,7 @@ from tickshard.sources import (
     from_pandas,
     query,
     read_ranges,
+    read_slices,
     read_table,
     result_schema,
 )
@@ -46,6 +47,7 @@ __all__ = [
     "partition_by_slice",
     "query",
     "read_ranges",
+    "read_slices",
     "read_table",
     "result_schema",
     "slice_bounds",

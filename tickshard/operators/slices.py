@@ -38,7 +38,7 @@ def _extent(df: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def _slice_number(first: Column, span: Column, n: int) -> Column:
+def slice_number(first: Column, span: Column, n: int) -> Column:
     offset = _wide(micros() - first) + 1
     number = div(offset * F.lit(n).cast("decimal(10,0)") - 1, _wide(span))
     return F.coalesce(number.cast("int"), F.lit(0))
@@ -69,32 +69,40 @@ def with_slice(df: DataFrame, n: int, name: str = SLICE) -> DataFrame:
     check_count(n)
     extent = _extent(df).select(F.struct("first", "span")).scalar()
     first, span = F.col(_EXTENT).getField("first"), F.col(_EXTENT).getField("span")
-    numbered = df.withColumn(_EXTENT, extent).withColumn(name, _slice_number(first, span, n))
+    numbered = df.withColumn(_EXTENT, extent).withColumn(name, slice_number(first, span, n))
     return numbered.drop(_EXTENT)
 
 
+def slice_parts(df: DataFrame, number: Column, n: int, rows: int, max_rows: int) -> list[int]:
+    """Into how many partitions each slice goes, so that none gets over *max_rows* rows.
+
+    Even in time is not even in rows. Only a frame with more than *max_rows* rows can
+    have a slice above it; then a count per slice (n rows) tells.
+    """
+    parts = [1] * n
+    if rows > max_rows:
+        for row in df.groupBy(number.alias(SLICE)).count().collect():
+            parts[row[SLICE]] = -(-row["count"] // max_rows)
+    return parts
+
+
 def partition_by_slice(
     df: DataFrame, n: int, max_rows: int = MAX_PARTITION_ROWS
 ) -> DataFrame:
     """*df* as *n* Spark partitions, one per slice, in time order and sorted inside.
 
-    Even in time is not even in rows. When the frame has more than *max_rows* rows,
-    a count per slice (n rows) tells which slices are too big, and each of those is
-    spread over as many neighbouring partitions as it needs. The spread goes by the
-    number of the task that produced a row: stable when a lost task is run again,
-    and good for rows that are equal in every column, which no key could separate.
+    A slice above *max_rows* rows is spread over as many neighbouring partitions as
+    it needs. The spread goes by the number of the task that produced a row: stable
+    when a lost task is run again, and good for rows that are equal in every column,
+    which no key could separate.
     """
     require_utc(df.sparkSession)
     check_count(n)
     extent = _extent(df, F.count("*").alias("rows")).first()
     if extent["span"] is None:
         return df.repartition(n)
-    number = _slice_number(F.lit(extent["first"]), F.lit(extent["span"]), n)
-
-    parts = [1] * n
-    if extent["rows"] > max_rows:
-        for row in df.groupBy(number.alias(SLICE)).count().collect():
-            parts[row[SLICE]] = -(-row["count"] // max_rows)
+    number = slice_number(F.lit(extent["first"]), F.lit(extent["span"]), n)
+    parts = slice_parts(df, number, n, extent["rows"], max_rows)
     if max(parts) == 1:
         return df.repartitionById(n, number).sortWithinPartitions(AXIS)
 

@@ -51,7 +51,8 @@ def truncate_range(table: str, rows: DataFrame) -> None:
         kept = edges.where(~inside)
 
         written = shards_of(batch)
-        covered = {s for s in stored_shards(spark, table) if first <= s <= last}
+        stored = stored_shards(spark, table)
+        covered = {s for s in stored if s is not None and first <= s <= last}
         replace_shards(
             spark,
             table,

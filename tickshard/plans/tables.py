@@ -18,6 +18,7 @@ from tickshard.names import AXIS, SHARD, is_internal, quoted_column
 
 WIDTH_PROPERTY = "tickshard.shard.micros"
 PARTITIONS_PER_STATEMENT = 500
+NO_SHARD = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name of the NULL partition
 
 
 def quoted(table: str) -> str:
@@ -95,10 +96,12 @@ def shards_of(df: DataFrame) -> list[int]:
     return [row[SHARD] for row in df.select(SHARD).distinct().collect()]
 
 
-def stored_shards(spark: SparkSession, table: str) -> list[int]:
-    """Shards the catalog knows; no data is read."""
+def stored_shards(spark: SparkSession, table: str) -> list[int | None]:
+    """Shards the catalog knows; no data is read. ``None`` stands for rows without a
+    time, which only materialised results can have."""
     rows = spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()
-    return [int(row["partition"].split("=", 1)[1]) for row in rows]
+    values = [row["partition"].split("=", 1)[1] for row in rows]
+    return [None if v == NO_SHARD else int(v) for v in values]
 
 
 def clustered(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tickshard.functions.clock import instant_micros, require_utc, width_micros
 from tickshard.operators.axis import normalize_axis
-from tickshard.operators.schema import hide_internal, named
+from tickshard.operators.schema import hide_internal
 from tickshard.plans.tables import (
     append_rows,
     create_table,
@@ -91,17 +91,13 @@ def storable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in untyped}) if untyped else df
 
 
-def materialize(
+def materialize_table(
     df: DataFrame,
     *,
     shard_size: str | int | dt.timedelta = "1d",
     ttl: str | int | dt.timedelta = DEFAULT_TTL,
-) -> DataFrame:
-    """Run *df* once, store it as a temporary table and return the stored rows.
-
-    For results that are costly to compute (as-of joins, window functions) and
-    read several times. Any Spark type is kept as it is; only the axis is checked.
-    """
+) -> str:
+    """Run *df* once, store the result as a temporary table and return its name."""
     spark = df.sparkSession
     require_utc(spark)
     width = width_micros(shard_size)
@@ -113,7 +109,22 @@ def materialize(
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
         raise
-    return raw_table(spark, name).select([named(c) for c in rows.columns])
+    return name
+
+
+def materialize(
+    df: DataFrame,
+    *,
+    shard_size: str | int | dt.timedelta = "1d",
+    ttl: str | int | dt.timedelta = DEFAULT_TTL,
+) -> DataFrame:
+    """Run *df* once, store it as a temporary table and return the stored rows.
+
+    For results that are costly to compute (as-of joins, window functions) and
+    read several times. Any Spark type is kept as it is; only the axis is checked.
+    """
+    name = materialize_table(df, shard_size=shard_size, ttl=ttl)
+    return hide_internal(raw_table(df.sparkSession, name))
 
 
 def temp_tables(spark: SparkSession) -> list[str]:

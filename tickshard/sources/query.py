@@ -14,6 +14,8 @@ from tickshard.operators.axis import normalize_axis
 from tickshard.operators.schema import declare_schema, hide_internal
 from tickshard.operators.slices import MAX_PARTITION_ROWS, check_count, partition_by_slice
 from tickshard.plans.temporary import materialize as store_result
+from tickshard.plans.temporary import materialize_table
+from tickshard.sources.ranges import read_slices
 
 # Fixed value: the only statements accepted start with this word, in any case.
 _SELECT = re.compile(r"\s*SELECT\b", re.IGNORECASE)
@@ -56,6 +58,7 @@ def query(
     materialize
         Run the statement once into a temporary table and read that. Worth it for
         statements that are costly to run twice, such as joins and window functions.
+        Slices of it are range reads without a shuffle.
     persist
         Keep partitions in memory and on disk when first computed.
 
@@ -68,9 +71,16 @@ def query(
         result = declare_schema(result, schema)
     if AXIS in result.columns or npartitions > 1 or materialize:
         result = normalize_axis(result)
-    if materialize:
+    if materialize and npartitions > 1:
+        result = read_slices(
+            spark,
+            table=materialize_table(result),
+            npartitions=npartitions,
+            max_partition_rows=max_partition_rows,
+        )
+    elif materialize:
         result = store_result(result)
-    if npartitions > 1:
+    elif npartitions > 1:
         result = partition_by_slice(result, npartitions, max_partition_rows)
     return result.persist(StorageLevel.MEMORY_AND_DISK) if persist else result
 

@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickshard.names import AXIS
+from tickshard.functions.clock import instant_micros
+from tickshard.names import AXIS, SHARD
 from tickshard.operators.axis import merged_ranges, within
 from tickshard.operators.schema import hide_internal, named
-from tickshard.plans.tables import raw_table, shard_width
+from tickshard.operators.slices import (
+    MAX_PARTITION_ROWS,
+    check_count,
+    partition_by_slice,
+    slice_number,
+    slice_parts,
+)
+from tickshard.plans.tables import raw_table, shard_width, stored_shards
+
+# Above this many slices one scan per slice costs more to plan than it saves.
+MAX_SCANS = 256
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -33,4 +46,53 @@ def read_ranges(
     rows = raw_table(spark, table).where(within(spans, shard_width(spark, table)))
     if column_names is None:
         return hide_internal(rows)
-    return rows.select(AXIS, *[named(c) for c in column_names if c != AXIS])
+    return rows.select([named(c) for c in dict.fromkeys((AXIS, *column_names))])
+
+
+def _table_extent(spark: SparkSession, table: str) -> tuple[int, int] | None:
+    """First and last instant of a table. The first is in its first shard and the last
+    in its last, so two shards are read however many there are."""
+    shards = stored_shards(spark, table)
+    if not shards or None in shards:
+        return None
+    edges = raw_table(spark, table).where(F.col(SHARD).isin(min(shards), max(shards)))
+    first, last = edges.agg(F.min(AXIS), F.max(AXIS)).first()
+    return None if first is None else (instant_micros(first), instant_micros(last))
+
+
+def read_slices(
+    spark: SparkSession,
+    *,
+    table: str,
+    npartitions: int,
+    column_names: Sequence[str] | None = None,
+    max_partition_rows: int = MAX_PARTITION_ROWS,
+) -> DataFrame:
+    """A stored table as *npartitions* even time slices, one Spark partition each, in
+    time order and sorted inside. No row is shuffled: a slice is a range read that
+    opens the shards it touches, and a slice with more than *max_partition_rows* rows
+    is read by several tasks.
+    """
+    check_count(npartitions)
+    stored = raw_table(spark, table)
+    if column_names is None:
+        columns = [named(c) for c in hide_internal(stored).columns]
+    else:
+        columns = [named(c) for c in dict.fromkeys((AXIS, *column_names))]
+    extent = _table_extent(spark, table)
+    first, span = (0, 0) if extent is None else (extent[0], extent[1] - extent[0] + 1)
+    if span < npartitions or npartitions > MAX_SCANS:
+        return partition_by_slice(stored.select(columns), npartitions, max_partition_rows)
+
+    width = shard_width(spark, table)
+    number = slice_number(F.lit(first), F.lit(span), npartitions)
+    parts = slice_parts(stored, number, npartitions, stored.count(), max_partition_rows)
+
+    # Spark merges a union of single partitions into one partition. An empty scan, of a
+    # shard before the first, keeps the slices apart and adds no partition.
+    slices = [stored.where(F.col(SHARD) == first // width - 1).select(columns)]
+    for i, tasks in enumerate(parts):
+        lo, hi = first + i * span // npartitions, first + (i + 1) * span // npartitions
+        part = stored.where(within([(lo, hi)], width)).select(columns)
+        slices.append(part.coalesce(tasks).sortWithinPartitions(AXIS))
+    return reduce(DataFrame.unionAll, slices)
