@@ -224,12 +224,10 @@ def sliced_partitions(spark, sf_dir):
 
 
 def materialized_slices(spark, sf_dir):
-    """A window query stored once, then read as time slices."""
-    sql = """SELECT `$timestamp`, user_id, event_id,
-                    lag(value) OVER (PARTITION BY user_id ORDER BY `$timestamp`, event_id) AS before
-             FROM {events}"""
+    """The result of a window function stored once, then read as time slices."""
+    sql = "SELECT `$timestamp`, user_id, event_id, before FROM {lagged}"
     read = ts.query(
-        spark, sql, views={"events": _events(spark, sf_dir)}, npartitions=5, materialize=True
+        spark, sql, views={"lagged": window_lag(spark, sf_dir)}, npartitions=5, materialize=True
     )
     return read.groupBy(F.spark_partition_id().alias("slice")).agg(
         F.count("*").alias("rows"),
@@ -401,19 +399,40 @@ def asof_ties(spark, sf_dir):
 
 
 def window_lag(spark, sf_dir):
-    sql = """SELECT `$timestamp`, event_id, user_id, value,
-                    lag(value) OVER (PARTITION BY user_id ORDER BY `$timestamp`, event_id) AS before
-             FROM {events}"""
-    return ts.query(spark, sql, views={"events": _events(spark, sf_dir)})
+    """The value of a user's row before, with the rows of busy users cut into segments."""
+    events = _events(spark, sf_dir).select(AXIS, "event_id", "user_id", "value")
+    return ts.lagged(events, {"before": "value"}, on=["user_id"], order=["event_id"])
+
+
+def window_lag_hot_keys(spark, sf_dir):
+    """The same with every user cut into segments."""
+    events = _events(spark, sf_dir).select(AXIS, "event_id", "user_id", "value")
+    return ts.lagged(
+        events, {"before": "value"}, on=["user_id"], order=["event_id"], hot_rows=20, splits=500
+    )
+
+
+def window_lag_sql(spark, sf_dir):
+    """The plain window in SQL, where no key can be big: the lines of one order."""
+    sql = """SELECT `$timestamp`, l_orderkey, l_linenumber, lag(l_quantity) OVER
+                    (PARTITION BY l_orderkey ORDER BY `$timestamp`, l_linenumber, l_partkey,
+                                  l_suppkey, l_quantity) AS before
+             FROM {lineitem}"""
+    return ts.query(spark, sql, views={"lineitem": _lineitem(spark, sf_dir)})
 
 
 def window_rolling(spark, sf_dir):
-    sql = """SELECT `$timestamp`, event_id, user_id,
-                    row_number() OVER (PARTITION BY user_id ORDER BY `$timestamp`, event_id) AS nth,
-                    count(*) OVER (PARTITION BY user_id ORDER BY `$timestamp`
-                        RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS last_day
-             FROM {events}"""
-    return ts.query(spark, sql, views={"events": _events(spark, sf_dir)})
+    events = _events(spark, sf_dir).select(AXIS, "event_id", "user_id")
+    placed = ts.numbered(events, "nth", on=["user_id"], order=["event_id"])
+    return ts.counted_within(placed, "last_day", "1d", on=["user_id"])
+
+
+def window_rolling_hot_keys(spark, sf_dir):
+    """The same with every key cut into segments; dates have many ties."""
+    orders = _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus")
+    hot = {"on": ["o_orderstatus"], "hot_rows": 100, "splits": 40}
+    placed = ts.numbered(orders, "nth", order=["o_orderkey"], **hot)
+    return ts.counted_within(placed, "last_month", "30d", **hot)
 
 
 # -- streams -----------------------------------------------------------------------
@@ -488,7 +507,10 @@ def queries() -> dict[str, Query]:
         "asof_no_key": asof_no_key,
         "asof_ties": asof_ties,
         "window_lag": window_lag,
+        "window_lag_hot_keys": window_lag_hot_keys,
+        "window_lag_sql": window_lag_sql,
         "window_rolling": window_rolling,
+        "window_rolling_hot_keys": window_rolling_hot_keys,
         "stream_append": stream_append,
     }
 
@@ -656,12 +678,24 @@ def oracle_sql() -> dict[str, str]:
                 SELECT o_orderdate, max(o_totalprice) AS o_totalprice FROM orders GROUP BY 1) r
             ON l.l_shipdate >= r.o_orderdate""",
         "window_lag": _LAG,
+        "window_lag_hot_keys": _LAG,
+        "window_lag_sql": """
+            SELECT l_shipdate AS "$timestamp", l_orderkey, l_linenumber, lag(l_quantity) OVER
+                   (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey,
+                                 l_suppkey, l_quantity) AS before
+            FROM lineitem""",
         "window_rolling": """
             SELECT ts AS "$timestamp", event_id, user_id,
-                   CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER)
-                       AS nth,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nth,
                    count(*) OVER (PARTITION BY user_id ORDER BY ts
                        RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS last_day
             FROM events""",
+        "window_rolling_hot_keys": """
+            SELECT o_orderdate AS "$timestamp", o_orderkey, o_orderstatus,
+                   row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey)
+                       AS nth,
+                   count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate
+                       RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS last_month
+            FROM orders""",
         "stream_append": _ALL_EVENTS,
     }

@@ -6,10 +6,13 @@ from tickshard.operators import (
     asof_join,
     bucket_agg,
     bucket_count,
+    counted_within,
     declare_schema,
     global_stats,
     hide_internal,
+    lagged,
     normalize_axis,
+    numbered,
     partition_by_slice,
     slice_bounds,
     time_range,
@@ -35,15 +38,18 @@ __all__ = [
     "asof_join",
     "bucket_agg",
     "bucket_count",
+    "counted_within",
     "declare_schema",
     "empty_result",
     "expire_temp",
     "from_pandas",
     "global_stats",
     "hide_internal",
+    "lagged",
     "materialize",
     "nan_to_null",
     "normalize_axis",
+    "numbered",
     "partition_by_slice",
     "query",
     "read_ranges",

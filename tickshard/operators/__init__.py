@@ -1,6 +1,7 @@
 from tickshard.operators.asof import asof_join
 from tickshard.operators.axis import normalize_axis, time_range
 from tickshard.operators.buckets import bucket_agg, bucket_count
+from tickshard.operators.running import counted_within, lagged, numbered
 from tickshard.operators.schema import coerce, declare_schema, hide_internal, stored_schema
 from tickshard.operators.slices import partition_by_slice, slice_bounds, with_slice
 from tickshard.operators.stats import global_stats, with_global_stats
@@ -10,10 +11,13 @@ __all__ = [
     "bucket_agg",
     "bucket_count",
     "coerce",
+    "counted_within",
     "declare_schema",
     "global_stats",
     "hide_internal",
+    "lagged",
     "normalize_axis",
+    "numbered",
     "partition_by_slice",
     "slice_bounds",
     "stored_schema",

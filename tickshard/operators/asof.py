@@ -11,14 +11,15 @@ from tickshard.functions.clock import micros, require_utc
 from tickshard.names import AXIS
 from tickshard.operators.schema import named
 from tickshard.operators.segments import (
+    BEFORE_ALL,
     HOT_ROWS,
     HotKeys,
+    carried,
     default_splits,
     find_hot_keys,
     with_segment,
 )
 
-_BEFORE_ALL = -(2**63)
 _CARRIED, _RIGHT, _LEFT = -1, 0, 1  # order of rows at one instant
 
 
@@ -26,37 +27,22 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [named(k).alias(f"k{i}") for i, k in enumerate(keys)]
 
 
-def _carried(right: DataFrame, hot_keys: HotKeys, keys: list[str]) -> DataFrame:
+def _seeds(right: DataFrame, hot_keys: HotKeys, keys: list[str]) -> DataFrame:
     """For each segment of a hot key, the last right row of the segments before it.
-
-    The right side shrinks to one row per hot segment before it moves; the window
-    runs over that table, whose size the number of splits bounds.
-    """
-    spark = right.sparkSession
+    The right side shrinks to one row per segment before anything moves."""
     last = (
         right.where("hot >= 0")
         .groupBy("hot", "segment")
-        .agg(F.max(F.struct("t", "r")).alias("last"))
-    )
-    cells = spark.createDataFrame(
-        [(h, s) for h in hot_keys.cuts for s in range(hot_keys.segment_count(h))],
-        "hot int, segment int",
-    )
-    earlier = (
-        Window.partitionBy("hot").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seeds = (
-        cells.join(last, ["hot", "segment"], "left")
-        .withColumn("last", F.last("last", ignorenulls=True).over(earlier))
-        .where("last IS NOT NULL")
+        .agg(F.max(F.struct("t", "r")).alias("value"))
     )
+    seeds = carried(last, hot_keys, lambda c: F.last(c, ignorenulls=True))
     if hot_keys.table is not None:
         seeds = seeds.join(F.broadcast(hot_keys.table), "hot")
     return seeds.select(
         *keys,
-        F.lit(_BEFORE_ALL).alias("t"),
+        F.lit(BEFORE_ALL).alias("t"),
         F.lit(_CARRIED).alias("side"),
-        F.col("last.r").alias("r"),
+        F.col("carried.r").alias("r"),
         "hot",
         "segment",
     )
@@ -132,7 +118,7 @@ def asof_join(
     )
     left_rows = left.select(
         *_key_columns(left, on),
-        F.coalesce(micros(), F.lit(_BEFORE_ALL)).alias("t"),
+        F.coalesce(micros(), F.lit(BEFORE_ALL)).alias("t"),
         F.lit(_LEFT).alias("side"),
         F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(left.columns)]).alias("l"),
     )
@@ -147,7 +133,7 @@ def asof_join(
         sides = [
             with_segment(left_rows, hot_keys, keys, spread=True),
             _thinned(placed, hot_keys, keys),
-            _carried(placed, hot_keys, keys),
+            _seeds(placed, hot_keys, keys),
         ]
     rows = sides[0]
     for side in sides[1:]:
@@ -158,7 +144,7 @@ def asof_join(
         upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )).where(F.col("side") == _LEFT)
 
-    found = F.when(F.col("t") > _BEFORE_ALL, F.col("m"))
+    found = F.when(F.col("t") > BEFORE_ALL, F.col("m"))
     taken = set(left.columns)
     return matched.select(
         *[F.col("l").getField(f"c{i}").alias(c) for i, c in enumerate(left.columns)],

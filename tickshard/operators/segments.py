@@ -10,19 +10,21 @@ them, which splits even a key whose rows all have the same time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rows a key may have before it is looked at as hot at all.
 HOT_ROWS = 5_000_000
 
+BEFORE_ALL = -(2**63)  # an instant before every other
+
 
 @dataclass
 class HotKeys:
@@ -156,3 +158,26 @@ def with_segment(
     task = F.spark_partition_id() if spread else F.lit(0)
     # Marked non-deterministic so that no inferred filter evaluates it a second time.
     return numbered.withColumn("segment", locate.asNondeterministic()("hot", "t", task))
+
+
+def carried(
+    per_segment: DataFrame, hot_keys: HotKeys, combine: Callable[[str], Column]
+) -> DataFrame:
+    """What each segment of a hot key takes over from the segments before it.
+
+    *per_segment* has ``hot``, ``segment`` and ``value``, one row for each segment that
+    has rows; *combine* folds the values of earlier segments. The result has a row for
+    every segment with something to take over, as ``carried``. This runs over one row
+    per segment, of which there are at most ``2 * splits``.
+    """
+    cells = per_segment.sparkSession.createDataFrame(
+        [(h, s) for h in hot_keys.cuts for s in range(hot_keys.segment_count(h))],
+        "hot int, segment int",
+    )
+    earlier = (
+        Window.partitionBy("hot").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    folded = cells.join(per_segment, ["hot", "segment"], "left").withColumn(
+        "carried", combine("value").over(earlier)
+    )
+    return folded.where("carried IS NOT NULL").select("hot", "segment", "carried")
