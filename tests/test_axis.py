@@ -86,3 +86,13 @@ def test_other_session_zone_is_refused(spark):
             ts.bucket_count(df, "1h")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_sessions_whose_timestamps_have_no_zone(spark):
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        text = spark.createDataFrame([("2024-01-01 10:30:00",)], "t string")
+        df = ts.bucket_count(ts.normalize_axis(text, "t").withColumn("x", F.lit(1)), "1h", "x")
+        assert tuple(df.first()) == (dt.datetime(2024, 1, 1, 10), 1)
+    finally:
+        spark.conf.unset("spark.sql.timestampType")

@@ -152,7 +152,7 @@ def test_ranges(spark, stored):
 
 @pytest.mark.parametrize("n", [1, 2, 9, 40])
 def test_slices_of_a_table_are_range_reads(spark, stored, n):
-    df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"])
+    df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"], scan_rows=0)
     assert df.columns == ["$timestamp", "x"] and df.rdd.getNumPartitions() == n
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     rows = df.select(F.spark_partition_id().alias("p"), "x").collect()
@@ -166,14 +166,19 @@ def test_slices_of_a_table_with_gaps_and_hot_slices(spark, table_name):
     df = spark.createDataFrame([(START + dt.timedelta(hours=h), i) for i, h in enumerate(hours)],
                                "`$timestamp` timestamp_ntz, id bigint").repartition(8)
     ts.write_dataframe(df, table_name, cluster=False).compute()
-    even = ts.read_slices(spark, table=table_name, npartitions=10)
+    even = ts.read_slices(spark, table=table_name, npartitions=10, scan_rows=0)
     sizes = {r.p: r["count"] for r in even.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     assert even.rdd.getNumPartitions() == 10 and sizes == {0: 3002, 9: 1}
-    split = ts.read_slices(spark, table=table_name, npartitions=10, max_partition_rows=1000)
+    split = ts.read_slices(spark, table=table_name, npartitions=10, max_partition_rows=1000, scan_rows=0)
     assert split.rdd.getNumPartitions() == 9 + 4
     assert split.exceptAll(df).count() == df.exceptAll(split).count() == 0
 
 
+def test_slices_of_a_small_table_are_cut_by_a_shuffle(spark, stored):
+    df = ts.read_slices(spark, table=stored, npartitions=6)
+    assert df.rdd.getNumPartitions() == 6 and [r.x for r in df.collect()] == list(range(300))
+
+
 def test_materialized_rows_without_a_time_are_kept(spark, stored):
     text = f"""SELECT CASE WHEN x % 3 > 0 THEN `$timestamp` END AS `$timestamp`, x FROM {stored}"""
     df = ts.query(spark, text, npartitions=4, materialize=True)

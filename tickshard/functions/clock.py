@@ -76,7 +76,7 @@ def instant_literal(micros: int) -> Column:
 
 
 def micros(axis: Column | str = AXIS) -> Column:
-    return F.unix_micros((F.col(axis) if isinstance(axis, str) else axis).cast("timestamp"))
+    return F.unix_micros((F.col(axis) if isinstance(axis, str) else axis).cast("timestamp_ltz"))
 
 
 def from_micros(value: Column) -> Column:

@@ -44,7 +44,7 @@ def normalize_axis(df: DataFrame, column: str | None = None) -> DataFrame:
     if isinstance(kind, (T.TimestampType, T.DateType)):
         return df.withColumn(AXIS, axis.cast("timestamp_ntz"))
     if isinstance(kind, T.StringType):
-        parsed = axis.try_cast("timestamp").cast("timestamp_ntz")
+        parsed = axis.try_cast("timestamp_ltz").cast("timestamp_ntz")
         return df.withColumn(AXIS, or_fail(parsed, axis, "not a timestamp"))
     raise TypeError(f"{AXIS!r} cannot be a time axis: its type is {kind.simpleString()}")
 

@@ -85,7 +85,7 @@ def _converted(field: T.StructField, target: T.DataType) -> Column:
         if isinstance(target, T.BinaryType):
             return column.cast(target)
         if isinstance(target, T.TimestampNTZType):
-            return or_fail(column.try_cast("timestamp").cast(target), column, message)
+            return or_fail(column.try_cast("timestamp_ltz").cast(target), column, message)
         return or_fail(column.try_cast(target), column, message)
     raise TypeError(f"{message}: its type is {source.simpleString()}")
 

@@ -58,7 +58,7 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 def _quantiles(splits: int) -> Column:
     grid = F.lit([i / splits for i in range(1, splits + 1)])
-    return F.percentile_approx("t", grid, F.lit(max(10_000, 20 * splits)))
+    return F.percentile_approx("t", grid, F.lit(max(1_000, 20 * splits)))
 
 
 def _cuts(quantiles: Column, parts: Column, splits: int) -> Column:
@@ -89,8 +89,8 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Hot keys of *times*, a frame of the key columns and a bigint ``t``.
 
-    One counting pass with partial aggregation; a second pass over the hot keys'
-    times only when there are any.
+    One counting pass with partial aggregation (and a bare row count, which Parquet
+    answers from its footers); a pass over the hot keys' times only when there are any.
     """
     spark = times.sparkSession
     if splits < 2:
@@ -98,7 +98,7 @@ def find_hot_keys(
     if not keys:
         return _hot_whole(times, hot_rows, splits)
     counts = times.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    total = times.agg(F.count("*")).scalar()
     limit = F.greatest(F.lit(hot_rows), F.ceil(total / splits))
     schema = T.StructType(
         [*(times.schema[k] for k in keys), T.StructField("n", T.LongType()),

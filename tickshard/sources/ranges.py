@@ -21,8 +21,10 @@ from tickshard.operators.slices import (
 )
 from tickshard.plans.tables import raw_table, shard_width, stored_shards
 
-# Above this many slices one scan per slice costs more to plan than it saves.
+# A scan per slice saves the shuffle but costs planning: it is used for at most so many
+# slices, and for tables with at least so many rows for each of them.
 MAX_SCANS = 256
+SCAN_ROWS = 1_000_000
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -67,11 +69,14 @@ def read_slices(
     npartitions: int,
     column_names: Sequence[str] | None = None,
     max_partition_rows: int = MAX_PARTITION_ROWS,
+    scan_rows: int = SCAN_ROWS,
 ) -> DataFrame:
     """A stored table as *npartitions* even time slices, one Spark partition each, in
-    time order and sorted inside. No row is shuffled: a slice is a range read that
-    opens the shards it touches, and a slice with more than *max_partition_rows* rows
-    is read by several tasks.
+    time order and sorted inside.
+
+    In a table with *scan_rows* rows per slice no row is shuffled: a slice is a range
+    read that opens the shards it touches. A smaller table is cut by a shuffle. A slice
+    with more than *max_partition_rows* rows is read by several tasks.
     """
     check_count(npartitions)
     stored = raw_table(spark, table)
@@ -81,12 +86,14 @@ def read_slices(
         columns = [named(c) for c in dict.fromkeys((AXIS, *column_names))]
     extent = _table_extent(spark, table)
     first, span = (0, 0) if extent is None else (extent[0], extent[1] - extent[0] + 1)
-    if span < npartitions or npartitions > MAX_SCANS:
+    rows = stored.count()
+    few = rows < scan_rows * npartitions or npartitions > MAX_SCANS
+    if few or span < npartitions:
         return partition_by_slice(stored.select(columns), npartitions, max_partition_rows)
 
     width = shard_width(spark, table)
     number = slice_number(F.lit(first), F.lit(span), npartitions)
-    parts = slice_parts(stored, number, npartitions, stored.count(), max_partition_rows)
+    parts = slice_parts(stored, number, npartitions, rows, max_partition_rows)
 
     # Spark merges a union of single partitions into one partition. An empty scan, of a
     # shard before the first, keeps the slices apart and adds no partition.
