@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickshard as ts
+from tickshard.functions import micros
+from tickshard.operators.segments import crowded_cuts, find_hot_keys, with_hot_number, with_segment
 
 START = dt.datetime(2024, 1, 1)
-OPTIONS = [{}, {"hot_rows": 3, "splits": 2}, {"hot_rows": 3, "splits": 7}, {"hot_rows": 1, "splits": 60}]
+OPTIONS = [{}, {"hot_rows": 3, "splits": 2}, {"hot_rows": 1, "splits": 60}]
 
 
 @pytest.fixture(scope="module")
@@ -56,14 +58,50 @@ def test_columns_are_kept(spark, rows):
         ts.numbered(df, "n", on=[])
 
 
-def test_hot_key_is_several_groups(spark):
-    df = spark.range(5000).select(
-        F.timestamp_micros("id").cast("timestamp_ntz").alias("$timestamp"), F.lit("a").alias("k"), "id"
+def crowd(spark, copies, others):
+    """A key with most of its rows at one instant: copies of one row, and other rows."""
+    at = F.lit(START + dt.timedelta(hours=9)).cast("timestamp_ntz")
+    same = spark.range(0, copies, 1, 6).select(at.alias("$timestamp"), F.lit("a").alias("k"),
+                                                F.lit(7).cast("bigint").alias("id"), F.lit(1).cast("bigint").alias("v"))
+    rows = [(t, "a", i, i) for i, t in enumerate([1, 2, 9, 9, 9, 12, 13] * others)]
+    return same.unionByName(frame(spark, rows))
+
+
+@pytest.mark.parametrize("order", [(), ("id",), ("v", "id")])
+def test_crowded_instant_is_split(spark, order):
+    df = crowd(spark, 600, 30)
+    hot = {"on": ["k"], "hot_rows": 5, "splits": 8}
+    places = ts.numbered(df, "n", order=order, **hot).orderBy("n").collect()
+    assert [r.n for r in places] == list(range(1, 811))
+    keys = [(r["$timestamp"], *(r[c] for c in order)) for r in places]
+    assert keys == sorted(keys)
+    lag = ts.lagged(df, {"t": "$timestamp", "x": "id", "y": "v"}, order=order, **hot)
+    pairs = {(r["$timestamp"], *(r[c] for c in order)): set() for r in places}
+    before = [None, *[(r["$timestamp"], *(r[c] for c in order)) for r in places]]
+    for b, r in zip(before, places):
+        pairs[(r["$timestamp"], *(r[c] for c in order))].add(b)
+    for r in lag.collect():
+        values = {"$timestamp": r.t, "id": r.x, "v": r.y}
+        b = None if r.t is None else (r.t, *(values[c] for c in order))
+        assert b in pairs[(r["$timestamp"], *(r[c] for c in order))]
+    assert lag.where("t IS NULL").count() == 1
+    counts = ts.counted_within(df, "n", "3h", **hot)
+    got = {(r["$timestamp"].hour, r.n) for r in counts.collect()}
+    assert got == {(1, 30), (2, 60), (9, 690), (12, 720), (13, 60)} and counts.count() == 810
+
+
+
+
+def test_crowded_instant_goes_to_several_segments(spark):
+    times = crowd(spark, 6000, 10).select(
+        F.col("k").alias("k0"), F.col("id").alias("u"), micros().alias("t")
     )
-    out = ts.numbered(df, "n", on=["k"], hot_rows=100, splits=16)
-    assert out.where("n <> id + 1").count() == 0
-    tasks = out.groupBy(F.spark_partition_id()).count().count()
-    assert tasks >= 1 and "segment" in out._jdf.queryExecution().executedPlan().toString()
+    hot_keys = find_hot_keys(times.select("k0", "t"), ["k0"], 100, 8)
+    rows = with_hot_number(times, hot_keys, ["k0"])
+    for inner in (None, crowded_cuts(rows, hot_keys, 8)):
+        placed = with_segment(rows, hot_keys, spread=True, inner=inner)
+        sizes = [r["count"] for r in placed.groupBy("segment").count().collect()]
+        assert sum(sizes) == 6070 and max(sizes) < 2000
 
 
 @pytest.mark.parametrize("options", OPTIONS[:2])

@@ -17,6 +17,8 @@ from tickshard.operators.segments import (
     carried,
     default_splits,
     find_hot_keys,
+    thinned,
+    with_hot_number,
     with_segment,
 )
 
@@ -48,21 +50,6 @@ def _seeds(right: DataFrame, hot_keys: HotKeys, keys: list[str]) -> DataFrame:
     )
 
 
-def _thinned(right: DataFrame, hot_keys: HotKeys, keys: list[str]) -> DataFrame:
-    """The right side with one row per crowded instant: only the winner can match."""
-    crowded = hot_keys.crowded_instants()
-    if not crowded:
-        return right
-    instants = F.broadcast(right.sparkSession.createDataFrame(crowded, "hot int, t bigint"))
-    winners = (
-        right.join(instants, ["hot", "t"], "left_semi")
-        .groupBy(*keys, "t", "side", "hot", "segment")
-        .agg(F.max("r").alias("r"))
-    )
-    others = right.join(instants, ["hot", "t"], "left_anti")
-    return others.unionByName(winners.select(others.columns))
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -129,10 +116,12 @@ def asof_join(
     sides = [left_rows, right_rows]
     if hot_keys is not None:
         groups += ["hot", "segment"]
-        placed = with_segment(right_rows, hot_keys, keys, spread=False)
+        left_rows = with_hot_number(left_rows, hot_keys, keys)
+        right_rows = with_hot_number(right_rows, hot_keys, keys)
+        placed = with_segment(right_rows, hot_keys, spread=False)
         sides = [
-            with_segment(left_rows, hot_keys, keys, spread=True),
-            _thinned(placed, hot_keys, keys),
+            with_segment(left_rows, hot_keys, spread=True),
+            thinned(placed, hot_keys, keys, F.max("r").alias("r")),
             _seeds(placed, hot_keys, keys),
         ]
     rows = sides[0]

@@ -4,7 +4,11 @@
 cut into time segments (``tickshard.operators.segments``); the function runs inside
 each segment and takes over from the earlier segments what it needs of them: one row
 for a lag, a count for a row number or a rolling count. Other keys go through the
-plain window. Rows of one key at one instant stay together.
+plain window.
+
+Rows of one key at one instant are split further by the first *order* column if that
+is an integer or a time, and freely if there is no *order* or nothing in it tells the
+rows apart.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickshard.functions.clock import micros, require_utc, width_micros
 from tickshard.operators.schema import named
@@ -22,34 +27,65 @@ from tickshard.operators.segments import (
     HOT_ROWS,
     HotKeys,
     carried,
+    crowded_cuts,
     default_splits,
     find_hot_keys,
+    thinned,
+    with_hot_number,
     with_segment,
 )
+from tickshard.plans.temporary import fixed
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _as_integer(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """The first order column as a bigint with its order, if it has one that is."""
+    if not order:
+        return F.lit(0).cast("bigint")
+    kind, column = df.schema[order[0]].dataType, named(order[0])
+    if isinstance(kind, _TIMES):
+        column = micros(column)
+    elif not isinstance(kind, _INTEGERS):
+        return None
+    return F.coalesce(column.cast("bigint"), F.lit(BEFORE_ALL))
 
 
 def _rows(df: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keys as ``k0..``, time as ``t``, order inside one instant as ``o``, the row as ``l``."""
+    """Keys as ``k0..``, time as ``t``, order inside one instant as ``o`` (its first
+    column as ``u``), the row as ``l``."""
     require_utc(df.sparkSession)
     if not on:
         raise ValueError("name at least one key column")
+    first = _as_integer(df, order)
     return df.select(
         *[named(k).alias(f"k{i}") for i, k in enumerate(on)],
         F.coalesce(micros(), F.lit(BEFORE_ALL)).alias("t"),
-        F.struct(F.lit(0), *[named(c) for c in order]).alias("o"),
+        *([] if first is None else [first.alias("u")]),
+        F.struct(F.lit(0).alias("o"), *[named(c).alias(f"o{i}") for i, c in enumerate(order)]).alias(
+            "o"
+        ),
         F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("l"),
     )
 
 
 def _segmented(
-    rows: DataFrame, keys: list[str], hot_rows: int, splits: int | None
+    rows: DataFrame, keys: list[str], order: Sequence[str], hot_rows: int, splits: int | None
 ) -> tuple[DataFrame, HotKeys | None, list[str]]:
     """*rows* with segments where there are hot keys, and the columns of one group."""
     splits = default_splits(rows) if splits is None else splits
     hot_keys = find_hot_keys(rows.select(*keys, "t"), keys, hot_rows, splits)
     if hot_keys is None:
         return rows, None, keys
-    return with_segment(rows, hot_keys, keys, spread=False), hot_keys, [*keys, "hot", "segment"]
+    rows = with_hot_number(rows, hot_keys, keys)
+    crowded = "u" in rows.columns and bool(hot_keys.crowded_instants())
+    inner = crowded_cuts(rows, hot_keys, splits) if crowded and order else None
+    spread = crowded and len(order) <= 1
+    placed = with_segment(rows, hot_keys, spread=spread, inner=inner)
+    # Placed by task number, rows could sit elsewhere when read a second time for what
+    # segments take over; so they are placed once.
+    return (fixed(placed) if spread else placed), hot_keys, [*keys, "hot", "segment"]
 
 
 def _unpacked(df: DataFrame, columns: list[str], *added: Column) -> DataFrame:
@@ -77,7 +113,7 @@ def lagged(
         *[F.col("l").getField(f"c{df.columns.index(old)}").alias(f"v{i}")
           for i, old in enumerate(columns.values())]
     )
-    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, hot_rows, splits)
+    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, order, hot_rows, splits)
     rows = rows.withColumns({"v": values, "seed": F.lit(False)})
     if hot_keys is not None:
         last = (
@@ -96,7 +132,9 @@ def lagged(
             )
         )
         rows = rows.unionByName(seeds, allowMissingColumns=True)
-    ordered = Window.partitionBy(*groups).orderBy("t", F.desc("seed"), "o")
+    # Equal rows may come in any order, but the last of a segment must be the one that
+    # the next segment took over: so the value breaks ties here as it does there.
+    ordered = Window.partitionBy(*groups).orderBy(F.desc("seed"), "t", "o", "v")
     before = rows.withColumn("p", F.lag("v").over(ordered)).where("NOT seed")
     added = [F.col("p").getField(f"v{i}").alias(new) for i, new in enumerate(columns)]
     return _unpacked(before, df.columns, *added)
@@ -113,7 +151,7 @@ def numbered(
 ) -> DataFrame:
     """*df* with the place of each row in its key, from 1, as column *name*."""
     keys = [f"k{i}" for i in range(len(on))]
-    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, hot_rows, splits)
+    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, order, hot_rows, splits)
     counts = rows
     place = F.row_number().over(Window.partitionBy(*groups).orderBy("t", "o")).cast("bigint")
     rows = rows.withColumn("n", place)
@@ -123,6 +161,13 @@ def numbered(
     return _unpacked(rows, df.columns, F.col("n").alias(name))
 
 
+def _with_offset(rows: DataFrame, per_segment: DataFrame, hot_keys: HotKeys) -> DataFrame:
+    """Add to ``n`` the sum of *per_segment* over the earlier segments of the key."""
+    offsets = F.broadcast(carried(per_segment, hot_keys, F.sum))
+    joined = rows.join(offsets, ["hot", "segment"], "left")
+    return joined.withColumn("n", F.col("n") + F.coalesce("carried", F.lit(0)))
+
+
 def counted_within(
     df: DataFrame,
     name: str,
@@ -136,34 +181,37 @@ def counted_within(
     ``[t - width, t]``, the row itself included. A row without a time counts for
     nothing and gets NULL.
 
-    Each row counts from its time and stops counting one microsecond after ``t +
-    width``, so the answer is a running sum of +1 and -1 and no row looks back.
+    Each row is a step of +1 at its time and of -1 one microsecond after ``t + width``;
+    the answer is the sum of the steps up to the row, so no row looks back. In a hot
+    key the steps of a crowded instant are added up before they move, and its rows may
+    go to any segment that starts there.
     """
     keys = [f"k{i}" for i in range(len(on))]
+    splits = default_splits(df) if splits is None else splits
     timed = F.col("t") > BEFORE_ALL
-    starts = _rows(df, on, ()).withColumn("d", timed.cast("bigint"))
-    ends = starts.where(timed).select(
-        *keys,
-        (F.col("t") + F.lit(width_micros(width) + 1)).alias("t"),
-        (-F.col("d")).alias("d"),
-    )
-    both = starts.unionByName(ends, allowMissingColumns=True)
-    rows, hot_keys, groups = _segmented(both, keys, hot_rows, splits)
+    asking = _rows(df, on, ()).select(*keys, "t", F.lit(1).alias("side"), "l")
+    starts = asking.where(timed).select(*keys, "t", F.lit(0).alias("side"), F.lit(1).alias("d"))
+    end = F.col("t") + F.lit(width_micros(width) + 1)
+    ends = starts.select(*keys, end.alias("t"), "side", (-F.col("d")).alias("d"))
+    steps = starts.unionByName(ends).withColumn("d", F.col("d").cast("bigint"))
+
+    times = asking.select(*keys, "t").unionByName(steps.select(*keys, "t"))
+    hot_keys = find_hot_keys(times, keys, hot_rows, splits)
+    groups = list(keys)
+    if hot_keys is not None:
+        groups += ["hot", "segment"]
+        asking = with_segment(with_hot_number(asking, hot_keys, keys), hot_keys, spread=True)
+        steps = with_segment(with_hot_number(steps, hot_keys, keys), hot_keys, spread=False)
+        steps = thinned(steps, hot_keys, keys, F.sum("d").alias("d"))
     upto = (
         Window.partitionBy(*groups)
-        .orderBy("t")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        .orderBy("t", "side")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sums = rows
-    rows = rows.withColumn("n", F.sum("d").over(upto))
+    rows = asking.unionByName(steps, allowMissingColumns=True)
+    rows = rows.withColumn("n", F.coalesce(F.sum("d").over(upto), F.lit(0)))
     if hot_keys is not None:
-        sums = sums.where("hot >= 0").groupBy("hot", "segment").agg(F.sum("d").alias("value"))
-        rows = _with_offset(rows, sums, hot_keys)
-    return _unpacked(rows.where("l IS NOT NULL"), df.columns, F.when(timed, F.col("n")).alias(name))
-
-
-def _with_offset(rows: DataFrame, per_segment: DataFrame, hot_keys: HotKeys) -> DataFrame:
-    """Add to ``n`` the sum of *per_segment* over the earlier segments of the key."""
-    offsets = F.broadcast(carried(per_segment, hot_keys, F.sum))
-    joined = rows.join(offsets, ["hot", "segment"], "left")
-    return joined.withColumn("n", F.col("n") + F.coalesce("carried", F.lit(0)))
+        totals = steps.where("hot >= 0").groupBy("hot", "segment").agg(F.sum("d").alias("value"))
+        rows = _with_offset(rows, totals, hot_keys)
+    answer = F.when(timed, F.col("n")).alias(name)
+    return _unpacked(rows.where(F.col("side") == 1), df.columns, answer)

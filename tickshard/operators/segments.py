@@ -56,9 +56,9 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def _quantiles(splits: int) -> Column:
+def _quantiles(splits: int, column: str = "t") -> Column:
     grid = F.lit([i / splits for i in range(1, splits + 1)])
-    return F.percentile_approx("t", grid, F.lit(max(1_000, 20 * splits)))
+    return F.percentile_approx(column, grid, F.lit(max(1_000, 20 * splits)))
 
 
 def _cuts(quantiles: Column, parts: Column, splits: int) -> Column:
@@ -123,41 +123,104 @@ def find_hot_keys(
     return HotKeys(hot.select(*keys, "hot"), cuts)
 
 
+def crowded_cuts(rows: DataFrame, hot_keys: HotKeys, splits: int) -> dict[int, dict]:
+    """Cut points inside crowded instants, by the column ``u`` of *rows* (with ``hot``).
+
+    An instant with *m* cut points is shared by *m* segments and gets ``m - 1`` inner
+    ones, so there are no more of these than of the others.
+    """
+    shares = [
+        (hot, int(t), int(m))
+        for hot, cuts in hot_keys.cuts.items()
+        for t, m in zip(*np.unique(cuts, return_counts=True))
+        if m > 1
+    ]
+    inner: dict[int, dict] = {}
+    if shares:
+        table = rows.sparkSession.createDataFrame(shares, "hot int, t bigint, parts int")
+        quantiles = (
+            rows.join(F.broadcast(table), ["hot", "t"])
+            .groupBy("hot", "t", "parts")
+            .agg(_quantiles(splits, "u").alias("q"))
+        )
+        cuts = _cuts(F.col("q"), F.col("parts"), splits).alias("cuts")
+        for row in quantiles.select("hot", "t", cuts).collect():
+            inner.setdefault(row["hot"], {})[row["t"]] = np.array(row["cuts"], dtype="int64")
+    return inner
+
+
+def with_hot_number(rows: DataFrame, hot_keys: HotKeys, keys: Sequence[str]) -> DataFrame:
+    """*rows* with ``hot``: the number of its hot key, -1 for other keys."""
+    table = hot_keys.table
+    if table is None:
+        return rows.withColumn("hot", F.lit(0))
+    return rows.join(F.broadcast(table), same_keys(rows, table, keys), "left").select(
+        *[rows[c] for c in rows.columns], F.coalesce("hot", F.lit(-1)).alias("hot")
+    )
+
+
 def with_segment(
-    rows: DataFrame, hot_keys: HotKeys, keys: Sequence[str], spread: bool
+    numbered: DataFrame,
+    hot_keys: HotKeys,
+    *,
+    spread: bool,
+    inner: dict[int, dict] | None = None,
 ) -> DataFrame:
-    """*rows* (key columns and ``t``) with ``hot`` (-1 for other keys) and ``segment``.
+    """Rows (with ``hot`` and ``t``, and ``u`` where *inner* is given) with ``segment``.
 
     A row between cut points goes to the segment between them. A row on an instant
-    with cut points goes to the first segment after the times below it, or with
-    *spread* to any segment up to the last one that starts there. The spread goes by
-    the number of the task, which is the same when a lost task runs again.
+    with cut points goes to the first segment after the times below it. With *inner*
+    cut points, rows of a crowded instant go to its segments in the order of ``u``.
+    With *spread*, rows that are equal so far may go to any segment that is left to
+    them; the spread goes by the number of the task, which is the same when a lost
+    task runs again.
     """
-    cuts = hot_keys.cuts
+    cuts, inner = hot_keys.cuts, inner or {}
+
+    def place(bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many cut points lie below each value, and how many on it."""
+        below = np.searchsorted(bounds, values, side="left")
+        return below, np.searchsorted(bounds, values, side="right") - below
 
     @F.pandas_udf("int")
-    def locate(hot: pd.Series, t: pd.Series, task: pd.Series) -> pd.Series:
-        numbers, instants, tasks = hot.to_numpy(), t.to_numpy(), task.to_numpy()
+    def locate(hot: pd.Series, t: pd.Series, u: pd.Series, task: pd.Series) -> pd.Series:
+        numbers, instants, orders, tasks = (x.to_numpy() for x in (hot, t, u, task))
         segment = np.zeros(len(numbers), dtype="int32")
         for number in np.unique(numbers[numbers >= 0]):
             mine = np.flatnonzero(numbers == number)
-            below = np.searchsorted(cuts[number], instants[mine], side="left")
-            upto = np.searchsorted(cuts[number], instants[mine], side="right")
-            choices = upto - below
-            step = tasks[mine] % np.maximum(choices, 1) + 1 if spread else np.ones_like(choices)
-            segment[mine] = below + np.where(choices > 0, step, 0)
+            below, on = place(cuts[number], instants[mine])
+            step = tasks[mine] % np.maximum(on, 1) if spread else 0
+            segment[mine] = below + np.where(on > 0, step + 1, 0)
+            for instant, bounds in inner.get(number, {}).items():
+                here = instants[mine] == instant
+                rows = mine[here]
+                inner_below, inner_on = place(bounds, orders[rows])
+                step = tasks[rows] % (inner_on + 1) if spread else 0
+                segment[rows] = below[here] + 1 + inner_below + step
         return pd.Series(segment)
 
-    table = hot_keys.table
-    if table is None:
-        numbered = rows.withColumn("hot", F.lit(0))
-    else:
-        numbered = rows.join(F.broadcast(table), same_keys(rows, table, keys), "left").select(
-            *[rows[c] for c in rows.columns], F.coalesce("hot", F.lit(-1)).alias("hot")
-        )
+    order = F.col("u") if inner else F.lit(0).cast("bigint")
     task = F.spark_partition_id() if spread else F.lit(0)
     # Marked non-deterministic so that no inferred filter evaluates it a second time.
-    return numbered.withColumn("segment", locate.asNondeterministic()("hot", "t", task))
+    return numbered.withColumn("segment", locate.asNondeterministic()("hot", "t", order, task))
+
+
+def thinned(
+    placed: DataFrame, hot_keys: HotKeys, keys: Sequence[str], *aggregates: Column
+) -> DataFrame:
+    """*placed* rows with those of each crowded instant folded into one row by
+    *aggregates*, before they move. Other rows pass as they are."""
+    crowded = hot_keys.crowded_instants()
+    if not crowded:
+        return placed
+    instants = F.broadcast(placed.sparkSession.createDataFrame(crowded, "hot int, t bigint"))
+    folded = (
+        placed.join(instants, ["hot", "t"], "left_semi")
+        .groupBy(*keys, "t", "side", "hot", "segment")
+        .agg(*aggregates)
+    )
+    others = placed.join(instants, ["hot", "t"], "left_anti")
+    return others.unionByName(folded)
 
 
 def carried(
