@@ -408,7 +408,7 @@ def window_lag_hot_keys(spark, sf_dir):
     """The same with every user cut into segments."""
     events = _events(spark, sf_dir).select(AXIS, "event_id", "user_id", "value")
     return ts.lagged(
-        events, {"before": "value"}, on=["user_id"], order=["event_id"], hot_rows=20, splits=500
+        events, {"before": "value"}, on=["user_id"], order=["event_id"], hot_rows=20, splits=2000
     )
 
 
@@ -427,12 +427,20 @@ def window_rolling(spark, sf_dir):
     return ts.counted_within(placed, "last_day", "1d", on=["user_id"])
 
 
+def window_number_hot_keys(spark, sf_dir):
+    """Places in a long history per status, with every status cut into segments."""
+    orders = _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus")
+    return ts.numbered(
+        orders, "nth", on=["o_orderstatus"], order=["o_orderkey"], hot_rows=100, splits=40
+    )
+
+
 def window_rolling_hot_keys(spark, sf_dir):
-    """The same with every key cut into segments; dates have many ties."""
+    """Rolling counts with every key cut into segments; dates have many ties."""
     orders = _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus")
-    hot = {"on": ["o_orderstatus"], "hot_rows": 100, "splits": 40}
-    placed = ts.numbered(orders, "nth", order=["o_orderkey"], **hot)
-    return ts.counted_within(placed, "last_month", "30d", **hot)
+    return ts.counted_within(
+        orders, "last_month", "30d", on=["o_orderstatus"], hot_rows=100, splits=40
+    )
 
 
 # -- streams -----------------------------------------------------------------------
@@ -510,6 +518,7 @@ def queries() -> dict[str, Query]:
         "window_lag_hot_keys": window_lag_hot_keys,
         "window_lag_sql": window_lag_sql,
         "window_rolling": window_rolling,
+        "window_number_hot_keys": window_number_hot_keys,
         "window_rolling_hot_keys": window_rolling_hot_keys,
         "stream_append": stream_append,
     }
@@ -690,10 +699,13 @@ def oracle_sql() -> dict[str, str]:
                    count(*) OVER (PARTITION BY user_id ORDER BY ts
                        RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS last_day
             FROM events""",
-        "window_rolling_hot_keys": """
+        "window_number_hot_keys": """
             SELECT o_orderdate AS "$timestamp", o_orderkey, o_orderstatus,
                    row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey)
-                       AS nth,
+                       AS nth
+            FROM orders""",
+        "window_rolling_hot_keys": """
+            SELECT o_orderdate AS "$timestamp", o_orderkey, o_orderstatus,
                    count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate
                        RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS last_month
             FROM orders""",

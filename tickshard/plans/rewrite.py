@@ -22,7 +22,6 @@ from tickshard.plans.tables import (
     in_shards,
     raw_table,
     replace_shards,
-    shards_of,
     stored_shards,
 )
 from tickshard.plans.temporary import staged
@@ -33,6 +32,18 @@ def append_staged(table: str, rows: DataFrame) -> None:
         append_rows(rows.sparkSession, table, batch)
 
 
+def _outline(batch: DataFrame) -> dict[int, tuple[int, int]]:
+    """First and last instant of a staged batch in each of its shards, in microseconds;
+    one row per shard, aggregated before it moves."""
+    rows = batch.groupBy(SHARD).agg(F.min(AXIS), F.max(AXIS)).collect()
+    return {shard: (instant_micros(lo), instant_micros(hi)) for shard, lo, hi in rows}
+
+
+def _span(outline: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+    """The closed range of a batch as a half-open one."""
+    return [(outline[min(outline)][0], outline[max(outline)][1] + 1)] if outline else []
+
+
 def truncate_range(table: str, rows: DataFrame) -> None:
     """Replace everything between the batch's first and last instant (both included).
 
@@ -42,23 +53,21 @@ def truncate_range(table: str, rows: DataFrame) -> None:
     """
     spark = rows.sparkSession
     with staged(rows) as batch:
-        bounds = batch.agg(F.min(AXIS), F.max(AXIS), F.min(SHARD), F.max(SHARD)).first()
-        lo, hi, first, last = bounds
-        if lo is None:
+        outline = _outline(batch)
+        if not outline:
             return
-        inside = within([(instant_micros(lo), instant_micros(hi) + 1)])
+        first, last = min(outline), max(outline)
         edges = raw_table(spark, table).where(F.col(SHARD).isin(first, last))
-        kept = edges.where(~inside)
+        kept = edges.where(~within(_span(outline)))
 
-        written = shards_of(batch)
         stored = stored_shards(spark, table)
         covered = {s for s in stored if s is not None and first <= s <= last}
         replace_shards(
             spark,
             table,
             batch.unionByName(kept, allowMissingColumns=True),
-            written,
-            covered.difference(written),
+            outline,
+            covered.difference(outline),
         )
 
 
@@ -81,17 +90,15 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     return picked.select(columns)
 
 
-def _candidates(table: str, batch: DataFrame, keys: list[str]) -> DataFrame:
+def _candidates(
+    table: str, batch: DataFrame, keys: list[str], outline: dict[int, tuple[int, int]]
+) -> DataFrame:
     """Stored rows that could repeat a key: all of them, or, when the time is part of
     the key, those in the batch's shards and time range."""
     stored = raw_table(batch.sparkSession, table)
     if AXIS not in keys:
         return stored
-    lo, hi = batch.agg(F.min(AXIS), F.max(AXIS)).first()
-    if lo is None:
-        return stored.where(F.lit(False))
-    span = within([(instant_micros(lo), instant_micros(hi) + 1)])
-    return stored.where(in_shards(shards_of(batch)) & span)
+    return stored.where(in_shards(outline) & within(_span(outline)))
 
 
 def append_new(table: str, rows: DataFrame, keys: list[str]) -> None:
@@ -102,7 +109,8 @@ def append_new(table: str, rows: DataFrame, keys: list[str]) -> None:
     big table is then only scanned. Copies of one stored key fold into one row.
     """
     with staged(one_per_key(rows, keys)) as batch:
-        stored = _candidates(table, batch, keys).select([named(k) for k in keys])
+        outline = _outline(batch) if AXIS in keys else {}
+        stored = _candidates(table, batch, keys, outline).select([named(k) for k in keys])
         wanted = batch.select([named(k) for k in keys])
         repeated = stored.join(wanted, _match(stored, wanted, keys), "left_semi").distinct()
         fresh = batch.join(repeated, _match(batch, repeated, keys), "left_anti")
@@ -118,9 +126,10 @@ def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
     """
     spark = rows.sparkSession
     with staged(one_per_key(rows, keys)) as batch:
-        candidates = _candidates(table, batch, keys)
+        outline = _outline(batch)
         wanted = batch.select(*[named(k) for k in keys], F.lit(1).alias("$hit"))
-        probe = candidates.select(*[named(k) for k in keys if k != SHARD], SHARD)
+        probe = _candidates(table, batch, keys, outline)
+        probe = probe.select(*[named(k) for k in keys], SHARD)
         matches = (
             probe.join(wanted, _match(probe, wanted, keys), "left")
             .groupBy(probe[SHARD])
@@ -130,15 +139,14 @@ def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
         )
         touched = [row[SHARD] for row in matches]
         if touched:
-            arriving = set(shards_of(batch.where(in_shards(touched))))
             emptied = [
                 row[SHARD]
                 for row in matches
-                if row["hits"] == row["seen"] and row[SHARD] not in arriving
+                if row["hits"] == row["seen"] and row[SHARD] not in outline
             ]
             stored = raw_table(spark, table).where(in_shards(touched))
-            wanted = batch.select([named(k) for k in keys])
-            kept = stored.join(wanted, _match(stored, wanted, keys), "left_anti")
+            keyed = batch.select([named(k) for k in keys])
+            kept = stored.join(keyed, _match(stored, keyed, keys), "left_anti")
             renewed = batch.where(in_shards(touched))
             replace_shards(
                 spark,
@@ -147,4 +155,5 @@ def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
                 set(touched).difference(emptied),
                 emptied,
             )
-        append_rows(spark, table, batch.where(~in_shards(touched)))
+        if set(outline).difference(touched):
+            append_rows(spark, table, batch.where(~in_shards(touched)))

@@ -92,10 +92,6 @@ def in_shards(shards: Iterable[int]) -> Column:
     return predicate
 
 
-def shards_of(df: DataFrame) -> list[int]:
-    return [row[SHARD] for row in df.select(SHARD).distinct().collect()]
-
-
 def stored_shards(spark: SparkSession, table: str) -> list[int | None]:
     """Shards the catalog knows; no data is read. ``None`` stands for rows without a
     time, which only materialised results can have."""
