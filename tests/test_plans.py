@@ -82,3 +82,19 @@ def test_write_without_cluster_has_no_shuffle(spark, events):
     assert "Exchange" not in plan(rows)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(clustered(rows))
     assert rows.select(F.countDistinct("$shard")).first()[0] > 1
+
+
+def test_a_hot_shard_is_written_by_several_tasks(spark, table_name, tmp_path):
+    """All rows are copies of one row; the write still splits them."""
+    rows = spark.range(0, 400_000, 1, 16).select(
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("$timestamp"), F.lit("x" * 40).alias("s")
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "8k")
+    try:
+        ts.write_dataframe(rows, table_name, path=str(tmp_path / "t")).compute()
+    finally:
+        spark.conf.set(setting, before)
+    assert len(list((tmp_path / "t").glob("*/*.parquet"))) > 3
+    assert ts.read_table(spark, table_name).count() == 400_000

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickshard.names import BATCH, quoted_column
+from tickshard.names import BATCH, SHARD, quoted_column
 from tickshard.operators.schema import coerce
-from tickshard.plans.tables import quoted, raw_table, with_shard
+from tickshard.plans.tables import in_shards, quoted, raw_table, with_shard
 from tickshard.sinks.writer import check_modes, dedup_keys, open_table, prepared, store
 
 
@@ -21,8 +21,11 @@ def _tagged(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({quoted_column(BATCH)} string)")
 
 
-def _stored_before(spark: SparkSession, table: str, tag: str) -> bool:
-    return not raw_table(spark, table).where(F.col(BATCH) == tag).isEmpty()
+def _stored_before(table: str, rows: DataFrame, tag: str) -> bool:
+    """Whether *table* has rows of batch *tag*; only the batch's own shards are searched."""
+    shards = [row[SHARD] for row in rows.select(SHARD).distinct().collect()]
+    stored = raw_table(rows.sparkSession, table).where(in_shards(shards))
+    return not stored.where(F.col(BATCH) == tag).isEmpty()
 
 
 def write_stream(
@@ -71,14 +74,15 @@ def write_stream(
         )
         _tagged(spark, table)
         tag = f"{stream}#{number}"
-        repeated = appends and not made and not seen_first and _stored_before(spark, table, tag)
+        typed = coerce(rows, schema, infer_types).withColumn(BATCH, F.lit(tag))
+        typed = with_shard(typed, width)
+        check = appends and not made and not seen_first
         seen_first = True
-        if repeated:
+        if check and _stored_before(table, typed, tag):
             return
-        typed = coerce(rows, schema, infer_types).withColumn(BATCH, F.lit(tag))
         store(
             table,
-            with_shard(typed, width),
+            typed,
             push_mode=push_mode,
             keys=dedup_keys(deduplicate, schema),
             deduplication_mode=deduplication_mode,
