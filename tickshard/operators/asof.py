@@ -74,9 +74,9 @@ def asof_join(
         the right row's time is *matched_at*.
     hot_rows, splits
         A key with more than *hot_rows* rows and more than one *splits*-th of all
-        rows is cut into time segments (``tickshard.operators.segments``). Finding
-        those keys takes one pass over the key columns; ``hot_rows=None`` skips it
-        for keys known to be small.
+        rows is cut into time segments (``tickshard.operators.segments``). Looking
+        for those keys counts the rows, and samples them if they are many;
+        ``hot_rows=None`` skips it for keys known to be small.
 
     Both sides move once, by key and segment, and each left row takes the last right
     row before it in its segment: no pairs are formed. The last right row of earlier

@@ -1,11 +1,15 @@
 """Cutting hot keys into time segments, so that no task gets a whole hot key.
 
-A key is hot when it has more rows than a threshold of at least ``total / splits``;
-there are then at most ``splits`` hot keys, so what is collected and broadcast here
-(hot keys and their cut points, at most ``2 * splits`` of them) is bounded by a
-setting and not by the data. Cut points are quantiles of the key's times. Where one
-instant holds several quantiles, its rows may go to any of the segments between
-them, which splits even a key whose rows all have the same time.
+A key is hot when it has more rows than a limit of at least ``total / splits``, so
+there can be at most ``splits`` hot keys: what is collected and broadcast here (hot
+keys and their cut points, about ``2 * splits`` of them) is bounded by a setting and
+not by the data. Cut points are quantiles of the key's times. Where one instant holds
+several quantiles, its rows may go to any of the segments between them, which splits
+even a key whose rows all have the same time.
+
+Hot keys and cut points come from a sample, as those of a range partitioning do. The
+sample only decides where to cut: every row is placed, and a key that is missed or cut
+unevenly gives the same result.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from pyspark.sql import types as T
 # Rows a key may have before it is looked at as hot at all.
 HOT_ROWS = 5_000_000
 
+# Sampled rows that stand for one segment; a limit below it is looked at in full.
+SAMPLED_ROWS = 200
+
 BEFORE_ALL = -(2**63)  # an instant before every other
 
 
@@ -32,17 +39,19 @@ class HotKeys:
 
     table: DataFrame | None  # key columns and "hot" (the number); None: one key for all rows
     cuts: dict[int, np.ndarray]
+    share: float  # of the rows that were sampled
 
     def segment_count(self, hot: int) -> int:
         return len(self.cuts[hot]) + 1
 
-    def crowded_instants(self) -> list[tuple[int, int]]:
-        """(hot key number, instant) where an instant holds more than one cut point."""
-        found = []
-        for hot, cuts in self.cuts.items():
-            instants, counts = np.unique(cuts, return_counts=True)
-            found += [(hot, int(t)) for t in instants[counts > 1]]
-        return found
+    def crowded_instants(self) -> list[tuple[int, int, int]]:
+        """(hot key number, instant, cut points) where an instant holds several."""
+        return [
+            (hot, int(instant), int(count))
+            for hot, cuts in self.cuts.items()
+            for instant, count in zip(*np.unique(cuts, return_counts=True))
+            if count > 1
+        ]
 
 
 def default_splits(df: DataFrame) -> int:
@@ -69,58 +78,38 @@ def _cuts(quantiles: Column, parts: Column, splits: int) -> Column:
     )
 
 
-def _parts(rows: Column, limit: Column, splits: int) -> Column:
-    return F.least(F.ceil(rows / limit), F.lit(splits)).cast("int")
-
-
-def _hot_whole(times: DataFrame, hot_rows: int, splits: int) -> HotKeys | None:
-    """All rows as one key: counted and cut in a single pass."""
-    found = times.agg(F.count("*").alias("n"), _quantiles(splits).alias("q"))
-    limit = F.greatest(F.lit(hot_rows), F.ceil(F.col("n") / splits))
-    cut = found.where(F.col("n") > limit).select(
-        _cuts(F.col("q"), _parts(F.col("n"), limit, splits), splits)
-    )
-    row = cut.first()
-    return None if row is None else HotKeys(None, {0: np.array(row[0], dtype="int64")})
+def _sample(rows: DataFrame, share: float) -> DataFrame:
+    return rows if share >= 1 else rows.sample(share, seed=1)
 
 
 def find_hot_keys(
     times: DataFrame, keys: Sequence[str], hot_rows: int, splits: int
 ) -> HotKeys | None:
-    """Hot keys of *times*, a frame of the key columns and a bigint ``t``.
+    """Hot keys of *times*, a frame of the key columns and a bigint ``t``; without key
+    columns all rows are one key.
 
-    One counting pass with partial aggregation (and a bare row count, which Parquet
-    answers from its footers); a pass over the hot keys' times only when there are any.
+    Takes a row count, and one pass over a sample when the frame is large enough to
+    have a hot key at all.
     """
-    spark = times.sparkSession
-    if splits < 2:
+    total = times.count()
+    limit = max(hot_rows, -(-total // splits))
+    if total <= limit:
         return None
-    if not keys:
-        return _hot_whole(times, hot_rows, splits)
-    counts = times.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = times.agg(F.count("*")).scalar()
-    limit = F.greatest(F.lit(hot_rows), F.ceil(total / splits))
-    schema = T.StructType(
-        [*(times.schema[k] for k in keys), T.StructField("n", T.LongType()),
-         T.StructField("limit", T.LongType())]
+    share = min(1.0, SAMPLED_ROWS / limit)
+    counted = _sample(times, share).groupBy(*keys).agg(
+        F.count("*").alias("n"), _quantiles(splits).alias("q")
     )
-    found = counts.withColumn("limit", limit).where("n > limit").collect()
+    parts = F.least(F.ceil(F.col("n") / (limit * share)), F.lit(splits)).cast("int")
+    hot = counted.where(F.col("n") > limit * share)
+    found = hot.select(*keys, _cuts(F.col("q"), parts, splits).alias("cuts")).collect()
     if not found:
         return None
-
-    numbered = [(*row, number) for number, row in enumerate(found)]
-    hot = spark.createDataFrame(numbered, schema.add("hot", T.IntegerType()))
-    hot = hot.withColumn("parts", _parts(F.col("n"), F.col("limit"), splits))
-
-    of_hot = times.join(F.broadcast(hot), same_keys(times, hot, keys)).select("hot", "parts", "t")
-    quantiles = of_hot.groupBy("hot", "parts").agg(_quantiles(splits).alias("q"))
-    cuts = {
-        row["hot"]: np.array(row["cuts"], dtype="int64")
-        for row in quantiles.select(
-            "hot", _cuts(F.col("q"), F.col("parts"), splits).alias("cuts")
-        ).collect()
-    }
-    return HotKeys(hot.select(*keys, "hot"), cuts)
+    cuts = {number: np.array(row["cuts"], dtype="int64") for number, row in enumerate(found)}
+    if not keys:
+        return HotKeys(None, cuts, share)
+    schema = T.StructType([*(times.schema[k] for k in keys), T.StructField("hot", T.IntegerType())])
+    numbered = [(*(row[k] for k in keys), number) for number, row in enumerate(found)]
+    return HotKeys(times.sparkSession.createDataFrame(numbered, schema), cuts, share)
 
 
 def crowded_cuts(rows: DataFrame, hot_keys: HotKeys, splits: int) -> dict[int, dict]:
@@ -129,17 +118,13 @@ def crowded_cuts(rows: DataFrame, hot_keys: HotKeys, splits: int) -> dict[int, d
     An instant with *m* cut points is shared by *m* segments and gets ``m - 1`` inner
     ones, so there are no more of these than of the others.
     """
-    shares = [
-        (hot, int(t), int(m))
-        for hot, cuts in hot_keys.cuts.items()
-        for t, m in zip(*np.unique(cuts, return_counts=True))
-        if m > 1
-    ]
+    crowded = hot_keys.crowded_instants()
     inner: dict[int, dict] = {}
-    if shares:
-        table = rows.sparkSession.createDataFrame(shares, "hot int, t bigint, parts int")
+    if crowded:
+        table = rows.sparkSession.createDataFrame(crowded, "hot int, t bigint, parts int")
         quantiles = (
-            rows.join(F.broadcast(table), ["hot", "t"])
+            _sample(rows.select("hot", "t", "u"), hot_keys.share)
+            .join(F.broadcast(table), ["hot", "t"])
             .groupBy("hot", "t", "parts")
             .agg(_quantiles(splits, "u").alias("q"))
         )
@@ -210,7 +195,7 @@ def thinned(
 ) -> DataFrame:
     """*placed* rows with those of each crowded instant folded into one row by
     *aggregates*, before they move. Other rows pass as they are."""
-    crowded = hot_keys.crowded_instants()
+    crowded = [(hot, instant) for hot, instant, _ in hot_keys.crowded_instants()]
     if not crowded:
         return placed
     instants = F.broadcast(placed.sparkSession.createDataFrame(crowded, "hot int, t bigint"))
