@@ -100,7 +100,7 @@ def test_hot_keys_are_few_and_their_segments_even(spark):
     cuts = [0, *hot.cuts[0], 40_000]
     assert all(1000 < b - a < 3000 for a, b in zip(cuts, cuts[1:]))
     assert find_hot_keys(times, ["k0"], 50_000, 50) is None
-    assert find_hot_keys(times, [], 50_000, 50).segment_count(0) == 2
+    assert find_hot_keys(times, [], 50_000, 50).segment_count(0) in (2, 3)
     assert find_hot_keys(times, [], 100_000, 50) is None
 
 
