@@ -78,14 +78,20 @@ def test_missing_axis_or_wrong_type(spark):
         ts.normalize_axis(both, "other")
 
 
-def test_other_session_zone_is_refused(spark):
-    df = stamps(spark, LO)
+def test_other_session_zones(spark):
+    """Buckets do not depend on the zone; what would is refused."""
+    df = stamps(spark, LO, dt.datetime(2024, 3, 31, 2, 30), dt.datetime(1969, 12, 31, 23, 59))
+    expected = {(LO,), (dt.datetime(2024, 3, 31, 2),), (dt.datetime(1969, 12, 31, 23),)}
     spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
     try:
+        buckets = ts.bucket_count(df, "1h", "$timestamp").select("$timestamp").collect()
         with pytest.raises(ValueError, match="UTC"):
-            ts.bucket_count(df, "1h")
+            ts.with_slice(df, 3)
+        with pytest.raises(ValueError, match="UTC"):
+            ts.write_dataframe(df, "never_made").compute()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert set(map(tuple, buckets)) == expected
 
 
 def test_sessions_whose_timestamps_have_no_zone(spark):

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickshard.functions.clock import floor_to, from_micros, micros, require_utc, width_micros
+from tickshard.functions.clock import width_micros
 from tickshard.names import AXIS
 from tickshard.operators.schema import named
 
@@ -16,17 +16,15 @@ def bucket_agg(df: DataFrame, width: str | int | dt.timedelta, *aggregates: Colu
     """Aggregates per bucket; ``$timestamp`` of the result is the bucket's start.
 
     Buckets are multiples of *width* from 1970-01-01 UTC, also before it. Only
-    buckets that hold rows appear. The key is one bigint and aggregation is
+    buckets that hold rows appear. The key is one timestamp and aggregation is
     partial before the shuffle, so what moves is one row per task and bucket
-    however many rows fall into a single bucket.
+    however many rows fall into a single bucket. ``window`` works on NTZ time as it
+    is, without a detour over the session zone.
     """
-    require_utc(df.sparkSession)
-    start = floor_to(micros(), width_micros(width))
-    counted = (
-        df.where(F.col(AXIS).isNotNull()).groupBy(start.alias("bucket")).agg(*aggregates)
-    )
+    start = F.window(F.col(AXIS), f"{width_micros(width)} microseconds").getField("start")
+    counted = df.where(F.col(AXIS).isNotNull()).groupBy(start.alias("bucket")).agg(*aggregates)
     values = [named(c) for c in counted.columns if c != "bucket"]
-    return counted.select(from_micros(F.col("bucket")).alias(AXIS), *values)
+    return counted.select(F.col("bucket").alias(AXIS), *values)
 
 
 def bucket_count(df: DataFrame, width: str | int | dt.timedelta, *columns: str) -> DataFrame:
