@@ -203,8 +203,8 @@ def _slice_counts(table: str, axis: str, n: int) -> Query:
 
 def _slice_sql(axis: str, n: int, rows: str) -> str:
     return f"""
-        SELECT r.*, CAST(((epoch_us({axis}) - lo + 1)::HUGEINT * {n} - 1) // (hi - lo + 1) AS INTEGER)
-               AS slice
+        SELECT r.*, CAST(((epoch_us({axis}) - lo + 1)::HUGEINT * {n} - 1) // (hi - lo + 1)
+                         AS INTEGER) AS slice
         FROM ({rows}) r,
              (SELECT min(epoch_us({axis})) AS lo, max(epoch_us({axis})) AS hi FROM ({rows}) s) b"""
 

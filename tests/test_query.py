@@ -150,6 +150,15 @@ def test_ranges(spark, stored):
         ts.read_ranges(spark, table=stored)
 
 
+def test_read_request(spark, stored):
+    request = {"table": stored, "ranges": [(START, START + dt.timedelta(hours=3))], "column_names": ["y", "x"]}
+    df = ts.read_request(spark, request)
+    assert df.columns == ["$timestamp", "y", "x"] and df.count() == 3
+    for key in request:
+        with pytest.raises(KeyError, match=key):
+            ts.read_request(spark, {k: v for k, v in request.items() if k != key})
+
+
 @pytest.mark.parametrize("n", [1, 2, 9, 40])
 def test_slices_of_a_table_are_range_reads(spark, stored, n):
     df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"], scan_rows=0)

@@ -26,6 +26,7 @@ from tickshard.sources import (
     from_pandas,
     query,
     read_ranges,
+    read_request,
     read_slices,
     read_table,
     result_schema,
@@ -53,6 +54,7 @@ __all__ = [
     "partition_by_slice",
     "query",
     "read_ranges",
+    "read_request",
     "read_slices",
     "read_table",
     "result_schema",

@@ -21,4 +21,6 @@ def nan_to_null(df: DataFrame, *columns: str) -> DataFrame:
     """Turn NaN into NULL in *columns* (all float columns when none are named)."""
     floats = [f.name for f in df.schema if is_float(f.dataType)]
     wanted = [c for c in (columns or floats) if c in floats]
-    return df.withColumns({c: null_if_nan(F.col(quoted_column(c))) for c in wanted}) if wanted else df
+    if not wanted:
+        return df
+    return df.withColumns({c: null_if_nan(F.col(quoted_column(c))) for c in wanted})

@@ -59,13 +59,12 @@ def _rows(df: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
     if not on:
         raise ValueError("name at least one key column")
     first = _as_integer(df, order)
+    places = [F.lit(0).alias("o"), *[named(c).alias(f"o{i}") for i, c in enumerate(order)]]
     return df.select(
         *[named(k).alias(f"k{i}") for i, k in enumerate(on)],
         F.coalesce(micros(), F.lit(BEFORE_ALL)).alias("t"),
         *([] if first is None else [first.alias("u")]),
-        F.struct(F.lit(0).alias("o"), *[named(c).alias(f"o{i}") for i, c in enumerate(order)]).alias(
-            "o"
-        ),
+        F.struct(*places).alias("o"),
         F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("l"),
     )
 

@@ -15,7 +15,7 @@ from tickshard.functions.clock import div, from_micros, micros, require_utc
 from tickshard.names import AXIS, SLICE
 
 # A slice above this many rows is read by several tasks instead of one.
-MAX_PARTITION_ROWS = 20_000_000
+MAX_PARTITION_ROWS = 10_000_000
 
 _EXTENT = "$extent"
 

@@ -18,9 +18,7 @@ def _spark_type(name: str, values: pd.Series) -> T.DataType:
         return T.LongType()
     if kinds.is_float_dtype(dtype):
         return T.DoubleType()
-    if isinstance(dtype, pd.DatetimeTZDtype):
-        return T.TimestampType()
-    if kinds.is_datetime64_dtype(dtype):
+    if kinds.is_datetime64_any_dtype(dtype):
         return T.TimestampNTZType()
     if kinds.is_object_dtype(dtype) or kinds.is_string_dtype(dtype):
         found = {type(v) for v in values if not pd.isna(v)}
@@ -35,9 +33,9 @@ def _spark_type(name: str, values: pd.Series) -> T.DataType:
 def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
     """A local frame as a DataFrame with the axis as a column.
 
-    A time index becomes ``$timestamp``. Half floats widen, bytes stay binary,
-    missing values of every kind become NULL, and times lose what is finer than a
-    microsecond. A frame without ``$timestamp`` and without a time index is a
+    A time index becomes ``$timestamp``. Half floats widen, bytes stay binary, zoned
+    times become UTC, missing values of every kind become NULL, and times lose what is
+    finer than a microsecond. A frame without ``$timestamp`` and without a time index is a
     ``ValueError``.
     """
     timed = kinds.is_datetime64_any_dtype(frame.index.dtype)
@@ -55,6 +53,8 @@ def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DoubleType):
             values = values.astype("float64")
         elif isinstance(field.dataType, T.TimestampNTZType):
+            if isinstance(values.dtype, pd.DatetimeTZDtype):
+                values = values.dt.tz_convert("UTC").dt.tz_localize(None)
             values = values.astype("datetime64[us]")
         elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
             values = values.astype(object).where(values.notna(), None)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +51,16 @@ def read_ranges(
     return rows.select([named(c) for c in dict.fromkeys((AXIS, *column_names))])
 
 
+def read_request(spark: SparkSession, request: Mapping) -> DataFrame:
+    """``read_ranges`` for a request that arrives as a mapping with the keys ``table``,
+    ``ranges`` and ``column_names``; a key that is not there is a ``KeyError``."""
+    wanted = ("table", "ranges", "column_names")
+    missing = [key for key in wanted if key not in request]
+    if missing:
+        raise KeyError(f"the read request has no {', '.join(missing)}")
+    return read_ranges(spark, **{key: request[key] for key in wanted})
+
+
 def _table_extent(spark: SparkSession, table: str) -> tuple[int, int] | None:
     """First and last instant of a table. The first is in its first shard and the last
     in its last, so two shards are read however many there are."""
