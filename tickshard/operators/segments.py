@@ -55,10 +55,8 @@ class HotKeys:
 
 
 def default_splits(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    """Twice the shuffle partitions, so that segments spread evenly over them."""
+    return max(1_000, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
