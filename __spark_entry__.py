@@ -20,6 +20,21 @@ from tickshard.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The corpus operators are a part that may be left out.
+try:
+    import corpus_pipeline
+    from tickshard.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tickshard.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
+
+def _corpus() -> dict[str, Query]:
+    if corpus_queries is None:
+        return {}
+    return {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str, axis: str | None = None) -> DataFrame:
     df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -521,6 +536,7 @@ def queries() -> dict[str, Query]:
         "window_number_hot_keys": window_number_hot_keys,
         "window_rolling_hot_keys": window_rolling_hot_keys,
         "stream_append": stream_append,
+        **_corpus(),
     }
 
 
@@ -710,4 +726,5 @@ def oracle_sql() -> dict[str, str]:
                        RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS last_month
             FROM orders""",
         "stream_append": _ALL_EVENTS,
+        **({} if corpus_queries is None else corpus_queries.ORACLE_SQL),
     }

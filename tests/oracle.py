@@ -10,6 +10,7 @@ import duckdb
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
+    "boolean": "BOOLEAN",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",

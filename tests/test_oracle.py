@@ -16,10 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    """Corpus operators that SQL cannot express have tests of their own."""
+    with_sql = entry.oracle_sql().keys()
+    assert with_sql <= entry.queries().keys()
+    assert entry.queries().keys() - with_sql <= entry._corpus().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query_matches_oracle(spark, con, name):
     result = entry.queries()[name](spark, SF_DIR)
     assert differences(result, con, entry.oracle_sql()[name]) == []
