@@ -33,6 +33,7 @@ COORDINATES = 48
 MATCHES = 26
 PREFIX = COORDINATES - MATCHES + 1
 SKETCH_BITS = 20
+SKETCH_BLOCK = 1 << 14
 #: Lists up to this many members are paired by a join.
 SHORT_LIST = 32
 #: Members of a long list that one side of a task holds, on average.
@@ -99,20 +100,31 @@ def _count_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         cells = (_coordinate_values(batch) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
         counts += np.bincount(cells.ravel(), minlength=len(counts))
-    found = np.flatnonzero(counts)
-    for start in range(0, len(found), 100_000):
-        cells = found[start : start + 100_000]
+    for block in range(len(counts) // SKETCH_BLOCK):
+        own = counts[block * SKETCH_BLOCK : (block + 1) * SKETCH_BLOCK]
+        raw = np.minimum(own, 65535).astype(np.uint16).tobytes()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cells.astype(np.int32)), pa.array(counts[cells])], names=["cell", "n"]
+            [pa.array([block], pa.int32()), pa.array([raw], pa.binary())], names=["block", "n"]
         )
 
 
+def _add_counts(left):
+    """The sum of a block's counts, which stop at 65,535: values beyond are all common."""
+    total = np.zeros(SKETCH_BLOCK, dtype=np.int64)
+    for raw in left.column("n"):
+        total += np.frombuffer(raw.as_py(), dtype=np.uint16)
+    raw = np.minimum(total, 65535).astype(np.uint16).tobytes()
+    return pa.table({"block": left.column("block")[:1], "n": pa.array([raw], pa.binary())})
+
+
 def _sketch(reps: DataFrame) -> np.ndarray:
-    """How often a value with this hash occurs, at most; the table's size is fixed."""
-    counted = reps.select("sig").mapInArrow(_count_values, "cell int, n bigint")
-    rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
-    table = np.ones(1 << SKETCH_BITS, dtype=np.float32)
-    table[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+    """How often a value with this hash occurs, at most; two bytes for each of its cells."""
+    fields = "block int, n binary"
+    counted = reps.select("sig").mapInArrow(_count_values, fields)
+    table = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
+    for row in counted.groupBy("block").applyInArrow(_add_counts, fields).collect():
+        start = row["block"] * SKETCH_BLOCK
+        table[start : start + SKETCH_BLOCK] = np.frombuffer(row["n"], dtype=np.uint16)
     return table
 
 
@@ -127,7 +139,7 @@ def _post(sketch):
             rarest = np.lexsort((values, counts), axis=1)[:, :PREFIX]
             chosen = np.take_along_axis(values, rarest, axis=1)
             shared = np.take_along_axis(counts, rarest, axis=1) > 1
-            typical = (np.log2(counts).mean(axis=1) * 1e6).astype(np.int64)
+            typical = (np.log2(counts.astype(np.float64)).mean(axis=1) * 1e6).astype(np.int64)
             row, place = np.nonzero(shared)
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
