@@ -6,6 +6,8 @@ write and return what the table then holds.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,14 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem", "l_shipdate")
 
 
+def _from(df: DataFrame, moment: str) -> DataFrame:
+    return df.where(F.col(AXIS) >= F.lit(moment).cast("timestamp_ntz"))
+
+
+def _until(df: DataFrame, moment: str) -> DataFrame:
+    return df.where(F.col(AXIS) < F.lit(moment).cast("timestamp_ntz"))
+
+
 def _gappy(events: DataFrame) -> DataFrame:
     """Events whose value is NULL for clicks and NaN for errors, and without props for views."""
     kind = F.col("event_type")
@@ -195,12 +205,21 @@ def global_stats_broadcast(spark, sf_dir):
 
 def global_stats_broadcast_integers(spark, sf_dir):
     extended = ts.with_global_stats(_lineitem(spark, sf_dir), "l_partkey")
+    total = F.col("sum_l_partkey").cast("bigint").alias("sum_l_partkey")
     kept = extended.select(
-        "l_orderkey", "l_linenumber", "sum_l_partkey", "mean_l_partkey", "std_l_partkey"
+        "l_orderkey", "l_linenumber", total, "mean_l_partkey", "std_l_partkey"
     )
     return _rounded(kept, "mean_l_partkey", "std_l_partkey")
 
 
+def global_stats_large(spark, sf_dir):
+    """A sum far beyond 64 bits, as text."""
+    large = _lineitem(spark, sf_dir).select(
+        AXIS, (F.col("l_partkey") * 10**12 + F.col("l_orderkey") * 10**11).alias("large")
+    )
+    return ts.global_stats(large, "large").select(F.col("sum_large").cast("string").alias("sum_large"))
+
+
 # -- slices ------------------------------------------------------------------------
 
 
@@ -255,7 +274,7 @@ def table_slices(spark, sf_dir):
     """A stored table read as slices without a shuffle."""
     name = temp_name(spark, "run")
     ts.write_dataframe(_orders(spark, sf_dir), name, shard_size="30d").compute()
-    read = ts.read_slices(spark, table=name, npartitions=8, scan_rows=0)
+    read = ts.read_slices(spark, table=name, npartitions=8, scans=True)
     return read.groupBy(F.spark_partition_id().alias("slice")).agg(
         F.count("*").alias("rows"), F.min(AXIS).alias("first"), F.max(AXIS).alias("last")
     )
@@ -293,8 +312,8 @@ def write_named_axis(spark, sf_dir):
 def write_append(spark, sf_dir):
     """Two appends; the second finds the table and widens nothing."""
     events = _events(spark, sf_dir)
-    early = ts.time_range(events, "2024-01-01", "2024-01-20")
-    late = ts.time_range(events, "2024-01-10", "2024-03-01")
+    early = _until(events, "2024-01-20")
+    late = _from(events, "2024-01-10")
     return _written(spark, (early, {}), (late, {"create": False}))
 
 
@@ -344,11 +363,51 @@ def write_truncate_gap(spark, sf_dir):
     return _written(spark, (events, {}), (batch, {"push_mode": "truncate"}))
 
 
+def _written_to_path(spark: SparkSession, *writes: tuple[DataFrame, dict]) -> DataFrame:
+    """The same for a table with a folder of its own below the shared folder."""
+    path = f"{shared_folder(spark)}/tickshard_paths/{uuid.uuid4().hex}"
+    first, options = writes[0]
+    return _written(spark, (first, {**options, "path": path}), *writes[1:])
+
+
+def write_truncate_gap_path(spark, sf_dir):
+    """Shards emptied in a table with a folder of its own; then rows come to one of them."""
+    events = _events(spark, sf_dir)
+    first = ts.time_range(events, "2024-01-05T08:00:00", "2024-01-06")
+    last = ts.time_range(events, "2024-01-20", "2024-01-20T12:00:00")
+    again = ts.time_range(events, "2024-01-12", "2024-01-12T01:00:00")
+    batch = first.unionByName(last)
+    return _written_to_path(spark, (events, {}), (batch, {"push_mode": "truncate"}), (again, {}))
+
+
+def write_upsert_moves_path(spark, sf_dir):
+    """Rows move to other shards of such a table; then rows come to an emptied shard."""
+    orders = _orders(spark, sf_dir)
+    urgent = orders.where("o_orderpriority = '1-URGENT' OR `$timestamp` < '1995-02-01'")
+    later = urgent.withColumn(AXIS, F.col(AXIS) + F.expr("INTERVAL 400 DAYS"))
+    again = orders.where("`$timestamp` < '1995-01-08'")
+    options = {"deduplicate": ["o_orderkey"], "deduplication_mode": "upsert"}
+    return _written_to_path(
+        spark, (orders, {"shard_size": "30d"}), (later, options), (again, {})
+    )
+
+
+def read_ranges_many(spark, sf_dir):
+    """Five thousand ranges of five minutes, from the times of events."""
+    events = _events(spark, sf_dir)
+    name = temp_name(spark, "run")
+    ts.write_dataframe(events, name, shard_size="12h").compute()
+    starts = events.where("event_id < 10000 AND event_id % 2 = 0").select(AXIS).collect()
+    wide = dt.timedelta(minutes=5)
+    ranges = [(row[0], row[0] + wide) for row in starts]
+    return ts.read_ranges(spark, table=name, ranges=ranges, column_names=["event_id"])
+
+
 def write_dedup_drop(spark, sf_dir):
     """Whole-row repeats of stored rows, and inside the batch, are left out."""
     events = missing_values(spark, sf_dir)
-    stored = ts.time_range(events, "2024-01-01", "2024-01-20")
-    batch = ts.time_range(events, "2024-01-10", "2024-03-01")
+    stored = _until(events, "2024-01-20")
+    batch = _from(events, "2024-01-10")
     changed = batch.where("event_type = 'view'").withColumn("user_id", F.col("user_id") + 1)
     again = batch.unionByName(changed).unionByName(batch)
     return _written(spark, (stored, {}), (again, {"deduplicate": True}))
@@ -357,14 +416,14 @@ def write_dedup_drop(spark, sf_dir):
 def write_dedup_drop_keys(spark, sf_dir):
     """One row per new key: the last by time."""
     events = _events(spark, sf_dir)
-    stored = ts.time_range(events, "2024-01-01", "2024-01-02")
+    stored = _until(events, "2024-01-02")
     return _written(spark, (stored, {}), (events, {"deduplicate": ["user_id", "event_type"]}))
 
 
 def write_dedup_upsert(spark, sf_dir):
     events = _events(spark, sf_dir)
-    stored = ts.time_range(events, "2024-01-01", "2024-01-20")
-    batch = ts.time_range(events, "2024-01-15", "2024-03-01")
+    stored = _until(events, "2024-01-20")
+    batch = _from(events, "2024-01-15")
     changed = batch.withColumn("value", F.col("value") + 1)
     options = {"deduplicate": [AXIS, "event_id"], "deduplication_mode": "upsert"}
     return _written(spark, (stored, {}), (changed, options))
@@ -403,14 +462,14 @@ def asof_hot_keys(spark, sf_dir):
 
 def asof_no_key(spark, sf_dir):
     left, right = _asof_sides(spark, sf_dir)
-    return ts.asof_join(left, right.drop("user_id"), hot_rows=50, splits=40)
+    return ts.asof_join(left, right.drop("user_id"), hot_rows=50)
 
 
 def asof_ties(spark, sf_dir):
     """Many rows at one instant on both sides; the dearest order of the day wins."""
     left = _lineitem(spark, sf_dir).select(AXIS, "l_orderkey", "l_linenumber")
     right = _orders(spark, sf_dir).select(AXIS, "o_totalprice")
-    return ts.asof_join(left, right, tie=["o_totalprice"], hot_rows=500, splits=64)
+    return ts.asof_join(left, right, tie=["o_totalprice"], hot_rows=500)
 
 
 def window_lag(spark, sf_dir):
@@ -446,7 +505,7 @@ def window_number_hot_keys(spark, sf_dir):
     """Places in a long history per status, with every status cut into segments."""
     orders = _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus")
     return ts.numbered(
-        orders, "nth", on=["o_orderstatus"], order=["o_orderkey"], hot_rows=100, splits=40
+        orders, "nth", on=["o_orderstatus"], order=["o_orderkey"], hot_rows=100
     )
 
 
@@ -454,7 +513,7 @@ def window_rolling_hot_keys(spark, sf_dir):
     """Rolling counts with every key cut into segments; dates have many ties."""
     orders = _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus")
     return ts.counted_within(
-        orders, "last_month", "30d", on=["o_orderstatus"], hot_rows=100, splits=40
+        orders, "last_month", "30d", on=["o_orderstatus"], hot_rows=100
     )
 
 
@@ -521,6 +580,10 @@ def queries() -> dict[str, Query]:
         "read_ranges": read_ranges,
         "write_truncate": write_truncate,
         "write_truncate_gap": write_truncate_gap,
+        "write_truncate_gap_path": write_truncate_gap_path,
+        "write_upsert_moves_path": write_upsert_moves_path,
+        "read_ranges_many": read_ranges_many,
+        "global_stats_large": global_stats_large,
         "write_dedup_drop": write_dedup_drop,
         "write_dedup_drop_keys": write_dedup_drop_keys,
         "write_dedup_upsert": write_dedup_upsert,
@@ -636,8 +699,8 @@ def oracle_sql() -> dict[str, str]:
         "write_named_axis": """
             SELECT o_orderdate AS "$timestamp", * EXCLUDE (o_orderdate) FROM orders""",
         "write_append": f"""
-            {_ALL_EVENTS} WHERE ts >= '2024-01-01' AND ts < '2024-01-20'
-            UNION ALL {_ALL_EVENTS} WHERE ts >= '2024-01-10' AND ts < '2024-03-01'""",
+            {_ALL_EVENTS} WHERE ts < '2024-01-20'
+            UNION ALL {_ALL_EVENTS} WHERE ts >= '2024-01-10'""",
         "write_transactional": f"SELECT {_EVENT_COLUMNS} FROM ({_GAPPY})",
         "table_copy": _ALL_EVENTS,
         "read_ranges": """
@@ -662,6 +725,33 @@ def oracle_sql() -> dict[str, str]:
             SELECT ts AS "$timestamp", * EXCLUDE (ts) FROM (
                 SELECT e.* FROM events e, ends WHERE e.ts < lo OR e.ts > hi
                 UNION ALL SELECT * FROM batch)""",
+        "write_truncate_gap_path": """
+            WITH batch AS (
+                SELECT * FROM events
+                WHERE (ts >= '2024-01-05 08:00:00' AND ts < '2024-01-06')
+                   OR (ts >= '2024-01-20' AND ts < '2024-01-20 12:00:00')),
+            ends AS (SELECT min(ts) AS lo, max(ts) AS hi FROM batch)
+            SELECT ts AS "$timestamp", * EXCLUDE (ts) FROM (
+                SELECT e.* FROM events e, ends WHERE e.ts < lo OR e.ts > hi
+                UNION ALL SELECT * FROM batch
+                UNION ALL SELECT * FROM events
+                WHERE ts >= '2024-01-12' AND ts < '2024-01-12 01:00:00')""",
+        "write_upsert_moves_path": """
+            SELECT CASE WHEN o_orderpriority = '1-URGENT' OR o_orderdate < '1995-02-01'
+                        THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS "$timestamp",
+                   * EXCLUDE (o_orderdate)
+            FROM orders
+            UNION ALL SELECT o_orderdate, * EXCLUDE (o_orderdate) FROM orders
+            WHERE o_orderdate < '1995-01-08'""",
+        "read_ranges_many": """
+            SELECT e.ts AS "$timestamp", e.event_id FROM events e
+            WHERE EXISTS (
+                SELECT 1 FROM events r WHERE r.event_id < 10000 AND r.event_id % 2 = 0
+                AND e.ts >= r.ts AND e.ts < r.ts + INTERVAL 5 MINUTE)""",
+        "global_stats_large": """
+            SELECT CAST(sum(CAST(l_partkey AS HUGEINT) * 1000000000000
+                            + CAST(l_orderkey AS HUGEINT) * 100000000000) AS VARCHAR) AS sum_large
+            FROM lineitem""",
         "write_dedup_drop": f"""
             WITH gappy AS ({_GAPPY}),
             stored AS (SELECT * FROM gappy WHERE ts < '2024-01-20'),

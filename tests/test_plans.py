@@ -72,7 +72,7 @@ def test_deduplication_joins_are_equi_joins(spark, table, events):
     keys = ["$timestamp", "event_id"]
     left, right = spark.table(table), events
     text = plan(left.join(right, _match(left, right, keys), "left_anti"))
-    assert "NestedLoop" not in text and "HashJoin" in text or "SortMergeJoin" in text
+    assert "NestedLoop" not in text and ("HashJoin" in text or "SortMergeJoin" in text)
 
 
 def test_write_without_cluster_has_no_shuffle(spark, events):

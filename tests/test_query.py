@@ -36,13 +36,17 @@ def jobs(spark, action):
 @pytest.mark.parametrize(
     "text",
     [
-        "INSERT INTO test VALUES (1)",
-        "DROP TABLE stored_for_queries",
-        "DELETE FROM test",
-        "CREATE TABLE made_by_query (x INT)",
-        "SHOW TABLES",
-        "ALTER TABLE test ADD COLUMN y INT",
-        "SHOW DISK USAGE ON test",
+        # would act at once
+        "CREATE TABLE made_by_query AS SELECT id FROM range(3)",
+        "TRUNCATE TABLE stored_for_queries",
+        "DROP TABLE IF EXISTS stored_for_queries PURGE",
+        "INSERT OVERWRITE stored_for_queries SELECT * FROM stored_for_queries",
+        "ALTER TABLE stored_for_queries RENAME TO made_by_query",
+        "DELETE FROM stored_for_queries WHERE x > 10",
+        # would read metadata
+        "DESCRIBE TABLE EXTENDED stored_for_queries",
+        "SHOW PARTITIONS stored_for_queries",
+        "SHOW DATABASES LIKE 't*'",
         "WITH a AS (SELECT 1) SELECT * FROM a",
         "(SELECT 1)",
         "-- SELECT\nSELECT 1",
@@ -161,7 +165,7 @@ def test_read_request(spark, stored):
 
 @pytest.mark.parametrize("n", [1, 2, 9, 40])
 def test_slices_of_a_table_are_range_reads(spark, stored, n):
-    df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"], scan_rows=0)
+    df = ts.read_slices(spark, table=stored, npartitions=n, column_names=["x"], scans=True)
     assert df.columns == ["$timestamp", "x"] and df.rdd.getNumPartitions() == n
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     rows = df.select(F.spark_partition_id().alias("p"), "x").collect()
@@ -175,10 +179,10 @@ def test_slices_of_a_table_with_gaps_and_hot_slices(spark, table_name):
     df = spark.createDataFrame([(START + dt.timedelta(hours=h), i) for i, h in enumerate(hours)],
                                "`$timestamp` timestamp_ntz, id bigint").repartition(8)
     ts.write_dataframe(df, table_name, cluster=False).compute()
-    even = ts.read_slices(spark, table=table_name, npartitions=10, scan_rows=0)
+    even = ts.read_slices(spark, table=table_name, npartitions=10, scans=True)
     sizes = {r.p: r["count"] for r in even.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     assert even.rdd.getNumPartitions() == 10 and sizes == {0: 3002, 9: 1}
-    split = ts.read_slices(spark, table=table_name, npartitions=10, max_partition_rows=1000, scan_rows=0)
+    split = ts.read_slices(spark, table=table_name, npartitions=10, split_rows=1000, scans=True)
     assert split.rdd.getNumPartitions() == 9 + 4
     assert split.exceptAll(df).count() == df.exceptAll(split).count() == 0
 

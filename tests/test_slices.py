@@ -66,9 +66,9 @@ def test_hot_slice_takes_several_partitions(spark):
         F.lit(7).cast("bigint").alias("id"), F.lit(START + dt.timedelta(days=5)).cast("timestamp_ntz").alias("$timestamp")
     )
     df = copies.unionByName(frame(spark, [i * DAY // 200 for i in range(2000)]))
-    parts = ts.partition_by_slice(df, 4, max_rows=1000)
+    parts = ts.partition_by_slice(df, 4, split_rows=1000)
     sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert sum(sizes) == 6000 and max(sizes) <= 1500
+    assert sum(sizes) == 6000 and max(sizes) <= 1100
     assert parts.exceptAll(df).count() == df.exceptAll(parts).count() == 0
 
 

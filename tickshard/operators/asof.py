@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickshard.functions.clock import micros, require_utc
 from tickshard.names import AXIS
@@ -90,8 +91,14 @@ def asof_join(
 
     others = [c for c in right.columns if c not in on and c != AXIS]
     others = [*tie, *[c for c in others if c not in tie]]
+    # maps have no order; their entries, sorted, have one
+    maps = {c for c in others if isinstance(right.schema[c].dataType, T.MapType)}
     payload = F.struct(
-        *[named(c).alias(f"c{i}") for i, c in enumerate(others)], named(AXIS).alias("at")
+        *[
+            (F.sort_array(F.map_entries(named(c))) if c in maps else named(c)).alias(f"c{i}")
+            for i, c in enumerate(others)
+        ],
+        named(AXIS).alias("at"),
     )
     usable = named(AXIS).isNotNull()
     for key in on:
@@ -139,7 +146,11 @@ def asof_join(
         *[F.col("l").getField(f"c{i}").alias(c) for i, c in enumerate(left.columns)],
         found.getField("at").alias(matched_at),
         *[
-            found.getField(f"c{i}").alias(c + suffix if c in taken else c)
+            (
+                F.map_from_entries(found.getField(f"c{i}"))
+                if c in maps
+                else found.getField(f"c{i}")
+            ).alias(c + suffix if c in taken else c)
             for i, c in enumerate(others)
         ],
     )

@@ -63,23 +63,46 @@ def merged_ranges(ranges: Iterable[tuple]) -> list[tuple[int, int]]:
     return merged
 
 
+def any_of(predicates: list[Column]) -> Column:
+    """A disjunction as a balanced tree, so that long lists are not deep."""
+    if not predicates:
+        return F.lit(False)
+    while len(predicates) > 1:
+        pairs = zip(predicates[::2], predicates[1::2])
+        odd = predicates[-1:] if len(predicates) % 2 else []
+        predicates = [a | b for a, b in pairs] + odd
+    return predicates[0]
+
+
+def in_runs(runs: Iterable[tuple[int, int]]) -> Column:
+    """Partition filter for closed *runs* of shard numbers; runs that touch become one,
+    and short ones enter one list of numbers."""
+    joined: list[list[int]] = []
+    for first, last in sorted(runs):
+        if joined and first <= joined[-1][1] + 1:
+            joined[-1][1] = max(joined[-1][1], last)
+        else:
+            joined.append([first, last])
+    listed = [s for first, last in joined if last - first < 3 for s in range(first, last + 1)]
+    spans = [F.col(SHARD).between(*run) for run in joined if run[1] - run[0] >= 3]
+    return any_of([F.col(SHARD).isin(listed), *spans] if listed else spans)
+
+
+def shards_of(ranges: list[tuple[int, int]], shard_width: int) -> Column:
+    return in_runs((lo // shard_width, (hi - 1) // shard_width) for lo, hi in ranges)
+
+
 def within(ranges: list[tuple[int, int]], shard_width: int | None = None) -> Column:
     """Predicate "the axis lies in one of *ranges*".
 
     Spark derives no partition filter from a predicate on the axis alone, so the
     matching predicate on the shard number is added when the width is known.
     """
-    if not ranges:
-        return F.lit(False)
     axis = F.col(AXIS)
-    predicate = F.lit(False)
-    shards = F.lit(False)
-    for lo, hi in ranges:
-        predicate = predicate | ((axis >= instant_literal(lo)) & (axis < instant_literal(hi)))
-        if shard_width is not None:
-            first, last = lo // shard_width, (hi - 1) // shard_width
-            shards = shards | F.col(SHARD).between(first, last)
-    return predicate if shard_width is None else shards & predicate
+    predicate = any_of(
+        [(axis >= instant_literal(lo)) & (axis < instant_literal(hi)) for lo, hi in ranges]
+    )
+    return predicate if shard_width is None else shards_of(ranges, shard_width) & predicate
 
 
 def time_range(df: DataFrame, lo, hi) -> DataFrame:

@@ -86,22 +86,25 @@ def find_hot_keys(
     """Hot keys of *times*, a frame of the key columns and a bigint ``t``; without key
     columns all rows are one key.
 
-    Takes a row count, and one pass over a sample when the frame is large enough to
-    have a hot key at all.
+    Takes a row count, one count per key of a sample when the frame is large enough to
+    have a hot key at all, and quantiles for the hot ones only.
     """
     total = times.count()
     limit = max(hot_rows, -(-total // splits))
     if total <= limit:
         return None
     share = min(1.0, SAMPLED_ROWS / limit)
-    counted = _sample(times, share).groupBy(*keys).agg(
-        F.count("*").alias("n"), _quantiles(splits).alias("q")
-    )
-    parts = F.least(F.ceil(F.col("n") / (limit * share)), F.lit(splits)).cast("int")
-    hot = counted.where(F.col("n") > limit * share)
-    found = hot.select(*keys, _cuts(F.col("q"), parts, splits).alias("cuts")).collect()
-    if not found:
+    sample = _sample(times, share)
+    hot = sample.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit * share)
+    counts = hot.collect()  # fewer than *splits* keys can have so many rows
+    if not counts:
         return None
+    if keys:
+        few = times.sparkSession.createDataFrame(counts, hot.schema)
+        sample = sample.join(F.broadcast(few.drop("n")), same_keys(sample, few, keys), "left_semi")
+    counted = sample.groupBy(*keys).agg(F.count("*").alias("n"), _quantiles(splits).alias("q"))
+    parts = F.least(F.ceil(F.col("n") / (limit * share)), F.lit(splits)).cast("int")
+    found = counted.select(*keys, _cuts(F.col("q"), parts, splits).alias("cuts")).collect()
     cuts = {number: np.array(row["cuts"], dtype="int64") for number, row in enumerate(found)}
     if not keys:
         return HotKeys(None, cuts, share)

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from tickshard.functions.clock import div, from_micros, micros, require_utc
 from tickshard.names import AXIS, SLICE
 
-# A slice above this many rows is read by several tasks instead of one.
-MAX_PARTITION_ROWS = 10_000_000
-
 _EXTENT = "$extent"
 
 
@@ -30,11 +27,11 @@ def _wide(value: Column) -> Column:
     return value.cast("decimal(20,0)")
 
 
-def _extent(df: DataFrame, *more: Column) -> DataFrame:
+def _extent(df: DataFrame) -> DataFrame:
     """One row: first instant and length of the axis, in microseconds."""
     first, last = F.min(AXIS), F.max(AXIS)
     return df.agg(
-        micros(first).alias("first"), (micros(last) - micros(first) + 1).alias("span"), *more
+        micros(first).alias("first"), (micros(last) - micros(first) + 1).alias("span")
     )
 
 
@@ -73,41 +70,41 @@ def with_slice(df: DataFrame, n: int, name: str = SLICE) -> DataFrame:
     return numbered.drop(_EXTENT)
 
 
-def slice_parts(df: DataFrame, number: Column, n: int, rows: int, max_rows: int) -> list[int]:
-    """Into how many partitions each slice goes, so that none gets over *max_rows* rows.
-
-    Even in time is not even in rows. Only a frame with more than *max_rows* rows can
-    have a slice above it; then a count per slice (n rows) tells.
-    """
+def slice_parts(df: DataFrame, number: Column, n: int, split_rows: int | None) -> list[int]:
+    """Into how many partitions each slice goes: one, unless the caller wants slices
+    above *split_rows* rows split. Then a count per slice (n rows) tells."""
     parts = [1] * n
-    if rows > max_rows:
+    if split_rows is not None:
         for row in df.groupBy(number.alias(SLICE)).count().collect():
-            parts[row[SLICE]] = -(-row["count"] // max_rows)
+            parts[row[SLICE]] = -(-row["count"] // split_rows)
     return parts
 
 
 def partition_by_slice(
-    df: DataFrame, n: int, max_rows: int = MAX_PARTITION_ROWS
+    df: DataFrame,
+    n: int,
+    split_rows: int | None = None,
+    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
     """*df* as *n* Spark partitions, one per slice, in time order and sorted inside.
 
-    A slice above *max_rows* rows is spread over as many neighbouring partitions as
-    it needs. The spread goes by the number of the task that produced a row: stable
-    when a lost task is run again, and good for rows that are equal in every column,
-    which no key could separate.
+    Partition ``i`` is slice ``i`` whatever the size; rows without a time are in slice 0.
+    With *split_rows* a slice above so many rows is dealt in turn over as many
+    neighbouring partitions as it needs, which also parts equal rows and the rows of one
+    task. *extent* is the first instant and the length of the axis, where known.
     """
     require_utc(df.sparkSession)
     check_count(n)
-    extent = _extent(df, F.count("*").alias("rows")).first()
-    if extent["span"] is None:
-        return df.repartition(n)
-    number = slice_number(F.lit(extent["first"]), F.lit(extent["span"]), n)
-    parts = slice_parts(df, number, n, extent["rows"], max_rows)
+    first, span = extent or _extent(df).first()
+    if span is None:
+        return df.repartitionById(n, F.lit(0))
+    number = slice_number(F.lit(first), F.lit(span), n)
+    parts = slice_parts(df, number, n, split_rows)
     if max(parts) == 1:
         return df.repartitionById(n, number).sortWithinPartitions(AXIS)
 
     starts = [sum(parts[:i]) for i in range(n)]
     start, width = F.lit(starts)[number], F.lit(parts)[number]
-    target = (start + F.pmod(F.spark_partition_id(), width)).cast("int")
+    target = (start + F.pmod(F.monotonically_increasing_id(), width)).cast("int")
     placed = df.withColumn("$part", target).repartitionById(sum(parts), F.col("$part"))
     return placed.drop("$part").sortWithinPartitions(AXIS)

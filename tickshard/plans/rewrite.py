@@ -120,30 +120,24 @@ def append_new(table: str, rows: DataFrame, keys: list[str]) -> None:
 def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
     """Replace stored rows that share a key with the batch, and add the rest.
 
-    One pass over the key columns counts, per shard, rows and matches. Only shards
-    with a match are rewritten; batch rows for other shards are appended. A shard
+    One semi join over the key columns counts matches per shard; rows are counted only in
+    shards with a match that get no row. Only shards with a match are rewritten; batch rows for other shards are appended. A shard
     that loses all rows and gets none is dropped.
     """
     spark = rows.sparkSession
     with staged(one_per_key(rows, keys)) as batch:
         outline = _outline(batch)
-        wanted = batch.select(*[named(k) for k in keys], F.lit(1).alias("$hit"))
+        wanted = batch.select(*[named(k) for k in keys])
         probe = _candidates(table, batch, keys, outline)
         probe = probe.select(*[named(k) for k in keys], SHARD)
-        matches = (
-            probe.join(wanted, _match(probe, wanted, keys), "left")
-            .groupBy(probe[SHARD])
-            .agg(F.count("$hit").alias("hits"), F.count("*").alias("seen"))
-            .where("hits > 0")
-            .collect()
-        )
-        touched = [row[SHARD] for row in matches]
+        matches = probe.join(wanted, _match(probe, wanted, keys), "left_semi")
+        hits = {r[SHARD]: r["count"] for r in matches.groupBy(SHARD).count().collect()}
+        touched = list(hits)
         if touched:
-            emptied = [
-                row[SHARD]
-                for row in matches
-                if row["hits"] == row["seen"] and row[SHARD] not in outline
-            ]
+            alone = [shard for shard in touched if shard not in outline]
+            rest = raw_table(spark, table).where(in_shards(alone)).groupBy(SHARD).count()
+            seen = {r[SHARD]: r["count"] for r in (rest.collect() if alone else ())}
+            emptied = [shard for shard in alone if seen[shard] == hits[shard]]
             stored = raw_table(spark, table).where(in_shards(touched))
             keyed = batch.select([named(k) for k in keys])
             kept = stored.join(keyed, _match(stored, keyed, keys), "left_anti")

@@ -7,6 +7,7 @@ catalog (one integer per touched shard), never data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,11 @@ from pyspark.sql import types as T
 
 from tickshard.functions.clock import shard_of
 from tickshard.names import AXIS, SHARD, is_internal, quoted_column
+from tickshard.operators.axis import in_runs
 
 WIDTH_PROPERTY = "tickshard.shard.micros"
 PARTITIONS_PER_STATEMENT = 500
+RENEWED = "_renewed"  # folders of shards that were replaced; hidden from listings
 NO_SHARD = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name of the NULL partition
 
 
@@ -80,16 +83,7 @@ def with_shard(df: DataFrame, width: int) -> DataFrame:
 
 def in_shards(shards: Iterable[int]) -> Column:
     """Partition filter for *shards*; runs of neighbours become one comparison."""
-    runs: list[list[int]] = []
-    for shard in sorted(set(shards)):
-        if runs and shard == runs[-1][1] + 1:
-            runs[-1][1] = shard
-        else:
-            runs.append([shard, shard])
-    predicate = F.lit(False)
-    for first, last in runs:
-        predicate = predicate | F.col(SHARD).between(first, last)
-    return predicate
+    return in_runs((shard, shard) for shard in set(shards))
 
 
 def stored_shards(spark: SparkSession, table: str) -> list[int | None]:
@@ -133,22 +127,45 @@ def replace_shards(
     """Replace whole shards: those in *rows* (listed in *written*) get its content,
     those in *emptied* go away, all others stay.
 
-    *rows* may read the same table: dynamic overwrite writes next to the table and
-    moves partitions in only after every task has finished. The moves and the drop
-    are not one atomic step; a reader in between sees some shards old, some new.
+    *rows* may read the same table: new content goes to fresh folders below the table's,
+    and only when all of it is there the catalog is pointed at it, shard by shard. Old
+    files go last, and an emptied shard is dropped when it has none left, so a driver
+    that dies in between leaves each shard either old or new. The switches are not one
+    atomic step; a reader in between sees some shards old, some new.
     """
-    (
-        clustered(_in_table_order(spark, table, rows))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SHARD)
-        .parquet(location(spark, table))
-    )
+    root = location(spark, table)
+    fresh = f"{root}/{RENEWED}/{uuid.uuid4().hex}"
+    clustered(_in_table_order(spark, table, rows)).write.partitionBy(SHARD).parquet(fresh)
+    written, emptied = sorted(written), sorted(emptied)
     _alter_partitions(spark, table, "ADD IF NOT EXISTS", written, separator=" ")
+    for shard in (*written, *emptied):
+        folder = _shard_folder(fresh, shard).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"ALTER TABLE {quoted(table)} PARTITION ({quoted_column(SHARD)} = {shard}) "
+            f"SET LOCATION '{folder}'"
+        )
+    _remove_old(spark, root, fresh, [*written, *emptied])
     _alter_partitions(spark, table, "DROP IF EXISTS", emptied, separator=", ")
     spark.catalog.refreshTable(quoted(table))
 
 
+def _shard_folder(root: str, shard: int) -> str:
+    return f"{root}/{SHARD}={shard}"
+
+
+def _remove_old(spark: SparkSession, root: str, fresh: str, shards: list[int]) -> None:
+    """Delete the folders that *shards* had before they moved to *fresh*: those an append
+    made below the table's folder, and those of earlier renewals."""
+    folder = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = folder(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    renewed = folder(f"{root}/{RENEWED}")
+    earlier = [str(s.getPath()) for s in files.listStatus(renewed)]
+    current = str(files.makeQualified(folder(fresh)))
+    for old in (root, *(e for e in earlier if e != current)):
+        for shard in shards:
+            files.delete(folder(_shard_folder(old, shard)), True)
+
+
 def _alter_partitions(
     spark: SparkSession, table: str, action: str, shards: Iterable[int], separator: str
 ) -> None:

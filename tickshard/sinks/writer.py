@@ -155,6 +155,7 @@ def write_dataframe(
     axis: str | None = None,
     path: str | None = None,
     cluster: bool = True,
+    truncate_nanos: bool = False,
 ) -> PendingWrite:
     """A write of *df* to *table*; nothing happens before the result is called.
 
@@ -190,7 +191,7 @@ def write_dataframe(
 
     def run() -> None:
         spark = df.sparkSession if isinstance(df, DataFrame) else SparkSession.active()
-        frame = df if isinstance(df, DataFrame) else from_pandas(spark, df)
+        frame = df if isinstance(df, DataFrame) else from_pandas(spark, df, truncate_nanos)
         rows = prepared(frame, axis)
         schema, width, made = open_table(
             spark, table, rows.schema, create=create, shard_size=shard_size, path=path

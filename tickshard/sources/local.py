@@ -30,12 +30,14 @@ def _spark_type(name: str, values: pd.Series) -> T.DataType:
     raise TypeError(f"column {name!r} of type {dtype} cannot be stored")
 
 
-def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
+def from_pandas(
+    spark: SparkSession, frame: pd.DataFrame, truncate_nanos: bool = False
+) -> DataFrame:
     """A local frame as a DataFrame with the axis as a column.
 
     A time index becomes ``$timestamp``. Half floats widen, bytes stay binary, zoned
-    times become UTC, missing values of every kind become NULL, and times lose what is
-    finer than a microsecond. A frame without ``$timestamp`` and without a time index is a
+    times become UTC, missing values of every kind become NULL. A time finer
+    than a microsecond is a ``ValueError``, or is cut with *truncate_nanos*. A frame without ``$timestamp`` and without a time index is a
     ``ValueError``.
     """
     timed = kinds.is_datetime64_any_dtype(frame.index.dtype)
@@ -55,7 +57,10 @@ def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.TimestampNTZType):
             if isinstance(values.dtype, pd.DatetimeTZDtype):
                 values = values.dt.tz_convert("UTC").dt.tz_localize(None)
-            values = values.astype("datetime64[us]")
+            exact = values.astype("datetime64[us]")
+            if not truncate_nanos and not (exact.astype(values.dtype) == values)[values.notna()].all():
+                raise ValueError(f"column {field.name!r} has times finer than a microsecond")
+            values = exact
         elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
             values = values.astype(object).where(values.notna(), None)
         ready[field.name] = values

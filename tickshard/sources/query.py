@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tickshard.names import AXIS
 from tickshard.operators.axis import normalize_axis
 from tickshard.operators.schema import declare_schema, hide_internal
-from tickshard.operators.slices import MAX_PARTITION_ROWS, check_count, partition_by_slice
+from tickshard.operators.slices import check_count, partition_by_slice
 from tickshard.plans.temporary import materialize as store_result
 from tickshard.plans.temporary import materialize_table
 from tickshard.sources.ranges import read_slices
@@ -41,7 +41,7 @@ def query(
     views: Mapping[str, DataFrame] | None = None,
     materialize: bool = False,
     persist: bool = False,
-    max_partition_rows: int = MAX_PARTITION_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """The result of a SELECT as a DataFrame.
 
@@ -49,8 +49,8 @@ def query(
         Declared result schema; the result is aligned to it (see ``declare_schema``).
     npartitions
         1 leaves the partitioning to Spark. More cuts the result into that many
-        even time slices, one Spark partition each, in time order; a slice above
-        *max_partition_rows* takes several neighbouring partitions. Needs
+        even time slices, one Spark partition each, in time order; only with *split_rows* does a
+        slice above so many rows take several neighbouring partitions. Needs
         ``$timestamp`` in the result, and runs a job for its first and last time.
     views
         DataFrames the text may name as ``{name}``; pass ``read_ranges(...)`` here
@@ -76,12 +76,12 @@ def query(
             spark,
             table=materialize_table(result),
             npartitions=npartitions,
-            max_partition_rows=max_partition_rows,
+            split_rows=split_rows,
         )
     elif materialize:
         result = store_result(result)
     elif npartitions > 1:
-        result = partition_by_slice(result, npartitions, max_partition_rows)
+        result = partition_by_slice(result, npartitions, split_rows)
     return result.persist(StorageLevel.MEMORY_AND_DISK) if persist else result
 
 

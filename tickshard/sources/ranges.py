@@ -8,12 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickshard.functions.clock import instant_micros
+from tickshard.functions.clock import instant_micros, micros
 from tickshard.names import AXIS, SHARD
-from tickshard.operators.axis import merged_ranges, within
+from tickshard.operators.axis import merged_ranges, shards_of, within
 from tickshard.operators.schema import hide_internal, named
 from tickshard.operators.slices import (
-    MAX_PARTITION_ROWS,
     check_count,
     partition_by_slice,
     slice_number,
@@ -21,10 +20,8 @@ from tickshard.operators.slices import (
 )
 from tickshard.plans.tables import raw_table, shard_width, stored_shards
 
-# A scan per slice saves the shuffle but costs planning: it is used for at most so many
-# slices, and for tables with at least so many rows for each of them.
-MAX_SCANS = 256
-SCAN_ROWS = 1_000_000
+# Longer lists of ranges are joined instead of compared one by one; the rows are the same.
+RANGES_IN_FILTER = 200
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -45,12 +42,31 @@ def read_ranges(
     predicate reaches the row groups. Overlapping ranges give a row once.
     """
     spans = merged_ranges(ranges)
-    rows = raw_table(spark, table).where(within(spans, shard_width(spark, table)))
+    width = shard_width(spark, table)
+    rows = raw_table(spark, table)
+    if len(spans) <= RANGES_IN_FILTER:
+        rows = rows.where(within(spans, width))
+    else:
+        rows = _in_listed_ranges(rows.where(shards_of(spans, width)), spans, width)
     if column_names is None:
         return hide_internal(rows)
     return rows.select([named(c) for c in dict.fromkeys((AXIS, *column_names))])
 
 
+def _in_listed_ranges(rows: DataFrame, spans: list[tuple[int, int]], width: int) -> DataFrame:
+    """Rows in one of many disjoint ranges, by a join on the shard; the time filter of the
+    whole extent still reaches the scan."""
+    listed = [
+        (shard, max(lo, shard * width), min(hi, (shard + 1) * width))
+        for lo, hi in spans
+        for shard in range(lo // width, (hi - 1) // width + 1)
+    ]
+    table = rows.sparkSession.createDataFrame(listed, "wanted bigint, lo bigint, hi bigint")
+    inside = (F.col(SHARD) == F.col("wanted")) & (micros() >= F.col("lo")) & (micros() < F.col("hi"))
+    whole = within([(spans[0][0], spans[-1][1])])
+    return rows.where(whole).join(table, inside, "left_semi")
+
+
 def read_request(spark: SparkSession, request: Mapping) -> DataFrame:
     """``read_ranges`` for a request that arrives as a mapping with the keys ``table``,
     ``ranges`` and ``column_names``; a key that is not there is a ``KeyError``."""
@@ -78,15 +94,16 @@ def read_slices(
     table: str,
     npartitions: int,
     column_names: Sequence[str] | None = None,
-    max_partition_rows: int = MAX_PARTITION_ROWS,
-    scan_rows: int = SCAN_ROWS,
+    split_rows: int | None = None,
+    scans: bool = False,
 ) -> DataFrame:
     """A stored table as *npartitions* even time slices, one Spark partition each, in
     time order and sorted inside.
 
-    In a table with *scan_rows* rows per slice no row is shuffled: a slice is a range
-    read that opens the shards it touches. A smaller table is cut by a shuffle. A slice
-    with more than *max_partition_rows* rows is read by several tasks.
+    With *scans* no row is shuffled: a slice is a range read that opens the shards it
+    touches, and costs one scan to plan. That pays for few slices of a large table;
+    otherwise the table is cut by one shuffle. With *split_rows* a slice above so many
+    rows is read by several tasks, and partition numbers are slice numbers no more.
     """
     check_count(npartitions)
     stored = raw_table(spark, table)
@@ -96,14 +113,14 @@ def read_slices(
         columns = [named(c) for c in dict.fromkeys((AXIS, *column_names))]
     extent = _table_extent(spark, table)
     first, span = (0, 0) if extent is None else (extent[0], extent[1] - extent[0] + 1)
-    rows = stored.count()
-    few = rows < scan_rows * npartitions or npartitions > MAX_SCANS
-    if few or span < npartitions:
-        return partition_by_slice(stored.select(columns), npartitions, max_partition_rows)
+    if not scans or span < npartitions:
+        return partition_by_slice(
+            stored.select(columns), npartitions, split_rows, extent and (first, span)
+        )
 
     width = shard_width(spark, table)
     number = slice_number(F.lit(first), F.lit(span), npartitions)
-    parts = slice_parts(stored, number, npartitions, rows, max_partition_rows)
+    parts = slice_parts(stored, number, npartitions, split_rows)
 
     # Spark merges a union of single partitions into one partition. An empty scan, of a
     # shard before the first, keeps the slices apart and adds no partition.
