@@ -276,8 +276,9 @@ def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, tokens): the nested equivalence classes of every host with enough pages."""
     sums = scratch.store(occurrence_vectors(pages))
     count = sums.where("token = 0").select("host", F.col("pages").alias("total"))
+    # no token of one page is frequent where a template needs more; most tokens are such
     frequent = (
-        sums.join(count.where(F.col("total") >= MIN_PAGES), "host")
+        sums.where("pages > 1").join(count.where(F.col("total") >= MIN_PAGES), "host")
         .where((F.col("token") == 0) | (F.col("pages") >= F.col("total") * SUPPORT))
         .drop("total")
     )
