@@ -29,9 +29,9 @@ from tickshard.llm.words import Words, byte_class, mix, portions
 #: Cells that the pieces of one length are ranked in.
 WAYS = 128
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 #: Characters that are encoded together.
-PORTION = 3_000_000
+PORTION = 1_000_000
 
 
 class Encoder:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickshard.llm import language, licenses, near, packing, pii, shards, template, tiling, topk
 from tickshard.llm import url_lists
+from tickshard.llm.scratch import small_batches
 from tickshard.session import configure
 
 
@@ -18,7 +19,7 @@ def tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(configure(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_html_extraction(spark, sf_dir):

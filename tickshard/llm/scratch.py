@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from tickshard.plans.temporary import expire_temp, fixed, temp_name
 
 
+#: Rows that Python gets at once: texts may be long, and two workers share an executor.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 class Scratch:
     """Tables in the folder of ``spark.checkpoint.dir`` that a block of work needs.
 

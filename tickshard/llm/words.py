@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _U64 = np.uint64
