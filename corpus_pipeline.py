@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickshard.llm import language, near, packing, pii, tiling
 from tickshard.llm.queries import tokenizer_path
+from tickshard.llm.scratch import small_batches
 from tickshard.plans.temporary import shared_folder
 from tickshard.session import configure
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; NULL texts and texts without a letter go."""
-    configure(spark)
+    small_batches(configure(spark))
     model = language.train(docs.where(~language.held_out()))
     found = language.identify(docs, model)
     return found.where(found.lang_pred != language.UNKNOWN).select(*docs.columns)
@@ -26,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    configure(spark)
+    small_batches(configure(spark))
     found = near.near_duplicates(docs, shingle=5)
     gone = found.where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -34,20 +35,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = small_batches(configure(spark)).read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = tiling.contaminated(docs, benchmark).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in texts masked."""
-    configure(spark)
+    small_batches(configure(spark))
     return pii.mask(docs, pii.train(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their sequence and offset."""
-    configure(spark)
+    small_batches(configure(spark))
     return packing.pack(docs, tokenizer_path())
 
 
