@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickshard.llm import language, near, packing, pii, tiling
 from tickshard.llm.queries import tokenizer_path
@@ -17,6 +18,19 @@ from tickshard.plans.temporary import shared_folder
 from tickshard.session import configure
 
 
+#: As many ids, of eight bytes, are sent to all executors; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """*docs* without the ids in *gone*, a stored result; texts stay where they are if the
+    ids are few enough to be sent to them."""
+    ids = gone.select("doc_id").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; NULL texts and texts without a letter go."""
     small_batches(configure(spark))
@@ -29,15 +43,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
     small_batches(configure(spark))
     found = near.near_duplicates(docs, shingle=5)
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, found.where("NOT kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = small_batches(configure(spark)).read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = tiling.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, tiling.contaminated(docs, benchmark))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
