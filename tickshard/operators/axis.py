@@ -76,15 +76,15 @@ def any_of(predicates: list[Column]) -> Column:
 
 def in_runs(runs: Iterable[tuple[int, int]]) -> Column:
     """Partition filter for closed *runs* of shard numbers; runs that touch become one,
-    and short ones enter one list of numbers."""
+    and single shards enter one list of numbers."""
     joined: list[list[int]] = []
     for first, last in sorted(runs):
         if joined and first <= joined[-1][1] + 1:
             joined[-1][1] = max(joined[-1][1], last)
         else:
             joined.append([first, last])
-    listed = [s for first, last in joined if last - first < 3 for s in range(first, last + 1)]
-    spans = [F.col(SHARD).between(*run) for run in joined if run[1] - run[0] >= 3]
+    listed = [first for first, last in joined if first == last]
+    spans = [F.col(SHARD).between(*run) for run in joined if run[0] < run[1]]
     return any_of([F.col(SHARD).isin(listed), *spans] if listed else spans)
 
 
