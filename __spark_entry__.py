@@ -486,6 +486,15 @@ def window_lag_hot_keys(spark, sf_dir):
     )
 
 
+def window_lag_text_order(spark, sf_dir):
+    """A text decides between rows of one day, with every status cut into segments."""
+    orders = _orders(spark, sf_dir)
+    orders = orders.select(
+        AXIS, "o_orderstatus", F.md5(F.col("o_orderkey").cast("string")).alias("tag")
+    )
+    return ts.lagged(orders, {"before": "tag"}, on=["o_orderstatus"], order=["tag"], hot_rows=20)
+
+
 def window_lag_sql(spark, sf_dir):
     """The plain window in SQL, where no key can be big: the lines of one order."""
     sql = """SELECT `$timestamp`, l_orderkey, l_linenumber, lag(l_quantity) OVER
@@ -594,6 +603,7 @@ def queries() -> dict[str, Query]:
         "asof_ties": asof_ties,
         "window_lag": window_lag,
         "window_lag_hot_keys": window_lag_hot_keys,
+        "window_lag_text_order": window_lag_text_order,
         "window_lag_sql": window_lag_sql,
         "window_rolling": window_rolling,
         "window_number_hot_keys": window_number_hot_keys,
@@ -794,6 +804,11 @@ def oracle_sql() -> dict[str, str]:
             ON l.l_shipdate >= r.o_orderdate""",
         "window_lag": _LAG,
         "window_lag_hot_keys": _LAG,
+        "window_lag_text_order": """
+            SELECT "$timestamp", o_orderstatus, tag, lag(tag) OVER
+                   (PARTITION BY o_orderstatus ORDER BY "$timestamp", tag) AS before
+            FROM (SELECT o_orderdate AS "$timestamp", o_orderstatus,
+                         md5(CAST(o_orderkey AS VARCHAR)) AS tag FROM orders)""",
         "window_lag_sql": """
             SELECT l_shipdate AS "$timestamp", l_orderkey, l_linenumber, lag(l_quantity) OVER
                    (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey,

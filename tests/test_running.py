@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import tickshard as ts
 from tickshard.functions import micros
+from tickshard.operators.running import _segmented
 from tickshard.operators.segments import crowded_cuts, find_hot_keys, with_hot_number, with_segment
 
 START = dt.datetime(2024, 1, 1)
@@ -90,6 +91,38 @@ def test_crowded_instant_is_split(spark, order):
     assert got == {(1, 30), (2, 60), (9, 690), (12, 720), (13, 60)} and counts.count() == 810
 
 
+# Each text makes an order column from a number i below 3,000 whose order is that of i.
+ORDERS = {
+    "text": "format_string('%05d', i)",
+    "long text": "concat('same beginning ', format_string('%05d', i))",
+    "other letters": "concat(chr(cast(945 + i div 150 as bigint)), format_string('%05d', i))",
+    "bytes": "cast(format_string('%05d', i) as binary)",
+    "date": "date_add(date'1965-01-01', cast(i as int))",
+    "double": "if(i = 2999, double('NaN'), if(i = 2998, double('Infinity'), (i - 1500) / 7e0))",
+    "decimal": "cast((i - 1500) / 8 as decimal(12,3))",
+    "flag": "i >= 1500",
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_crowded_instant_in_any_order(spark, kind):
+    at = F.lit(START).cast("timestamp_ntz").alias("$timestamp")
+    place = F.expr(ORDERS[kind]).alias("o")
+    df = spark.range(0, 3000, 1, 5).select(at, F.lit("a").alias("k"), F.col("id").alias("i"))
+    df = df.select("*", place).select("*", F.when(F.col("i") > 9, F.col("o")).alias("x"))
+    hot = {"on": ["k"], "order": ["x", "i"], "hot_rows": 100, "splits": 8}
+    rows, _, _ = _segmented(df, ["k"], ["x", "i"], 100, 8)
+    sizes = [r["count"] for r in rows.groupBy("segment").count().collect()]
+    if kind not in ("long text", "flag"):
+        assert sum(sizes) == 3000 and max(sizes) <= 2 * 3000 / 7  # seven segments meet here
+    got = ts.numbered(df, "n", **hot).collect()
+    assert all(r.n == r.i + 1 for r in got) and len(got) == 3000
+    lag = ts.lagged(df, {"p": "i"}, **hot).collect()
+    assert all(r.p == (r.i - 1 if r.i else None) for r in lag) and len(lag) == 3000
+    alone = ts.numbered(df, "n", on=["k"], order=["x"], hot_rows=100, splits=8).collect()
+    assert sorted(r.n for r in alone) == list(range(1, 3001))
+    if kind != "flag":
+        assert all(r.n == r.i + 1 for r in alone if r.i > 9)
 
 
 def test_crowded_instant_goes_to_several_segments(spark):

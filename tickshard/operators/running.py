@@ -6,9 +6,8 @@ each segment and takes over from the earlier segments what it needs of them: one
 for a lag, a count for a row number or a rolling count. Other keys go through the
 plain window.
 
-Rows of one key at one instant are split further by the first *order* column if that
-is an integer or a time, and freely if there is no *order* or nothing in it tells the
-rows apart.
+Rows of one key at one instant are split further by the first *order* column, if it is
+of a simple type, and freely if there is no *order* or nothing in it tells the rows apart.
 """
 
 from __future__ import annotations
@@ -38,18 +37,37 @@ from tickshard.plans.temporary import fixed
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TIMES = (T.TimestampType, T.TimestampNTZType)
+#: Scaled numbers beyond this count as one, so that they fit a bigint.
+_FAR = 9e18
 
 
-def _as_integer(df: DataFrame, order: Sequence[str]) -> Column | None:
-    """The first order column as a bigint with its order, if it has one that is."""
+def _as_integer(df: DataFrame, order: Sequence[str]) -> tuple[Column | None, bool]:
+    """A bigint that never falls where the first order column rises, and whether rows with
+    one bigint are equal in that column. None for types that have no such number."""
     if not order:
-        return F.lit(0).cast("bigint")
-    kind, column = df.schema[order[0]].dataType, named(order[0])
+        return F.lit(0).cast("bigint"), True
+    kind, column, exact = df.schema[order[0]].dataType, named(order[0]), True
     if isinstance(kind, _TIMES):
         column = micros(column)
-    elif not isinstance(kind, _INTEGERS):
-        return None
-    return F.coalesce(column.cast("bigint"), F.lit(BEFORE_ALL))
+    elif isinstance(kind, T.DateType):
+        column = F.unix_date(column)
+    elif isinstance(kind, (T.BinaryType, T.StringType)) and _bytewise(kind):
+        # the first seven bytes, as a number of fourteen hexadecimal digits
+        digits = F.hex(F.substring(column.cast("binary"), 1, 7))
+        column, exact = F.conv(F.rpad(digits, 14, "0"), 16, 10), False
+    elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        # NaN is the greatest, as in an order; least and greatest would skip a NULL
+        scaled = column.cast("double") * F.lit(float(1 << 20))
+        within = F.greatest(F.least(scaled, F.lit(_FAR)), F.lit(-_FAR))
+        column, exact = F.when(column.isNotNull(), within), False
+    elif not isinstance(kind, (*_INTEGERS, T.BooleanType)):
+        return None, False
+    return F.coalesce(column.cast("bigint"), F.lit(BEFORE_ALL)), exact
+
+
+def _bytewise(kind: T.DataType) -> bool:
+    """Whether texts of this type are in the order of their bytes."""
+    return not isinstance(kind, T.StringType) or kind.collation == "UTF8_BINARY"
 
 
 def _rows(df: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -58,7 +76,7 @@ def _rows(df: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
     require_utc(df.sparkSession)
     if not on:
         raise ValueError("name at least one key column")
-    first = _as_integer(df, order)
+    first, _ = _as_integer(df, order)
     places = [F.lit(0).alias("o"), *[named(c).alias(f"o{i}") for i, c in enumerate(order)]]
     return df.select(
         *[named(k).alias(f"k{i}") for i, k in enumerate(on)],
@@ -70,9 +88,10 @@ def _rows(df: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
 
 
 def _segmented(
-    rows: DataFrame, keys: list[str], order: Sequence[str], hot_rows: int, splits: int | None
+    df: DataFrame, on: Sequence[str], order: Sequence[str], hot_rows: int, splits: int | None
 ) -> tuple[DataFrame, HotKeys | None, list[str]]:
-    """*rows* with segments where there are hot keys, and the columns of one group."""
+    """Rows of *df* with segments where there are hot keys, and the columns of one group."""
+    rows, keys = _rows(df, on, order), [f"k{i}" for i in range(len(on))]
     splits = default_splits(rows) if splits is None else splits
     hot_keys = find_hot_keys(rows.select(*keys, "t"), keys, hot_rows, splits)
     if hot_keys is None:
@@ -80,7 +99,8 @@ def _segmented(
     rows = with_hot_number(rows, hot_keys, keys)
     crowded = "u" in rows.columns and bool(hot_keys.crowded_instants())
     inner = crowded_cuts(rows, hot_keys, splits) if crowded and order else None
-    spread = crowded and len(order) <= 1
+    # rows that could still differ in their order stay together
+    spread = crowded and len(order) <= 1 and _as_integer(df, order)[1]
     placed = with_segment(rows, hot_keys, spread=spread, inner=inner)
     # Placed by task number, rows could sit elsewhere when read a second time for what
     # segments take over; so they are placed once.
@@ -107,12 +127,11 @@ def lagged(
     Rows of one *on* key are ordered by ``$timestamp``, then by the *order* columns;
     these should tell rows of one instant apart. The first row of a key gets NULL.
     """
-    keys = [f"k{i}" for i in range(len(on))]
     values = F.struct(
         *[F.col("l").getField(f"c{df.columns.index(old)}").alias(f"v{i}")
           for i, old in enumerate(columns.values())]
     )
-    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, order, hot_rows, splits)
+    rows, hot_keys, groups = _segmented(df, on, order, hot_rows, splits)
     rows = rows.withColumns({"v": values, "seed": F.lit(False)})
     if hot_keys is not None:
         last = (
@@ -149,8 +168,7 @@ def numbered(
     splits: int | None = None,
 ) -> DataFrame:
     """*df* with the place of each row in its key, from 1, as column *name*."""
-    keys = [f"k{i}" for i in range(len(on))]
-    rows, hot_keys, groups = _segmented(_rows(df, on, order), keys, order, hot_rows, splits)
+    rows, hot_keys, groups = _segmented(df, on, order, hot_rows, splits)
     counts = rows
     place = F.row_number().over(Window.partitionBy(*groups).orderBy("t", "o")).cast("bigint")
     rows = rows.withColumn("n", place)
