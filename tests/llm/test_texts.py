@@ -154,6 +154,11 @@ def test_held_out_accuracy(spark):
     assert ids == {r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
 
 
+def test_numerals_are_no_letters():
+    assert not any(map(language.has_letter, [None, "", "12 ½ ² Ⅷ _"]))
+    assert all(map(language.has_letter, ["½ a", "é", "語"]))
+
+
 def test_scores_are_those_of_plain_naive_bayes(frame):
     rows = [(1, "aab", "x"), (2, "bba", "y"), (3, "bbb b", "y")]
     docs = frame(rows, f"{TEXT}, lang string")

@@ -33,7 +33,8 @@ _PORTION = 500_000
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    """Whether a letter is among the word characters; numerals like a half are none."""
+    return text is not None and any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
