@@ -18,17 +18,32 @@ from tickshard.plans.temporary import shared_folder
 from tickshard.session import configure
 
 
-#: As many ids, of eight bytes, are sent to all executors; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Bits of the filter that says which texts may be gone: 512 rows of 4 KiB at most.
+FILTER_BITS = 1 << 24
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """*docs* without the ids in *gone*, a stored result; texts stay where they are if the
-    ids are few enough to be sent to them."""
-    ids = gone.select("doc_id").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    """*docs* without the ids in *gone*, a stored result.
+
+    A bit table of fixed size, made from those ids, is broadcast to the texts: a text whose
+    bit is clear stays where it is, and only the others meet the ids in an exact anti join.
+    Rows with a NULL id stay.
+    """
+    ids = gone.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
+    bucket, bit, bits = "__gone_bucket", "__gone_bit", "__gone_bits"
+    table = ids.groupBy(F.bitmap_bucket_number(at).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(bits)
+    )
+    placed = docs.withColumns({bucket: F.bitmap_bucket_number(at), bit: F.bitmap_bit_position(at)})
+    byte = f"conv(hex(substring({bits}, int({bit} div 8) + 1, 1)), 16, 10)"
+    is_set = F.expr(f"getbit(cast({byte} AS bigint), int({bit} % 8)) = 1")
+    flagged = placed.join(F.broadcast(table), bucket, "left").withColumn(
+        bit, F.coalesce(is_set, F.lit(False))
+    )
+    sure = flagged.where(~F.col(bit)).select(*docs.columns)
+    doubtful = flagged.where(bit).select(*docs.columns)
+    return sure.unionByName(doubtful.join(ids, "doc_id", "left_anti").select(*docs.columns))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -237,3 +237,18 @@ def test_pipeline_edges(spark, frame):
     empty = frame([], schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_removed_ids_are_exact_whatever_the_filter(spark, monkeypatch):
+    """A crowded filter sends more texts to the exact join and changes nothing else."""
+    docs = spark.sql("SELECT if(id % 50 = 7, NULL, id * 7919) AS doc_id, string(id) AS text FROM range(3000)")
+    gone = spark.sql("SELECT id * 7919 AS doc_id FROM range(0, 3000, 9) UNION ALL SELECT NULL")
+    removed = {r.doc_id for r in gone.collect()} - {None}
+    wanted = sorted(r.text for r in docs.collect() if r.doc_id not in removed)
+    for bits in (1 << 24, 1 << 9, 1 << 3):
+        monkeypatch.setattr(corpus_pipeline, "FILTER_BITS", bits)
+        left = corpus_pipeline._without(docs, gone)
+        assert left.columns == docs.columns
+        assert sorted(r.text for r in left.collect()) == wanted
+    assert corpus_pipeline._without(docs, gone.limit(0)).count() == 3000
+    assert corpus_pipeline._without(docs.limit(0), gone).count() == 0
