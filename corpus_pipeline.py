@@ -74,7 +74,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their sequence and offset."""
+    """The pieces of all documents, with their token ids, sequence and offset."""
     small_batches(configure(spark))
     return packing.pack(docs, tokenizer_path())
 

@@ -229,6 +229,17 @@ def test_round_trip(spark, frame):
     assert packing.pack(frame([], TEXT), tokenizer_path()).count() == 0
 
 
+def test_packed_pieces_hold_their_ids(spark, frame):
+    import corpus_pipeline
+
+    docs = frame([(1, "a b c"), (2, None), (3, "word " * 3000)], TEXT)
+    rows = corpus_pipeline.packed(spark, docs, SF).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3}
+    for r in rows:
+        assert len(r.ids) == r.length
+        assert r.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r.ids))
+
+
 def test_fill_is_the_best_subset_sum():
     rng = random.Random(4)
     for _ in range(300):

@@ -167,7 +167,10 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, window: int, with_ids: bool) -> DataFrame:
-    """Each document's ids and the end id 0, cut into whole windows and a rest."""
+    """Each document's ids and the end id 0, cut into whole windows and a rest.
+
+    Ids are bytes here: two for each if a document's ids allow it, else four.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
@@ -177,6 +180,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, with_ids: bool) ->
                 low, rows, start, length, crc, total, ids = part.start, [], [], [], [], [], []
                 for i, tokens in enumerate(encoder.encode(texts[part])):
                     tokens += b"\0\0\0\0"
+                    if with_ids:
+                        short = np.frombuffer(tokens, dtype="<u4")
+                        wide = 2 if short.max() < 1 << 16 else 4
+                        short = short.astype(f"<u{wide}").tobytes()
                     for at in range(0, len(tokens), 4 * window):
                         piece = tokens[at : at + 4 * window]
                         rows.append(low + i)
@@ -185,7 +192,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, with_ids: bool) ->
                         crc.append(zlib.crc32(piece))
                         total.append(len(tokens) // 4)
                         if with_ids:
-                            ids.append(np.frombuffer(piece, dtype="<i4"))
+                            begin = at // 4 * wide
+                            ids.append(short[begin : begin + window * wide])
                 columns = {
                     "doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64())),
                     "start": pa.array(start, pa.int64()),
@@ -194,14 +202,23 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, with_ids: bool) ->
                     "doc_tokens": pa.array(total, pa.int64()),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                    columns["ids"] = pa.array(ids, pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
 
     fields = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    fields += ", ids array<int>" if with_ids else ""
+    fields += ", ids binary" if with_ids else ""
     return docs.select("doc_id", "text").mapInArrow(run, fields)
 
 
+def _listed(column: pa.Array, lengths: list[int]) -> pa.Array:
+    """Lists of ids from their bytes."""
+    parts = [
+        np.frombuffer(raw, dtype=f"<u{len(raw) // n}") for raw, n in zip(column.to_pylist(), lengths)
+    ]
+    flat = np.concatenate([np.empty(0, "<i4"), *parts], dtype=np.int32, casting="unsafe")
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(flat))
+
+
 def fill(room: int, counts: list[int]) -> dict[int, int]:
     """The multiset of lengths with the largest sum up to *room*; counts[n] are left of length n.
 
@@ -271,13 +288,13 @@ def _places(patterns: list[tuple[list[int], int]]) -> dict[int, tuple[list, list
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = True
 ) -> DataFrame:
     """The pieces of all *docs* (doc_id, text) with their sequence and offset in it.
 
     doc_id, start, length, ids_crc32 (of the ids as little-endian unsigned 32-bit numbers),
-    doc_tokens (with the end id 0), sequence_id (gapless from 0), offset (gapless from 0 in
-    a sequence), and with *with_ids* the ids. A NULL or empty text is one piece: the end id.
+    doc_tokens (with the end id 0), ids, sequence_id (gapless from 0), offset (gapless from 0 in
+    a sequence); *with_ids* false leaves ids out. A NULL or empty text is one piece: the end id.
     Rows that repeat an id are documents of their own. Other columns are ignored; an empty
     table has no pieces.
     """
@@ -293,19 +310,26 @@ def pack(
             for batch in batches:
                 sequence, offset = [], []
                 rank = batch.column("place").to_pylist()
-                for n, r in zip(batch.column("length").to_pylist(), rank):
+                lengths = batch.column("length").to_pylist()
+                for n, r in zip(lengths, rank):
                     begins, shares = shared.value[n]
                     at = bisect_right(begins, r) - 1
                     first, own = shares[at]
                     turn, slot = divmod(r - begins[at], len(own))
                     sequence.append(first + turn)
                     offset.append(own[slot])
-                kept = batch.drop_columns(["place"])
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
-                    names=[*kept.schema.names, "sequence_id", "offset"],
-                )
+                columns = dict(zip(names, batch.columns))
+                if with_ids:
+                    columns["ids"] = _listed(columns["ids"], lengths)
+                columns["sequence_id"] = pa.array(sequence, pa.int64())
+                columns["offset"] = pa.array(offset, pa.int64())
+                yield pa.RecordBatch.from_pydict(columns)
 
-        added = [T.StructField(n, T.LongType()) for n in ("sequence_id", "offset")]
-        fields = T.StructType([*pieces.schema.fields, *added])
+        names = pieces.columns
+        fields = T.StructType()
+        for field in pieces.schema.fields:
+            kind = T.ArrayType(T.IntegerType()) if field.name == "ids" else field.dataType
+            fields.add(field.name, kind)
+        for name in ("sequence_id", "offset"):
+            fields.add(name, T.LongType())
         return result(placed.select(*pieces.columns, "place").mapInArrow(run, fields))
