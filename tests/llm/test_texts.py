@@ -83,6 +83,15 @@ def test_masking_keeps_columns_and_clean_texts(frame):
     assert pii.train(docs.limit(0)).weights == {}
 
 
+def test_sample_holds_different_windows_of_every_kind(frame):
+    # copies of one window must not take the places of others
+    rows = [(i, "page 7 of 9") for i in range(4000)] + [(9000 + i, f"row {i} end") for i in range(3000)]
+    rows += [(1, "a@b.cd"), (2, "ip 1.2.3.4"), (3, "no 4111111111111111"), (4, "+1 22 333 4444")]
+    sample = pii.sample_windows(frame(rows, TEXT))
+    assert len(sample) == len(set(sample)) == pii.SAMPLE
+    assert {k for w in sample for k, _, _ in pii.base_spans(w)} == {0, 1, 2, 3}
+
+
 # -- licenses ----------------------------------------------------------------------
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickshard.llm.scratch import text_or_empty
+from tickshard.llm.scratch import Scratch, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: Windows the field is trained on at most, chosen by a hash of their text.
+#: Different windows the field is trained on at most, chosen by a hash of their text; so many
+#: places are first for windows with a label of each kind.
 SAMPLE = 1500
+PER_KIND = 250
 EPOCHS = 4
 MAX_TOKENS = 14
 #: How much better than leaving it out a segment must score.
@@ -266,17 +268,61 @@ class Field:
         return base, sorted(base + more)
 
 
-def sample_windows(docs: DataFrame) -> list[str]:
-    """At most SAMPLE different windows of *docs*, by a hash of their text: a bounded sample."""
+def _hash(text: str) -> int:
+    raw = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(raw, "little", signed=True)
+
+
+def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's different windows, the first by hash: SAMPLE of all, PER_KIND of each kind."""
+    held: dict[int, tuple[str, set[int]]] = {}
+
+    def trim() -> None:
+        order = sorted(held)
+        kept = set(order[:SAMPLE])
+        for kind in range(len(KINDS)):
+            kept.update([h for h in order if kind in held[h][1]][:PER_KIND])
+        for h in order:
+            if h not in kept:
+                del held[h]
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for window in (text[a:b] for a, b in windows(text)):
+                if (h := _hash(window)) not in held:
+                    held[h] = window, {k for k, _, _ in base_spans(window)}
+            if len(held) > 8 * SAMPLE:
+                trim()
+    trim()
+    yield pa.RecordBatch.from_pydict(
+        {
+            "hash": pa.array(list(held), pa.int64()),
+            "text": pa.array([w for w, _ in held.values()], pa.string()),
+            "kinds": pa.array([sum(1 << k for k in ks) for _, ks in held.values()], pa.int64()),
+        }
+    )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [t[a:b] for t in batch.column("text").to_pylist() for a, b in windows(t)]
-            yield pa.RecordBatch.from_pydict({"text": pa.array(found, pa.string())})
 
+def sample_windows(docs: DataFrame) -> list[str]:
+    """At most SAMPLE different windows of *docs*, the first by a hash of their text.
+
+    PER_KIND places for each kind come first, so every kind with a base span in a window is
+    among them. A task hands on no more windows than the sample could take from it.
+    """
     cued = docs.select("text").where(F.col("text").rlike("[0-9@]"))
-    ordered = cued.mapInArrow(cut, "text string").orderBy(F.xxhash64("text"), "text")
-    return sorted({r["text"] for r in ordered.limit(SAMPLE).collect()})
+    with Scratch(docs.sparkSession) as scratch:
+        made = cued.mapInArrow(_first_windows, "hash bigint, text string, kinds bigint")
+        stored = scratch.store(made).distinct()
+
+        def first(rows: DataFrame, most: int) -> list[str]:
+            return [r["text"] for r in rows.orderBy("hash", "text").limit(most).collect()]
+
+        chosen = {}
+        for kind in range(len(KINDS)):
+            labelled = stored.where(F.col("kinds").bitwiseAND(1 << kind) != 0)
+            chosen |= dict.fromkeys(first(labelled, PER_KIND))
+        chosen |= dict.fromkeys(first(stored, SAMPLE))
+    return sorted(list(chosen)[:SAMPLE])
 
 
 def train(docs: DataFrame) -> Field:
