@@ -92,6 +92,22 @@ def test_sample_holds_different_windows_of_every_kind(frame):
     assert {k for w in sample for k, _, _ in pii.base_spans(w)} == {0, 1, 2, 3}
 
 
+def test_windows_are_whole_words_without_a_limit(spark):
+    lines = "".join(f"\n{i}.\t+49 (0) 89-{i:07d}" for i in range(2000))
+    assert pii.windows(lines) == [(1, len(lines))]
+    glued = "-".join(["1234567"] * 500)
+    assert pii.windows(f"a b c {glued} d e f") == [(2, len(glued) + 10)]
+    assert all(len(w) <= pii.WINDOW for w in pii.short_windows(lines + " " + glued))
+    assert " ".join(pii.short_windows(lines)).split() == lines.split()
+
+
+def test_bracketed_at_is_found():
+    field = pii.Field().fit([f"mail {a}.{b}@{c}.org now 1{i}" for i, (a, b, c) in enumerate(
+        [("jo", "smith", "web"), ("ann", "lee", "host"), ("bo", "li", "box")] * 20)])
+    text = "mail john.doe [at] mail [dot] org now"
+    assert (0, 5, 33) in field.spans(text)[1] and text[5:33].endswith("org")
+
+
 # -- licenses ----------------------------------------------------------------------
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

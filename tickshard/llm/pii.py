@@ -1,17 +1,19 @@
 """Personal data in texts: exact patterns, and a semi-Markov conditional random field.
 
 The patterns give the base spans. The field reads windows of text around cues (a digit,
-an ``@`` or a bracketed "at") as tokens, scores whole candidate segments by features of
-the span (its shape, digit groups, checksums, separators, neighbours) and chooses
-boundaries and types together by a dynamic programme over segments of bounded length. It
-is trained on a bounded sample of windows whose base spans are the labels, and adds spans
-where no base span is; base spans always stay.
+an ``@``, a bracketed "at" or "dot") as tokens, scores whole candidate segments by features
+of the span (its shape, digit groups, checksums, separators, neighbours) and chooses
+boundaries and types together by a dynamic programme over segments of bounded length; the
+windows themselves are whole words and as long as their cues go on. It is trained on a
+bounded sample of windows whose base spans are the labels, and adds spans where no base
+span is; base spans always stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ EPOCHS = 4
 MAX_TOKENS = 14
 #: How much better than leaving it out a segment must score.
 MARGIN = 2.0
-#: Characters of a window at most; a longer one is cut, base spans never are.
+#: Characters of a window for training at most; a longer one is cut between words there.
 WINDOW = 400
 
 # The base patterns.
@@ -42,7 +44,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-_CUE = re.compile(r"[0-9@]|[\[({<] ?(?:at|AT|At) ?[\])}>]")
+_CUE = re.compile(r"[0-9@]|[\[({<] ?(?:at|AT|At|dot|DOT|Dot) ?[\])}>]")
+_AT = re.compile(r" ?[\[({<] ?(?:at|AT|At) ?[\])}>] ?")
+_DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?")
+_WORD = re.compile(r"\S+")
+#: The rest of a word, and two more words.
+_REST = re.compile(r"\S*+")
+_NEAR = re.compile(r"\S*+(?:\s++\S++){0,2}+")
 _TOKEN = re.compile(r"[^\W_]+|[^\s]")
 
 #: Features without which a span of a kind is wrong whatever it scores.
@@ -104,22 +112,43 @@ def base_spans(text: str) -> list[Span]:
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around cues: two words to either side, joined where they meet."""
+    """Stretches around cues: whole words, two to either side, joined where they meet."""
     found: list[list[int]] = []
+    backward, word_end = "", 0
     for m in _CUE.finditer(text):
-        if found and m.end() <= found[-1][1]:
-            continue
-        low = high = m.start()
-        for _ in range(3):
-            low = max(text.rfind(" ", max(0, low - 60), low), low - 60, 0)
-        for _ in range(3):
-            at = text.find(" ", high + 1, high + 60)
-            high = at if at >= 0 else min(len(text), high + 60)
-        if found and low <= found[-1][1] and high - found[-1][0] <= WINDOW:
+        if m.end() <= word_end:
+            continue  # what is around it is around the cue before it in its word
+        backward = backward or text[::-1]
+        word_end = _REST.match(text, m.end()).end()
+        high = _NEAR.match(text, m.end()).end()
+        if found and m.start() <= found[-1][1]:
             found[-1][1] = max(high, found[-1][1])
+            continue
+        low = len(text) - _NEAR.match(backward, len(text) - m.start()).end()
+        if found and low <= found[-1][1]:
+            found[-1][1] = high
         else:
-            found.append([max(low, found[-1][1] if found else 0), high])
-    return [(low, high) for low, high in found if low < high]
+            found.append([low, high])
+    return [(low, high) for low, high in found]
+
+
+def short_windows(text: str) -> Iterator[str]:
+    """Windows for training: long ones cut between words, words beyond WINDOW left out."""
+    for low, high in windows(text):
+        if high - low <= WINDOW:
+            yield text[low:high]
+            continue
+        start = end = low
+        for m in _WORD.finditer(text, low, high):
+            if m.end() - start > WINDOW:
+                if end > start:
+                    yield text[start:end]
+                start = m.start()
+            if m.end() - m.start() > WINDOW:
+                start = m.end()
+            end = m.end()
+        if end > start:
+            yield text[start:end]
 
 
 def tokens(text: str, low: int, high: int) -> list[tuple[int, int]]:
@@ -131,8 +160,12 @@ def features(text: str, start: int, end: int) -> list[str] | None:
     span = text[start:end]
     if not (span[-1].isalnum() and (span[0].isalnum() or span[0] in "+(")) or "\n" in span:
         return None
+    length = end - start
+    if "at" in span.lower():  # a bracketed "at" or "dot" between words counts as its sign
+        plain = _DOT.sub(".", _AT.sub("@", span))
+        length, span = len(plain), plain
     digits = _digits(span)
-    if not digits and "@" not in span and "at" not in span.lower():
+    if not digits and "@" not in span:
         return None
     groups = re.findall(r"[0-9]+", span)
     letters = sum(c.isalpha() for c in span)
@@ -149,7 +182,7 @@ def features(text: str, start: int, end: int) -> list[str] | None:
         f"shape={shape[:24]}",
         f"first={span[0] if not span[0].isalnum() else 'x'}",
         f"edge={before.isalnum() or before in '@._%+-'}{after.isalnum() or after == '@'}",
-        f"length={min((end - start) // 4, 8)}",
+        f"length={min(length // 4, 8)}",
     ]
     if "@" in span:
         local, _, domain = span.partition("@")
@@ -163,15 +196,26 @@ def features(text: str, start: int, end: int) -> list[str] | None:
 
 def _segments(text: str, parts: list[tuple[int, int]]):
     """For each token the candidate segments that end with it: (first token, features)."""
-    table = []
     for j, (_, end) in enumerate(parts):
         own = []
         for i in range(j, max(-1, j - MAX_TOKENS), -1):
             found = features(text, parts[i][0], end)
             if found is not None:
                 own.append((i, found))
-        table.append(own)
-    return table
+        yield own
+
+
+def _joined(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that *spans* cover, in order and apart."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(end, ends[-1])
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
 
 
 class Field:
@@ -260,10 +304,11 @@ class Field:
         if not self.weights:
             return base, base
         more = []
+        starts, ends = _joined(base)
         for low, high in windows(text):
-            taken = [(s, e) for _, s, e in base if s < high and e > low]
             for span, _ in self.decode(text, low, high):
-                if all(span[2] <= s or span[1] >= e for s, e in taken):
+                at = bisect_left(starts, span[2])  # stretches that begin before its end
+                if not at or ends[at - 1] <= span[1]:
                     more.append(span)
         return base, sorted(base + more)
 
@@ -288,7 +333,7 @@ def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            for window in (text[a:b] for a, b in windows(text)):
+            for window in short_windows(text):
                 if (h := _hash(window)) not in held:
                     held[h] = window, {k for k, _, _ in base_spans(window)}
             if len(held) > 8 * SAMPLE:
@@ -309,7 +354,7 @@ def sample_windows(docs: DataFrame) -> list[str]:
     PER_KIND places for each kind come first, so every kind with a base span in a window is
     among them. A task hands on no more windows than the sample could take from it.
     """
-    cued = docs.select("text").where(F.col("text").rlike("[0-9@]"))
+    cued = docs.select("text").where(F.col("text").rlike(_CUE.pattern))
     with Scratch(docs.sparkSession) as scratch:
         made = cued.mapInArrow(_first_windows, "hash bigint, text string, kinds bigint")
         stored = scratch.store(made).distinct()
