@@ -252,3 +252,17 @@ def test_removed_ids_are_exact_whatever_the_filter(spark, monkeypatch):
         assert sorted(r.text for r in left.collect()) == wanted
     assert corpus_pipeline._without(docs, gone.limit(0)).count() == 3000
     assert corpus_pipeline._without(docs.limit(0), gone).count() == 0
+
+
+def test_large_components_take_part(frame):
+    # 70,000 is beyond the old limit; scores of the second pair need more than 53 bits
+    rows = [(50, [70000.0, 1.0]), (1, [0.5, 0.0]), (2, [3e6, 1 / 256]), (3, [3e6, 2 / 256]), (4, [-1.0, 0.0]),
+            (5, [0.25, 0.0]), (6, [float("inf"), 0.0]), (100, [1e6 + 1 / 256, 1.0])]
+    known = {i: [int(x * 256 // 1) for x in v] for i, v in rows if i != 6}
+    found = topk.exact_top_k(frame(rows, "vec_id bigint, embedding array<double>")).collect()
+    for query in (50, 100):
+        score = lambda i: sum(a * b for a, b in zip(known[query], known[i]))
+        best = sorted((i for i in known if i != query), key=lambda i: (-score(i), i))[:5]
+        own = sorted((r for r in found if r.query_id == query), key=lambda r: r.rank)
+        assert [(r.vec_id, r.score) for r in own] == [(i, score(i)) for i in best]
+    assert topk._scores(*[np.array([[2**30, 1]])] * 2).tolist() == [[2**60 + 1]]

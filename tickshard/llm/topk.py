@@ -31,8 +31,8 @@ SAMPLE = 2048
 #: Vectors of a ring, and queries, that meet in one task.
 RING_BLOCK, QUERY_BLOCK = 4096, 2048
 SCALE = 256
-#: Components beyond this can't be scored in 64 bits; their vectors take no part.
-LARGEST = 1 << 24
+#: Whole components from here on are an error: no score of them with themselves fits a long.
+LARGEST = 1 << 62
 
 
 def _quantized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,26 +43,28 @@ def _quantized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row is None or None in row:
                 continue
             x = np.floor(np.array(row, dtype=np.float64) * SCALE)
-            if np.isfinite(x).all() and (np.abs(x) <= LARGEST).all():
+            if np.isfinite(np.array(row, dtype=np.float64)).all():
+                if (np.abs(x) >= LARGEST).any():
+                    raise OverflowError("a component is too large for scores in 64 bits")
                 rows.append(i)
-                values.append(x.astype(np.int32).tolist())
-                norms.append(int((x.astype(np.int64) ** 2).sum()))
+                values.append(x.astype(np.int64))
+                norms.append(float((x**2).sum()))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("vec_id").take(pa.array(rows, pa.int64())),
-                pa.array(values, pa.list_(pa.int32())),
-                pa.array(norms, pa.int64()),
+                pa.array(values, pa.list_(pa.int64())),
+                pa.array(norms, pa.float64()),
             ],
             names=["vec_id", "x", "norm"],
         )
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def _matrix(column: pa.Array, width: int, kind=np.float64) -> np.ndarray:
     """Rows of integers; shorter ones end in zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     offsets, flat = column.offsets.to_numpy(), column.flatten().to_numpy(zero_copy_only=False)
     offsets = offsets - offsets[0]
-    found = np.zeros((len(column), width))
+    found = np.zeros((len(column), width), dtype=kind)
     sizes = np.diff(offsets)
     row = np.repeat(np.arange(len(column)), sizes)
     found[row, np.arange(len(flat)) - np.repeat(offsets[:-1], sizes)] = flat
@@ -106,22 +108,34 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))[:k]]
 
 
+def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact products of rows of whole numbers, in the narrowest arithmetic that holds them."""
+    norms = [np.sqrt((m.astype(np.float64) ** 2).sum(axis=1).max()) for m in (q, x)]
+    most = norms[0] * norms[1]  # of a product, and of any part of its sum
+    if most < 1 << 52:
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    if most < 1 << 62:
+        return q @ x.T
+    wide = q.astype(object) @ x.astype(object).T
+    if max(abs(v) for v in wide.flat) >= 1 << 63:
+        raise OverflowError("a score does not fit 64 bits")
+    return wide.astype(np.int64)
+
+
 def _searcher(width: int, k: int):
     def run(left, right):
         """Each query's k best in a block of a ring."""
         ids, own = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy()
         found = []
         if len(ids) and len(own):
-            x = _matrix(left.column("x"), width)
+            x = _matrix(left.column("x"), width, np.int64)
             for start in range(0, len(own), 256):
-                q = _matrix(right.column("q").slice(start, 256), width)
-                scores = q @ x.T  # whole numbers below 2**53, so exact
-                for i, row in enumerate(scores):
+                q = _matrix(right.column("q").slice(start, 256), width, np.int64)
+                for i, row in enumerate(_scores(q, x)):
                     query = own[start + i]
-                    row = np.where(ids == query, -np.inf, row)
-                    for at in _best(row, ids, k):
-                        if np.isfinite(row[at]):
-                            found.append((query, ids[at], int(row[at])))
+                    others = np.flatnonzero(ids != query)
+                    for at in others[_best(row[others], ids[others], k)]:
+                        found.append((query, ids[at], int(row[at])))
         columns = list(zip(*found)) if found else [(), (), ()]
         return pa.table(
             {n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)}
@@ -135,14 +149,14 @@ def exact_top_k(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int =
 
     *vectors*: vec_id, embedding. Each component becomes ``floor(256 * x)``; the score is
     the inner product of these, ties go to the smaller id. Rows that are NULL, hold NULL,
-    NaN or an infinity, have a NULL id or a component beyond 65,536 take no part; a shorter
-    vector counts as if it ended in zeros. A query's own id is no candidate; rows that
+    NaN or an infinity, or have a NULL id take no part; a score that does not fit a long is an
+    error. A shorter vector counts as if it ended in zeros. A query's own id is no candidate; rows that
     repeat an id are candidates each, and one query with the first of their vectors. With fewer
     candidates all are returned. Other columns are ignored.
     """
     spark = vectors.sparkSession
     with Scratch(spark) as scratch:
-        fields = "vec_id bigint, x array<int>, norm bigint"
+        fields = "vec_id bigint, x array<bigint>, norm double"
         known = vectors.where("vec_id IS NOT NULL").select("vec_id", "embedding")
         rows = scratch.store(known.mapInArrow(_quantized, fields))
         most, width = rows.agg(F.max("norm"), F.max(F.size("x"))).first()
@@ -178,7 +192,7 @@ def exact_top_k(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int =
                 )
 
         placed = scratch.store(
-            rows.mapInArrow(place, "vec_id bigint, x array<int>, ring int, near double")
+            rows.mapInArrow(place, "vec_id bigint, x array<bigint>, ring int, near double")
         )
         # at most PIVOTS * RINGS rows
         stats = placed.groupBy("ring").agg(
@@ -217,9 +231,9 @@ def exact_top_k(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int =
                             least = batch.column("least")[i].as_py()
                             wanted = order[i][enough:]
                             if least is not None:
-                                # a hair of room for the rounding of distances
+                                # room for the rounding of distances, by the size of their parts
                                 top = (square[i] + most - bound[i][wanted] ** 2) / 2
-                                wanted = wanted[top * (1 + 1e-9) + 1e-3 >= least]
+                                wanted = wanted[top + (square[i] + most) * 1e-6 + 1e-3 >= least]
                         row += [i] * len(wanted)
                         ring += number[wanted].tolist()
                     at = pa.array(row, pa.int64())
@@ -247,7 +261,7 @@ def exact_top_k(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int =
                 .applyInArrow(_searcher(width, k), "query_id bigint, vec_id bigint, score bigint")
             )
 
-        fields = "query_id bigint, q array<int>, ring int"
+        fields = "query_id bigint, q array<bigint>, ring int"
         first = scratch.store(search(queries.mapInArrow(routed(False), fields)))
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         kth = (
