@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tickshard.plans.temporary import expire_temp, fixed, temp_name
 
 
-#: Rows that Python gets at once: texts may be long, and two workers share an executor.
+#: What Python gets at once: texts may be long, and two workers share an executor. A batch
+#: ends at either bound; one row may be larger.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -28,21 +31,31 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._names: list[str] = []
+        self._stored: dict[int, tuple[DataFrame, str]] = {}
 
     def __enter__(self) -> Scratch:
         expire_temp(self.spark)
         return self
 
     def __exit__(self, *error) -> None:
-        for name in self._names:
+        for _, name in self._stored.values():
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def store(self, df: DataFrame) -> DataFrame:
         name = temp_name(self.spark, "stage")
-        self._names.append(name)
-        df.write.format("parquet").saveAsTable(name)
-        return self.spark.table(name)
+        try:
+            df.write.format("parquet").option("compression", "zstd").saveAsTable(name)
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            raise
+        table = self.spark.table(name)
+        self._stored[id(table)] = (table, name)
+        return table
+
+    def drop(self, df: DataFrame) -> None:
+        """Drop what ``store`` returned before the block ends."""
+        _, name = self._stored.pop(id(df))
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def result(df: DataFrame) -> DataFrame:
