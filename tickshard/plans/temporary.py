@@ -85,12 +85,14 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
 
 
-def fixed(df: DataFrame, ttl: str | int | dt.timedelta = DEFAULT_TTL) -> DataFrame:
+def fixed(
+    df: DataFrame, ttl: str | int | dt.timedelta = DEFAULT_TTL, compression: str = "snappy"
+) -> DataFrame:
     """*df* evaluated once into a temporary table, so that all its readers see the same
     rows even where a second evaluation could place or order them differently."""
     spark = df.sparkSession
     name = temp_name(spark)
-    df.write.format("parquet").saveAsTable(quoted(name))
+    df.write.format("parquet").option("compression", compression).saveAsTable(quoted(name))
     spark.sql(
         f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{TTL_PROPERTY}' = '{width_micros(ttl)}')"
     )
