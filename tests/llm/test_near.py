@@ -103,3 +103,25 @@ def test_edges(frame):
         (None, 0, None, True),
     }
     assert found(frame([(4, "a b c"), (4, "a b c")], schema), 2) == {(4, 2, 4, True)}
+
+
+def twins(n):
+    """Two words of *n* letters that a polynomial modulo 2**64 can't tell apart from 1,024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return ["".join("ab"[b] for b in bits), "".join("ab"[1 - b] for b in bits)]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_mirror_each_other_are_different(frame, n):
+    one, two = twins(n)
+    rows = [(1, f"{one} end"), (2, f"{two} end"), (3, f"{one}  END")]
+    assert found(frame(rows, "doc_id bigint, text string"), 5) == {
+        (1, 1, 1, True), (2, 1, 2, True), (3, 1, 1, False)}
+
+
+def test_ids_with_several_texts_keep_all_links(frame):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "ab"]
+    close = [t + " more" for t in texts]
+    rows = [(1, texts[0]), (1, texts[1]), (2, close[0]), (3, close[1]), (4, "something else")]
+    got = near_duplicates(frame(rows, "doc_id bigint, text string"), 2).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)} and len(got) == 5

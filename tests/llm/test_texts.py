@@ -265,6 +265,34 @@ def test_packed_pieces_hold_their_ids(spark, frame):
         assert r.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r.ids))
 
 
+def test_chunks_that_mirror_each_other_have_their_own_ids(frame):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    texts = [f"x {one} {two}", f"{two} {one}", f"{one}", f" {two}", "x"]
+    rows = packing.pack(frame(list(enumerate(texts)), TEXT), tokenizer_path(), 512).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r.start, r.ids) for r in rows if r.doc_id == i)
+        assert [t for _, ids in own for t in ids] == whole.encode(text, add_special_tokens=False).ids + [0]
+
+
+def test_many_pieces_of_one_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CELL", 500)
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "'a b c' AS text")
+    rows = packing.pack(docs, tokenizer_path(), window=10).drop("ids")
+    spread = rows.groupBy("sequence_id").count().groupBy("count").count().collect()
+    assert [tuple(r) for r in spread] == [(2, 50_000)]
+    assert rows.select("sequence_id", "offset").distinct().count() == 100_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 40_000
+
+
 def test_fill_is_the_best_subset_sum():
     rng = random.Random(4)
     for _ in range(300):

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickshard.llm.scratch import freeing
 from tickshard.llm.words import mix, portions
 
 BUCKETS = 1 << 15
@@ -86,7 +87,8 @@ class Model:
         if not self.languages or not real:
             return names, scores
         code, begins = grams([texts[i] for i in real])
-        total = np.add.reduceat(self.log_probability[code], begins[:-1], axis=0) + self.log_prior
+        total = np.add.reduceat(self.log_probability[code], begins[:-1], axis=0, dtype=np.float64)
+        total += self.log_prior
         best = total.argmax(axis=1)
         odds = np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         for i, b, o in zip(real, best, odds):
@@ -140,7 +142,7 @@ def train(docs: DataFrame) -> Model:
     known = docs.select("text", "lang").where(
         "lang IS NOT NULL AND text IS NOT NULL AND lang <> 'und'"
     )
-    strips = known.mapInArrow(_count, fields).groupBy("lang", "strip").applyInArrow(_add, fields)
+    strips = known.mapInArrow(freeing(_count), fields).groupBy("lang", "strip").applyInArrow(_add, fields)
     found = strips.limit(MAX_LANGUAGES * BUCKETS // STRIP + 1).collect()
     languages = sorted({r["lang"] for r in found})
     if len(languages) > MAX_LANGUAGES:
@@ -189,7 +191,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             T.StructField("score", T.DoubleType()),
         ]
     )
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(freeing(run), schema)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -36,13 +36,7 @@ BLOCK_DOCS, BLOCK_POSTINGS = 1 << 14, 1 << 20
 def terms(texts: Sequence[str | None]) -> tuple[pa.Array, np.ndarray]:
     """The terms of all texts, with repeats and in order, and how many each text has."""
     words = Words(texts, ALNUM)
-    inside = np.zeros(len(words.buffer) + 1, dtype=np.int8)
-    np.add.at(inside, words.starts, 1)
-    np.add.at(inside, words.ends, -1)
-    data = words.buffer[np.cumsum(inside[:-1]).astype(bool)]
-    ends = np.concatenate(([0], np.cumsum(words.ends - words.starts)))
-    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
-    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers), words.counts()
+    return words.slices(), words.counts()
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickshard.llm.components import components
-from tickshard.llm.scratch import Scratch, result
+from tickshard.llm.scratch import Scratch, freeing, result
 from tickshard.llm.words import SPACED, Words, mix, portions, sets_of
 
 COORDINATES = 48
@@ -190,7 +190,10 @@ def _wanted_filter(ids: DataFrame) -> np.ndarray:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(rep, items): the full sets of the documents in *ids*, made anew from their texts."""
+    """(rep, items): the full sets of the documents in *ids*, made anew from their texts.
+
+    An id that comes with several texts has all their sets.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(_wanted_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,17 +207,19 @@ def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rep")[part.start : part.stop],
+                        pa.array(_sums(mix(sets[0]), sets[1])),
                         pa.ListArray.from_arrays(
                             pa.array(sets[1].astype(np.int32)), pa.array(sets[0].view(np.int64))
                         ),
                     ],
-                    names=["rep", "items"],
+                    names=["rep", "key", "items"],
                 )
 
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("cell")
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text", cell)
-    sets = rows.mapInArrow(run, "rep bigint, items array<bigint>")
-    return sets.join(ids, "rep", "left_semi").groupBy("rep").agg(F.first("items").alias("items"))
+    sets = rows.mapInArrow(freeing(run), "rep bigint, key bigint, items array<bigint>")
+    sets = sets.join(ids, "rep", "left_semi").groupBy("rep", "key")
+    return sets.agg(F.first("items").alias("items")).drop("key")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,14 +315,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     similarity of 0.8 or more; words lie between ASCII white space, with A-Z lowered. A
     text with fewer words has its whole sequence as its one shingle. Without words (NULL,
     empty, white space) the set is empty and the document alone. Rows with a NULL id take no part: their component is NULL and
-    they are kept. Rows that repeat an id with the same text share a component. Other
-    columns are ignored.
+    they are kept. Rows that repeat an id are one document in the graph of links: what is near
+    any of their texts is near the id. Other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     fields = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, sig binary"
     with Scratch(spark) as scratch:
-        prints = scratch.store(docs.mapInArrow(_fingerprint(shingle), fields))
+        prints = scratch.store(docs.mapInArrow(freeing(_fingerprint(shingle)), fields))
         keys = ["key_a", "key_b", "n_shingles"]
         classes = scratch.store(
             prints.where("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -21,15 +21,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickshard.llm.scratch import Scratch, ranked, result
-from tickshard.llm.words import Words, byte_class, mix, portions
+from tickshard.llm.scratch import freeing, ranked, result
+from tickshard.llm.words import Words, byte_class, portions
 
-#: Cells that the pieces of one length are ranked in.
-WAYS = 128
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 250_000
+#: Pieces of one length that are ranked together, on average.
+CELL = 2048
+#: Chunks of text whose ids a worker remembers, and their bytes.
+REMEMBERED, REMEMBERED_BYTES = 250_000, 16 << 20
 #: Characters that are encoded together.
 PORTION = 1_000_000
 
@@ -65,11 +66,14 @@ class Encoder:
         self.width = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, n in ranks.items():
             self.width[n] = len(token)
-        #: Ids as bytes by the hash of a chunk's bytes, which says what is before it, too.
-        self.known: dict[int, bytes] = {}
+        #: Ids as bytes by a chunk's bytes, which begin with the space before it if there is one.
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
-    def _learn(self, keys: list[int], chunks: list[bytes]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         """Remember the ids of chunks, each with the space before it, in one call."""
+        if not chunks:
+            return
         ids = self.ranks.encode_to_numpy(
             b"".join(chunks).decode("utf-8", "surrogatepass"), disallowed_special=()
         )
@@ -77,8 +81,8 @@ class Encoder:
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         cuts = (np.searchsorted(ends, np.cumsum(sizes)) + 1) * 4
         raw, at = ids.astype("<u4").tobytes(), 0
-        for key, cut in zip(keys, cuts.tolist()):
-            self.known[key] = raw[at:cut]
+        for chunk, cut in zip(chunks, cuts.tolist()):
+            self.known[chunk] = raw[at:cut]
             at = cut
 
     def _whole(self, text: str) -> bytes:
@@ -87,30 +91,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self.known.clear()
+            self.held = 0
         words = Words(texts, _NOT_SPACE, lower=False)
-        starts, ends, first, raw = words.starts, words.ends, words.first, words.raw
-        keys = words.hashes()
-        opening = np.zeros(len(keys), dtype=bool)
-        begins = first[:-1][np.diff(first) > 0]
-        opening[begins] = True
-        keys[begins] = mix(keys[begins] ^ np.uint64(1))  # no space before it
-        unique, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        names, known = unique.tolist(), self.known
-        lone, new = [], []
-        rows = zip(names, opening[at].tolist(), starts[at].tolist(), ends[at].tolist())
-        for key, start, low, high in rows:
-            if key not in known:
-                (lone if start else new).append((key, raw[low:high]))
-        if new:
-            self._learn([key for key, _ in new], [b" " + chunk for _, chunk in new])
-        for key, chunk in lone:
-            ids = self.ranks.encode_ordinary(chunk.decode("utf-8", "surrogatepass"))
-            known[key] = np.array(ids, dtype="<u4").tobytes()
-        table = np.empty(len(names), dtype=object)
-        table[:] = [known[k] for k in names]
-        ids = table[inverse].tolist()
+        first = words.first
+        spaced = np.ones(len(words.starts), dtype=bool)
+        spaced[first[:-1][np.diff(first) > 0]] = False  # the first of its text
+        coded = words.slices(spaced).dictionary_encode()
+        chunks, known = coded.dictionary.to_pylist(), self.known
+        new = [c for c in chunks if c not in known]
+        self.held += sum(map(len, new))
+        self._learn([c for c in new if c[0] == 32])
+        for chunk in new:
+            if chunk[0] != 32:
+                ids = self.ranks.encode_ordinary(chunk.decode("utf-8", "surrogatepass"))
+                known[chunk] = np.array(ids, dtype="<u4").tobytes()
+        table = np.empty(len(chunks), dtype=object)
+        table[:] = [known[c] for c in chunks]
+        ids = table[coded.indices.to_numpy()].tolist()
         odd = self._odd(texts, words)
         rows = zip(texts, odd, first[:-1].tolist(), first[1:].tolist())
         return [
@@ -207,7 +206,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, with_ids: bool) ->
 
     fields = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     fields += ", ids binary" if with_ids else ""
-    return docs.select("doc_id", "text").mapInArrow(run, fields)
+    return docs.select("doc_id", "text").mapInArrow(freeing(run), fields)
 
 
 def _listed(column: pa.Array, lengths: list[int]) -> pa.Array:
@@ -296,40 +295,42 @@ def pack(
     doc_tokens (with the end id 0), ids, sequence_id (gapless from 0), offset (gapless from 0 in
     a sequence); *with_ids* false leaves ids out. A NULL or empty text is one piece: the end id.
     Rows that repeat an id are documents of their own. Other columns are ignored; an empty
-    table has no pieces.
+    table has no pieces. The pieces are stored for a day; the result finds their places when it
+    is read, so ids are stored once.
     """
     spark = docs.sparkSession
-    with Scratch(spark) as scratch:
-        pieces = scratch.store(cut_pieces(docs, tokenizer, window, with_ids))
-        lengths = pieces.groupBy("length").count().limit(window + 1).collect()
-        places = _places(plan({r["length"]: r["count"] for r in lengths}, window))
-        shared = spark.sparkContext.broadcast(places)
-        placed = ranked(pieces, ["length"], ["doc_id", "start", "ids_crc32"], "place", WAYS)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sequence, offset = [], []
-                rank = batch.column("place").to_pylist()
-                lengths = batch.column("length").to_pylist()
-                for n, r in zip(lengths, rank):
-                    begins, shares = shared.value[n]
-                    at = bisect_right(begins, r) - 1
-                    first, own = shares[at]
-                    turn, slot = divmod(r - begins[at], len(own))
-                    sequence.append(first + turn)
-                    offset.append(own[slot])
-                columns = dict(zip(names, batch.columns))
-                if with_ids:
-                    columns["ids"] = _listed(columns["ids"], lengths)
-                columns["sequence_id"] = pa.array(sequence, pa.int64())
-                columns["offset"] = pa.array(offset, pa.int64())
-                yield pa.RecordBatch.from_pydict(columns)
+    pieces = result(cut_pieces(docs, tokenizer, window, with_ids))
+    counts = pieces.groupBy("length").count().limit(window + 1).collect()
+    histogram = {r["length"]: r["count"] for r in counts}
+    shared = spark.sparkContext.broadcast(_places(plan(histogram, window)))
+    cells = [-(-histogram.get(n, 1) // CELL) for n in range(window + 1)]
+    ways = F.get(F.array(*map(F.lit, cells)), F.col("length").cast("int"))
+    placed = ranked(pieces, ["length"], ["doc_id", "start", "ids_crc32"], "place", ways)
 
-        names = pieces.columns
-        fields = T.StructType()
-        for field in pieces.schema.fields:
-            kind = T.ArrayType(T.IntegerType()) if field.name == "ids" else field.dataType
-            fields.add(field.name, kind)
-        for name in ("sequence_id", "offset"):
-            fields.add(name, T.LongType())
-        return result(placed.select(*pieces.columns, "place").mapInArrow(run, fields))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sequence, offset = [], []
+            rank = batch.column("place").to_pylist()
+            lengths = batch.column("length").to_pylist()
+            for n, r in zip(lengths, rank):
+                begins, shares = shared.value[n]
+                at = bisect_right(begins, r) - 1
+                first, own = shares[at]
+                turn, slot = divmod(r - begins[at], len(own))
+                sequence.append(first + turn)
+                offset.append(own[slot])
+            columns = dict(zip(names, batch.columns))
+            if with_ids:
+                columns["ids"] = _listed(columns["ids"], lengths)
+            columns["sequence_id"] = pa.array(sequence, pa.int64())
+            columns["offset"] = pa.array(offset, pa.int64())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    names = pieces.columns
+    fields = T.StructType()
+    for field in pieces.schema.fields:
+        kind = T.ArrayType(T.IntegerType()) if field.name == "ids" else field.dataType
+        fields.add(field.name, kind)
+    for name in ("sequence_id", "offset"):
+        fields.add(name, T.LongType())
+    return placed.select(*pieces.columns, "place").mapInArrow(freeing(run), fields)

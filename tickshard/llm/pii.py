@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickshard.llm.scratch import Scratch, text_or_empty
+from tickshard.llm.scratch import Scratch, freeing, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: Different windows the field is trained on at most, chosen by a hash of their text; so many
@@ -356,7 +356,7 @@ def sample_windows(docs: DataFrame) -> list[str]:
     """
     cued = docs.select("text").where(F.col("text").rlike(_CUE.pattern))
     with Scratch(docs.sparkSession) as scratch:
-        made = cued.mapInArrow(_first_windows, "hash bigint, text string, kinds bigint")
+        made = cued.mapInArrow(freeing(_first_windows), "hash bigint, text string, kinds bigint")
         stored = scratch.store(made).distinct()
 
         def first(rows: DataFrame, most: int) -> list[str]:
@@ -404,7 +404,7 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
     fields = "doc_id bigint, " + ", ".join(f"n_{k} bigint" for k in KINDS)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    return rows.mapInArrow(run, f"{fields}, base_sha256 string, spans string")
+    return rows.mapInArrow(freeing(run), f"{fields}, base_sha256 string, spans string")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -436,4 +436,4 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
                 )
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,11 +63,34 @@ class Scratch:
 
 def result(df: DataFrame) -> DataFrame:
     """*df* evaluated once into a temporary table that outlives its block; it expires in a day."""
-    return fixed(df)
+    return fixed(df, compression="zstd")
+
+
+def freeing(run):
+    """*run*, a function of Arrow batches, that gives memory back when it ends.
+
+    Workers are used again for other tasks; what their allocators keep would add up.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := _malloc_trim():
+                trim(0)
+
+    return wrapped
+
+
+@functools.cache
+def _malloc_trim():
+    """The C library's call that returns free memory to the system, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, ways: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, ways: int | Column
 ) -> DataFrame:
     """*df* with the place from 0 of each row among the rows of its *keys*.
 
@@ -74,7 +100,8 @@ def ranked(
     """
     cell, before = f"{name}_cell", f"{name}_before"
     keys = list(keys)
-    celled = df.withColumn(cell, F.pmod(F.xxhash64(*order), F.lit(ways)).cast("int"))
+    ways = ways if isinstance(ways, Column) else F.lit(ways)
+    celled = df.withColumn(cell, F.pmod(F.xxhash64(*order), ways).cast("int"))
     counts = celled.groupBy(*keys, cell).agg(F.count("*").alias(before))
     earlier = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))

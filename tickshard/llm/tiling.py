@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickshard.llm.scratch import Scratch, result
+from tickshard.llm.scratch import Scratch, freeing, result
 from tickshard.llm.words import ALNUM, BASE, Words, mix, portions
 
 SEED = 5
@@ -231,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
         runs = scratch.store(
             known.mapInArrow(
-                _runs(shared, short), "doc_id bigint, run array<bigint>, seeds array<bigint>"
+                freeing(_runs(shared, short)), "doc_id bigint, run array<bigint>, seeds array<bigint>"
             )
         )
         # a seed counts for as many words of its item as it can cover alone

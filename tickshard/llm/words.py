@@ -2,9 +2,9 @@
 
 Texts are read as UTF-8 bytes with A-Z lowered. A word is a maximal run of word bytes;
 bytes of characters beyond ASCII always belong to one class, so byte runs and character
-runs are the same. A word's hash is a Karp-Rabin hash of its bytes: with prefix sums
-``H`` of ``byte * BASE**position`` the hash of a span is ``(H[end] - H[start]) *
-BASE**-start`` modulo 2**64, whatever its length.
+runs are the same. A word's hash joins the values of two polynomials in its bytes modulo
+the prime 2**31 - 1, at two points: no pattern of bytes makes them alike by itself, as
+repeated patterns do modulo a power of two.
 """
 
 from __future__ import annotations
@@ -12,12 +12,15 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK_BYTES = 1_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _U64 = np.uint64
+_PRIME = (1 << 31) - 1
+_POINTS = (1_583_458_089, 784_588_716)
 _powers: list[np.ndarray] = []
 
 
@@ -39,17 +42,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(32))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse for i < n, kept for the next call."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, CHUNK_BYTES + 1)
-        tables = []
-        for base in (BASE, pow(BASE, -1, 1 << 64)):
-            table = np.full(n, base, dtype=_U64)
-            table[0] = 1
-            tables.append(np.multiply.accumulate(table))
+def _power_tables(n: int) -> list[np.ndarray]:
+    """The powers of both points below the *n*-th, kept for the next call if they are few."""
+    if _powers and len(_powers[0]) >= n:
+        return _powers
+    tables = []
+    for point in _POINTS:
+        table, step = np.ones(1, dtype=_U64), point
+        while len(table) < max(n, 1 << 10):
+            table = np.concatenate([table, table * _U64(step) % _U64(_PRIME)])
+            step = step * step % _PRIME
+        tables.append(table)
+    if len(tables[0]) <= 1 << 20:
         _powers[:] = tables
-    return _powers[0], _powers[1]
+    return tables
 
 
 class Words:
@@ -64,9 +70,9 @@ class Words:
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
         #: Where each text begins in ``raw``; one byte lies between texts.
         self.begins = np.concatenate(([0], np.cumsum(lengths + 1)))
-        inside = np.zeros(len(buffer) + 2, dtype=np.int8)
-        inside[1:-1] = table[buffer]
-        edges = np.diff(inside)
+        #: Which bytes belong to words.
+        self.inside = table[buffer]
+        edges = np.diff(np.concatenate(([0], self.inside.astype(np.int8), [0])))
         self.starts = np.flatnonzero(edges == 1)
         self.ends = np.flatnonzero(edges == -1)
         self.first = np.searchsorted(self.starts, self.begins)
@@ -79,13 +85,27 @@ class Words:
         """One 64-bit hash for each word."""
         if not len(self.starts):
             return np.zeros(0, dtype=_U64)
-        power, inverse = _power_tables(len(self.buffer))
-        sums = np.zeros(len(self.buffer) + 1, dtype=_U64)
-        np.cumsum(
-            (self.buffer.astype(_U64) + _U64(1)) * power[: len(self.buffer)], out=sums[1:]
-        )
-        spans = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
-        return mix(spans + (self.ends - self.starts).astype(_U64))
+        lengths = self.ends - self.starts
+        begins = np.concatenate(([0], np.cumsum(lengths)))
+        place = np.arange(begins[-1]) - np.repeat(begins[:-1], lengths)
+        data = self.buffer[self.inside].astype(_U64) + _U64(1)
+        values = []
+        for power in _power_tables(int(lengths.max())):
+            terms = data * power[place]  # below 2**39: words up to 2**24 bytes can't overflow
+            if lengths.max() > 1 << 24:
+                terms %= _U64(_PRIME)
+            values.append(np.add.reduceat(terms, begins[:-1]) % _U64(_PRIME))
+        return mix((values[0] << _U64(31)) | values[1])
+
+    def slices(self, before: np.ndarray | None = None) -> pa.Array:
+        """The words as bytes; where *before* is set, with the byte before the word."""
+        longer = np.zeros(len(self.starts), dtype=bool) if before is None else before
+        taken = self.inside.copy()
+        taken[self.starts[longer] - 1] = True
+        ends = np.concatenate(([0], np.cumsum(self.ends - self.starts + longer)))
+        data = np.ascontiguousarray(self.buffer[taken])
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.large_binary(), len(self.starts), buffers)
 
     def shingles(self, size: int, whole_if_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of *size* words, and where each text's begin.
