@@ -244,9 +244,10 @@ def _with_copies(rows: DataFrame, demands: Sequence[Demand], by_kind: dict) -> D
 
 
 def in_order(assigned: DataFrame) -> DataFrame:
-    """What ``assign`` returns, sorted by the first position; rows that are not taken come last."""
-    first = F.asc_nulls_last(F.get("copies", F.lit(0))["position"])
-    return assigned.repartitionByRange(first).sortWithinPartitions(first, "doc_id")
+    """What ``assign`` returns, sorted by the first position and the id; rows that are not
+    taken come last. Ranges are cut by the id, too, since those have no position."""
+    order = [F.asc_nulls_last(F.get("copies", F.lit(0))["position"]), F.asc_nulls_last("doc_id")]
+    return assigned.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mix(docs: DataFrame, carried: Sequence[str] = ("text",), **options) -> DataFrame:
