@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickshard.llm.scratch import Scratch, result
+from tickshard.llm.scratch import Scratch, freeing, result
 from tickshard.llm.words import ALNUM, Words, portions
 
 #: Bytes of the terms of the items that are searched together, on average.
@@ -75,7 +75,7 @@ def _indexed(docs: DataFrame, vocabulary) -> DataFrame:
                 yield rows.filter(pa.array(counts > 0))
 
     fields = "doc_id bigint, n bigint, terms array<int>, times array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, fields)
+    return docs.select("doc_id", "text").mapInArrow(freeing(run), fields)
 
 
 class Block:
@@ -202,7 +202,7 @@ def _searched(index: DataFrame, plan, spread: tuple[int, int], k: int) -> DataFr
                     names=["item_id", "doc_id", "score"],
                 )
 
-    return index.mapInArrow(run, "item_id bigint, doc_id bigint, score bigint")
+    return index.mapInArrow(freeing(run), "item_id bigint, doc_id bigint, score bigint")
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
