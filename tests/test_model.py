@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 
 import tickshard as ts
-from tickshard.plans.tables import shard_width, stored_shards
+from tickshard.plans.snapshots import stored_shards
+from tickshard.plans.tables import shard_width
 
 COLUMNS = ("$timestamp", "id", "v")
 START = dt.datetime(1969, 12, 30)

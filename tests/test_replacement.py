@@ -1,8 +1,7 @@
-"""Deletions in tables with a folder of their own, interrupted replacements, long lists."""
+"""Deletions in tables with a folder of their own, long lists, and other odd cases."""
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 import tickshard as ts
@@ -35,27 +34,6 @@ def test_deleted_rows_stay_deleted(spark, table_name, tmp_path):
     assert spark.table(table_name).count() == 9
 
 
-@pytest.mark.parametrize("step", ["_remove_old", "_alter_partitions"])
-def test_an_interrupted_replacement_leaves_old_or_new_rows(
-    spark, table_name, tmp_path, monkeypatch, step
-):
-    ts.write_dataframe(days(spark, range(6)), table_name, path=str(tmp_path / "t")).compute()
-
-    def dies(*args, **options):
-        raise RuntimeError("the driver dies here")
-
-    with monkeypatch.context() as patched:
-        patched.setattr(tables, step, dies)
-        with pytest.raises(RuntimeError):
-            ts.write_dataframe(days(spark, [1, 4]), table_name, push_mode="truncate").compute()
-    spark.catalog.refreshTable(table_name)
-    now = held(spark, table_name)
-    assert {0, 1, 4, 5} <= set(now) and len(now) == len(set(now))
-    ts.write_dataframe(days(spark, [1, 4]), table_name, push_mode="truncate").compute()
-    ts.write_dataframe(days(spark, [2]), table_name).compute()
-    assert held(spark, table_name) == [0, 1, 2, 4, 5]
-
-
 def test_long_lists_of_ranges_and_shards(spark, table_name):
     rows = spark.range(2000).select(
         (F.lit(START).cast("timestamp_ntz") + F.expr("make_dt_interval(0, id)")).alias("$timestamp"),

@@ -19,6 +19,8 @@ from tickshard.operators import (
     with_global_stats,
     with_slice,
 )
+from tickshard.plans.snapshots import ConcurrentWriteError, compact_table, remove_replaced
+from tickshard.plans.snapshots import drop as drop_table
 from tickshard.plans.temporary import expire_temp, materialize
 from tickshard.sinks import PendingWrite, write_dataframe
 from tickshard.sources import (
@@ -35,12 +37,15 @@ from tickshard.streaming import write_stream
 
 __all__ = [
     "AXIS",
+    "ConcurrentWriteError",
     "PendingWrite",
     "asof_join",
     "bucket_agg",
     "bucket_count",
+    "compact_table",
     "counted_within",
     "declare_schema",
+    "drop_table",
     "empty_result",
     "expire_temp",
     "from_pandas",
@@ -57,6 +62,7 @@ __all__ = [
     "read_request",
     "read_slices",
     "read_table",
+    "remove_replaced",
     "result_schema",
     "slice_bounds",
     "time_range",

@@ -2,7 +2,7 @@
 
 AXIS = "$timestamp"  # the time axis every table has
 SHARD = "$shard"  # partition column of stored tables: floor(axis / width)
-BATCH = "$batch"  # which micro-batch stored a row (tables written by streams)
+GEN = "$gen"  # partition column of stored tables: the write that stored a row
 TABLE = "$table"  # source table name some result frames carry
 SLICE = "$slice"  # slice number while a result is cut in time
 

@@ -1,5 +1,7 @@
 """How a batch meets stored rows: append, truncate a time range, drop or replace repeats.
 
+What a write leaves shows up in one step, see ``tickshard.plans.snapshots``.
+
 Every function takes rows that are already typed and carry ``$shard``. Except for
 the plain append, the batch is staged first: it is then evaluated once, a batch
 that fails leaves the table as it was, and the passes below read only the columns
@@ -17,19 +19,14 @@ from tickshard.functions.clock import instant_micros
 from tickshard.names import AXIS, SHARD, quoted_column
 from tickshard.operators.axis import within
 from tickshard.operators.schema import named
-from tickshard.plans.tables import (
-    append_rows,
-    in_shards,
-    raw_table,
-    replace_shards,
-    stored_shards,
-)
+from tickshard.plans.snapshots import Stored, runs_of
+from tickshard.plans.tables import in_shards
 from tickshard.plans.temporary import staged
 
 
 def append_staged(table: str, rows: DataFrame) -> None:
     with staged(rows) as batch:
-        append_rows(rows.sparkSession, table, batch)
+        Stored(rows.sparkSession, table).append(batch)
 
 
 def _outline(batch: DataFrame) -> dict[int, tuple[int, int]]:
@@ -48,27 +45,16 @@ def truncate_range(table: str, rows: DataFrame) -> None:
     """Replace everything between the batch's first and last instant (both included).
 
     Only the two outermost shards can keep old rows, so no other old row is read.
-    Inner shards are overwritten where the batch has rows and dropped where not.
     An empty batch replaces nothing.
     """
-    spark = rows.sparkSession
     with staged(rows) as batch:
         outline = _outline(batch)
         if not outline:
             return
         first, last = min(outline), max(outline)
-        edges = raw_table(spark, table).where(F.col(SHARD).isin(first, last))
-        kept = edges.where(~within(_span(outline)))
-
-        stored = stored_shards(spark, table)
-        covered = {s for s in stored if s is not None and first <= s <= last}
-        replace_shards(
-            spark,
-            table,
-            batch.unionByName(kept, allowMissingColumns=True),
-            outline,
-            covered.difference(outline),
-        )
+        stored = Stored(rows.sparkSession, table)
+        kept = stored.rows().where(F.col(SHARD).isin(first, last) & ~within(_span(outline)))
+        stored.replace(batch.unionByName(kept, allowMissingColumns=True), [[first, last]])
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -91,11 +77,10 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _candidates(
-    table: str, batch: DataFrame, keys: list[str], outline: dict[int, tuple[int, int]]
+    stored: DataFrame, keys: list[str], outline: dict[int, tuple[int, int]]
 ) -> DataFrame:
     """Stored rows that could repeat a key: all of them, or, when the time is part of
     the key, those in the batch's shards and time range."""
-    stored = raw_table(batch.sparkSession, table)
     if AXIS not in keys:
         return stored
     return stored.where(in_shards(outline) & within(_span(outline)))
@@ -110,44 +95,31 @@ def append_new(table: str, rows: DataFrame, keys: list[str]) -> None:
     """
     with staged(one_per_key(rows, keys)) as batch:
         outline = _outline(batch) if AXIS in keys else {}
-        stored = _candidates(table, batch, keys, outline).select([named(k) for k in keys])
+        table = Stored(rows.sparkSession, table)
+        stored = _candidates(table.rows(), keys, outline).select([named(k) for k in keys])
         wanted = batch.select([named(k) for k in keys])
         repeated = stored.join(wanted, _match(stored, wanted, keys), "left_semi").distinct()
         fresh = batch.join(repeated, _match(batch, repeated, keys), "left_anti")
-        append_rows(rows.sparkSession, table, fresh)
+        table.append(fresh, alone=True)
 
 
 def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
     """Replace stored rows that share a key with the batch, and add the rest.
 
-    One semi join over the key columns counts matches per shard; rows are counted only in
-    shards with a match that get no row. Only shards with a match are rewritten; batch rows for other shards are appended. A shard
-    that loses all rows and gets none is dropped.
+    One semi join over the key columns finds the shards with a match. Only these are
+    rewritten; the batch's rows for other shards are added in the same step. A shard that
+    loses all rows and gets none is gone.
     """
-    spark = rows.sparkSession
     with staged(one_per_key(rows, keys)) as batch:
         outline = _outline(batch)
+        table = Stored(rows.sparkSession, table)
         wanted = batch.select(*[named(k) for k in keys])
-        probe = _candidates(table, batch, keys, outline)
+        probe = _candidates(table.rows(), keys, outline)
         probe = probe.select(*[named(k) for k in keys], SHARD)
         matches = probe.join(wanted, _match(probe, wanted, keys), "left_semi")
-        hits = {r[SHARD]: r["count"] for r in matches.groupBy(SHARD).count().collect()}
-        touched = list(hits)
-        if touched:
-            alone = [shard for shard in touched if shard not in outline]
-            rest = raw_table(spark, table).where(in_shards(alone)).groupBy(SHARD).count()
-            seen = {r[SHARD]: r["count"] for r in (rest.collect() if alone else ())}
-            emptied = [shard for shard in alone if seen[shard] == hits[shard]]
-            stored = raw_table(spark, table).where(in_shards(touched))
-            keyed = batch.select([named(k) for k in keys])
-            kept = stored.join(keyed, _match(stored, keyed, keys), "left_anti")
-            renewed = batch.where(in_shards(touched))
-            replace_shards(
-                spark,
-                table,
-                renewed.unionByName(kept, allowMissingColumns=True),
-                set(touched).difference(emptied),
-                emptied,
-            )
-        if set(outline).difference(touched):
-            append_rows(spark, table, batch.where(~in_shards(touched)))
+        touched = [r[SHARD] for r in matches.select(SHARD).distinct().collect()]
+        stored = table.rows().where(in_shards(touched))
+        keyed = batch.select([named(k) for k in keys])
+        kept = stored.join(keyed, _match(stored, keyed, keys), "left_anti")
+        renewed = batch.unionByName(kept, allowMissingColumns=True) if touched else batch
+        table.replace(renewed, runs_of(touched))

@@ -1,13 +1,13 @@
-"""Stored tables: Parquet in the session catalog, partitioned by ``$shard``.
+"""Plain stored tables: Parquet in the session catalog, partitioned by ``$shard``.
 
 ``$shard`` is ``floor(axis / width)``; the width of a table is one of its
-properties. Shard numbers collected to the driver are partition metadata of the
+properties. Materialised results are such tables; those that are written to again are in
+``tickshard.plans.snapshots``. Shard numbers collected to the driver are partition metadata of the
 catalog (one integer per touched shard), never data.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +20,6 @@ from tickshard.operators.axis import in_runs
 
 WIDTH_PROPERTY = "tickshard.shard.micros"
 PARTITIONS_PER_STATEMENT = 500
-RENEWED = "_renewed"  # folders of shards that were replaced; hidden from listings
 NO_SHARD = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name of the NULL partition
 
 
@@ -86,7 +85,7 @@ def in_shards(shards: Iterable[int]) -> Column:
     return in_runs((shard, shard) for shard in set(shards))
 
 
-def stored_shards(spark: SparkSession, table: str) -> list[int | None]:
+def plain_shards(spark: SparkSession, table: str) -> list[int | None]:
     """Shards the catalog knows; no data is read. ``None`` stands for rows without a
     time, which only materialised results can have."""
     rows = spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()
@@ -105,10 +104,10 @@ def clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(SHARD)).sortWithinPartitions(SHARD, AXIS)
 
 
-def _in_table_order(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+def in_table_order(schema: T.StructType, rows: DataFrame) -> DataFrame:
     """*rows* with the table's columns in its order; bookkeeping they lack is NULL."""
     columns = []
-    for field in raw_table(spark, table).schema:
+    for field in schema:
         absent = field.name not in rows.columns and is_internal(field.name)
         column = F.lit(None).cast(field.dataType) if absent else F.col(quoted_column(field.name))
         columns.append(column.alias(field.name))
@@ -117,60 +116,5 @@ def _in_table_order(spark: SparkSession, table: str, rows: DataFrame) -> DataFra
 
 def append_rows(spark: SparkSession, table: str, rows: DataFrame, cluster: bool = True) -> None:
     """Append *rows* (with ``$shard``); files show up when the job commits."""
-    ordered = _in_table_order(spark, table, rows)
+    ordered = in_table_order(raw_table(spark, table).schema, rows)
     (clustered(ordered) if cluster else ordered).write.insertInto(quoted(table))
-
-
-def replace_shards(
-    spark: SparkSession, table: str, rows: DataFrame, written: Iterable[int], emptied: Iterable[int]
-) -> None:
-    """Replace whole shards: those in *rows* (listed in *written*) get its content,
-    those in *emptied* go away, all others stay.
-
-    *rows* may read the same table: new content goes to fresh folders below the table's,
-    and only when all of it is there the catalog is pointed at it, shard by shard. Old
-    files go last, and an emptied shard is dropped when it has none left, so a driver
-    that dies in between leaves each shard either old or new. The switches are not one
-    atomic step; a reader in between sees some shards old, some new.
-    """
-    root = location(spark, table)
-    fresh = f"{root}/{RENEWED}/{uuid.uuid4().hex}"
-    clustered(_in_table_order(spark, table, rows)).write.partitionBy(SHARD).parquet(fresh)
-    written, emptied = sorted(written), sorted(emptied)
-    _alter_partitions(spark, table, "ADD IF NOT EXISTS", written, separator=" ")
-    for shard in (*written, *emptied):
-        folder = _shard_folder(fresh, shard).replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(
-            f"ALTER TABLE {quoted(table)} PARTITION ({quoted_column(SHARD)} = {shard}) "
-            f"SET LOCATION '{folder}'"
-        )
-    _remove_old(spark, root, fresh, [*written, *emptied])
-    _alter_partitions(spark, table, "DROP IF EXISTS", emptied, separator=", ")
-    spark.catalog.refreshTable(quoted(table))
-
-
-def _shard_folder(root: str, shard: int) -> str:
-    return f"{root}/{SHARD}={shard}"
-
-
-def _remove_old(spark: SparkSession, root: str, fresh: str, shards: list[int]) -> None:
-    """Delete the folders that *shards* had before they moved to *fresh*: those an append
-    made below the table's folder, and those of earlier renewals."""
-    folder = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
-    files = folder(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    renewed = folder(f"{root}/{RENEWED}")
-    earlier = [str(s.getPath()) for s in files.listStatus(renewed)]
-    current = str(files.makeQualified(folder(fresh)))
-    for old in (root, *(e for e in earlier if e != current)):
-        for shard in shards:
-            files.delete(folder(_shard_folder(old, shard)), True)
-
-
-def _alter_partitions(
-    spark: SparkSession, table: str, action: str, shards: Iterable[int], separator: str
-) -> None:
-    listed = sorted(shards)
-    for start in range(0, len(listed), PARTITIONS_PER_STATEMENT):
-        some = listed[start : start + PARTITIONS_PER_STATEMENT]
-        specs = separator.join(f"PARTITION ({quoted_column(SHARD)} = {s})" for s in some)
-        spark.sql(f"ALTER TABLE {quoted(table)} {action} {specs}")

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tickshard.functions.clock import instant_micros, require_utc, width_micros
 from tickshard.operators.axis import normalize_axis
 from tickshard.operators.schema import hide_internal
+from tickshard.plans.snapshots import drop
 from tickshard.plans.tables import (
     append_rows,
     create_table,
@@ -162,6 +163,6 @@ def expire_temp(spark: SparkSession, now: dt.datetime | str | None = None) -> li
             continue
         ttl = int(properties(spark, name).get(TTL_PROPERTY, width_micros(LEFTOVER_TTL)))
         if moment - int(stamp[1]) > ttl:
-            spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+            drop(spark, name)
             dropped.append(name)
     return dropped

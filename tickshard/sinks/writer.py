@@ -23,15 +23,8 @@ from tickshard.plans.rewrite import (
     replace_matching,
     truncate_range,
 )
-from tickshard.plans.tables import (
-    append_rows,
-    create_table,
-    quoted,
-    raw_table,
-    shard_width,
-    table_exists,
-    with_shard,
-)
+from tickshard.plans import snapshots
+from tickshard.plans.tables import raw_table, shard_width, table_exists, with_shard
 from tickshard.sources.local import from_pandas
 
 logger = logging.getLogger("tickshard")
@@ -96,7 +89,7 @@ def open_table(
         raise ValueError(f"table {table!r} does not exist and create is off")
     width = width_micros(DEFAULT_SHARD_SIZE if shard_size is None else shard_size)
     wanted = stored_schema(schema)
-    create_table(spark, table, wanted, width, path)
+    snapshots.create(spark, table, wanted, width, path)
     return wanted, width, True
 
 
@@ -119,18 +112,19 @@ def store(
     keys: list[str],
     deduplication_mode: str,
     cluster: bool,
+    batch: tuple[str, int] | None = None,
 ) -> None:
-    """Put typed rows with ``$shard`` into an existing table."""
+    """Put typed rows with ``$shard`` into an existing table. An append remembers *batch*."""
     if push_mode == "truncate":
         truncate_range(table, one_per_key(rows, keys) if keys else rows)
     elif keys and deduplication_mode == "drop":
         append_new(table, rows, keys)
     elif keys:
         replace_matching(table, rows, keys)
-    elif push_mode == "transactional":
+    elif push_mode == "transactional" and batch is None:
         append_staged(table, rows)
     else:
-        append_rows(rows.sparkSession, table, rows, cluster)
+        snapshots.Stored(rows.sparkSession, table).append(rows, cluster, batch=batch)
 
 
 def check_modes(push_mode: str, deduplication_mode: str) -> None:
@@ -162,7 +156,7 @@ def write_dataframe(
     create
         Make the table if it is absent. Without it an absent table is an error.
     push_mode
-        "fast" appends; executors write, and files show up when the job commits.
+        "fast" appends; executors write, and all rows show up in one step at the end.
         "transactional" stages the rows first, so a frame that fails half-way
         never starts writing to the table. "truncate" replaces all stored rows
         between the first and last time of the frame, both included. "async" has
@@ -208,7 +202,7 @@ def write_dataframe(
             )
         except Exception:
             if made:
-                spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
+                snapshots.drop(spark, table)
             raise
 
     return PendingWrite(run)

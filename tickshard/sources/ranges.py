@@ -18,7 +18,8 @@ from tickshard.operators.slices import (
     slice_number,
     slice_parts,
 )
-from tickshard.plans.tables import raw_table, shard_width, stored_shards
+from tickshard.plans.snapshots import stored_shards
+from tickshard.plans.tables import raw_table, shard_width
 
 # Longer lists of ranges are joined instead of compared one by one; the rows are the same.
 RANGES_IN_FILTER = 200

@@ -5,29 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tickshard.names import BATCH, SHARD, quoted_column
 from tickshard.operators.schema import coerce
-from tickshard.plans.tables import in_shards, quoted, raw_table, with_shard
+from tickshard.plans.snapshots import Stored
+from tickshard.plans.tables import with_shard
 from tickshard.sinks.writer import check_modes, dedup_keys, open_table, prepared, store
 
 
-def _tagged(spark: SparkSession, table: str) -> None:
-    """Give the table the column that says which micro-batch stored a row."""
-    if BATCH not in raw_table(spark, table).columns:
-        spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({quoted_column(BATCH)} string)")
-
-
-def _stored_before(table: str, rows: DataFrame, tag: str) -> bool:
-    """Whether *table* has rows of batch *tag*; only the batch's own shards are searched."""
-    shards = [row[SHARD] for row in rows.select(SHARD).distinct().collect()]
-    stored = raw_table(rows.sparkSession, table).where(in_shards(shards))
-    return not stored.where(F.col(BATCH) == tag).isEmpty()
-
-
 def write_stream(
     df: DataFrame,
     table: str,
@@ -48,9 +34,9 @@ def write_stream(
     """Start writing the streaming frame *df* to *table*, batch by batch.
 
     A batch can come twice: Spark repeats one whose write finished but was not yet
-    noted in the checkpoint. Each row therefore carries, in a hidden column, the
-    number of its batch, and the first batch after a start is left out when its
-    number is stored already. Truncating and deduplicating writes are the same
+    noted in the checkpoint. The step that shows an appended batch's rows therefore also
+    notes its number in the table's version, and the first batch after a start is left out
+    when its number is there already. Truncating and deduplicating writes are the same
     when repeated and need no check. *name* tells streams into one table apart; by
     default it is the checkpoint folder.
 
@@ -62,7 +48,6 @@ def write_stream(
     check_modes(push_mode, deduplication_mode)
     stream = checkpoint if name is None else name
     appends = push_mode != "truncate" and not deduplicate
-    caller = df.sparkSession
     seen_first = False
 
     def put(batch: DataFrame, number: int) -> None:
@@ -72,13 +57,10 @@ def write_stream(
         schema, width, made = open_table(
             spark, table, rows.schema, create=create, shard_size=shard_size, path=path
         )
-        _tagged(spark, table)
-        tag = f"{stream}#{number}"
-        typed = coerce(rows, schema, infer_types).withColumn(BATCH, F.lit(tag))
-        typed = with_shard(typed, width)
+        typed = with_shard(coerce(rows, schema, infer_types), width)
         check = appends and not made and not seen_first
         seen_first = True
-        if check and _stored_before(table, typed, tag):
+        if check and Stored(spark, table).base.batches.get(stream) == number:
             return
         store(
             table,
@@ -87,9 +69,8 @@ def write_stream(
             keys=dedup_keys(deduplicate, schema),
             deduplication_mode=deduplication_mode,
             cluster=True,
+            batch=(stream, number) if appends else None,
         )
-        # Batches run in a session of their own; the caller's may have listed old files.
-        caller.catalog.refreshTable(quoted(table))
 
     writer = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     if available_now:
