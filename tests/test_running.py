@@ -144,3 +144,115 @@ def test_rows_without_a_time_count_for_nothing(spark, options):
     )
     got = {(r.id, r.n) for r in ts.counted_within(df, "n", "1h", on=["k"], **options).collect()}
     assert got == {(1, 4), (2, 8), (9, None)}
+
+
+@pytest.mark.parametrize("options", OPTIONS)
+def test_lead_rank_and_tile(spark, rows, options):
+    df = frame(spark, rows)
+    lead = {r.id: (r.p, r.pid) for r in
+            ts.led(df, {"p": "v", "pid": "id"}, on=["k"], order=["id"], **options).collect()}
+    get = lambda f, *a, order=(), **k: {
+        r.id: r.n for r in f(df, "n", *a, on=["k"], order=order, **k, **options).collect()}
+    by_time, by_value = get(ts.ranked), get(ts.ranked, order=["v"])
+    dense, tiles = get(ts.ranked, order=["v"], dense=True), get(ts.tiled, 7, order=["id"])
+    for key in {k for _, k, _, _ in rows}:
+        mine = sorted((t, i, v) for t, k, i, v in rows if k == key)
+        places = sorted((t, v is not None, v or 0) for t, _, v in mine)
+        size, more = divmod(len(mine), 7)
+        for n, (t, i, v) in enumerate(mine):
+            assert lead[i] == ((mine[n + 1][2], mine[n + 1][1]) if n + 1 < len(mine) else (None, None))
+            assert by_time[i] == 1 + sum(x[0] < t for x in mine)
+            own = (t, v is not None, v or 0)
+            assert by_value[i] == 1 + places.index(own)
+            assert dense[i] == 1 + len({p for p in places if p < own})
+            ahead = more * (size + 1)
+            assert tiles[i] == 1 + (n // (size + 1) if n < ahead else more + (n - ahead) // size)
+    with pytest.raises(ValueError):
+        ts.tiled(df, "n", 0, on=["k"])
+
+
+@pytest.mark.parametrize("order", [(), ("id",), ("v", "id")])
+def test_ranks_across_cut_points(spark, order):
+    """A key with most rows at one instant, equal and different ones, in eight segments."""
+    df = crowd(spark, 600, 30)
+    hot = {"on": ["k"], "hot_rows": 5, "splits": 8}
+    for dense in (False, True):
+        found = ts.ranked(df, "n", order=order, dense=dense, **hot).collect()
+        places = sorted(tuple(r[c] for c in ("$timestamp", *order)) for r in found)
+        different = sorted(set(places))
+        for r in found:
+            own = tuple(r[c] for c in ("$timestamp", *order))
+            assert r.n == 1 + (different if dense else places).index(own)
+    lead = ts.led(df, {"t": "$timestamp"}, order=order, **hot).collect()
+    assert sum(r.t is None for r in lead) == 1 and all(r.t is None or r.t >= r["$timestamp"] for r in lead)
+    tiles = ts.tiled(df, "n", 4, order=order, **hot).groupBy("n").count().collect()
+    assert {r.n: r["count"] for r in tiles} == {1: 203, 2: 203, 3: 202, 4: 202}
+
+
+ROLLED = {"s": ("sum", "v"), "c": ("count", "v"), "lo": ("min", "id"), "hi": ("max", "id"), "m": ("mean", "v")}
+
+
+def plain_rolled(data, width):
+    out = {}
+    for t, k, i, _ in data:
+        near = [(j, v) for u, k2, j, v in data if k2 == k and t is not None and u is not None and t - width <= u <= t]
+        values = [v for _, v in near if v is not None]
+        out[i] = (sum(values) if values else None, len(values), min((j for j, _ in near), default=None),
+                  max((j for j, _ in near), default=None), sum(values) / len(values) if values else None)
+        if t is None:
+            out[i] = (None,) * 5
+    return out
+
+
+@pytest.mark.parametrize(
+    "options, hours",
+    [({}, 5), ({"hot_rows": 3, "splits": 2}, 1), ({"hot_rows": 1, "splits": 60}, 5),
+     ({"hot_rows": 20, "splits": 7}, 200)],
+)
+def test_rolled_aggregates(spark, rows, options, hours):
+    more = [*rows, (None, "a", 900, 5), (None, None, 901, None), (-31, "a", 902, 4), (-30, "a", 903, None)]
+    data = [(None if t is None else START + dt.timedelta(hours=t), k, i, v) for t, k, i, v in more]
+    df = spark.createDataFrame(data, "`$timestamp` timestamp_ntz, k string, id bigint, v bigint").repartition(3)
+    got = ts.rolled_within(df, ROLLED, f"{hours}h", on=["k"], **options)
+    assert got.columns == [*df.columns, *ROLLED]
+    assert {r.id: tuple(r[c] for c in ROLLED) for r in got.collect()} == plain_rolled(more, hours)
+
+
+def test_rolled_aggregates_of_a_crowded_instant(spark):
+    df = crowd(spark, 600, 30)
+    hot = {"on": ["k"], "hot_rows": 5, "splits": 8}
+    data = [((r["$timestamp"] - START) // dt.timedelta(hours=1), r.k, n, r.v) for n, r in enumerate(df.collect())]
+    for hours in (1, 3, 50):
+        got = ts.rolled_within(df, {"s": ("sum", "v"), "c": ("count", "id")}, f"{hours}h", **hot).collect()
+        plain = plain_rolled(data, hours)
+        assert sorted((r.s, r.c) for r in got) == sorted((s, c) for s, c, *_ in plain.values())
+    with pytest.raises(ValueError, match="mode"):
+        ts.rolled_within(df, {"s": ("mode", "v")}, "1h", **hot)
+
+
+def test_segments_of_rolled_aggregates_are_even(spark):
+    """No segment has more than about twice its share, whatever one key or instant holds."""
+    from tickshard.operators import running
+
+    df = crowd(spark, 4000, 30).withColumn("k", F.lit("a"))
+    seen = []
+    plain = running.with_segment
+
+    def watched(*args, **options):
+        found = plain(*args, **options)
+        seen.append(found)
+        return found
+
+    running.with_segment = watched
+    try:
+        ts.rolled_within(df, {"s": ("sum", "v")}, "40h", on=["k"], hot_rows=50, splits=8)
+    finally:
+        running.with_segment = plain
+    for placed in seen[::2]:  # those of the rows; steps have one row for each instant
+        sizes = [r["count"] for r in placed.groupBy("hot", "segment").count().collect()]
+        assert max(sizes) <= 2 * 4210 / 8
+
+
+def test_other_keys_take_one_row_each(spark, rows):
+    plan = ts.counted_within(frame(spark, rows), "n", "5h", on=["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickshard as ts
-from tickshard.plans import snapshots
+from tickshard.plans import keyindex, rewrite, snapshots
 from tickshard.plans.snapshots import Stored, Version, rows_table, runs_of
 
 DAY = dt.timedelta(days=1)
@@ -197,8 +197,64 @@ def test_dropped_tables_can_be_made_again(spark, table_name, tmp_path):
     ts.drop_table(spark, table_name)
 
 
+def opened(spark, monkeypatch, write):
+    """Shards of the stored rows that a write's search for keys may open."""
+    seen = []
+    probe = rewrite._candidates
+
+    def watched(table, *args):
+        found = probe(table, *args)
+        seen.append({f.rsplit("shard=", 1)[1].split("/")[0] for f in found.inputFiles()})
+        return found
+
+    with monkeypatch.context() as patched:
+        patched.setattr(rewrite, "_candidates", watched)
+        write.compute()
+    return {int(s) for s in seen[0]}
+
+
+@pytest.mark.parametrize("mode", ["upsert", "drop"])
+def test_an_index_opens_only_shards_that_can_hold_a_key(spark, table_name, monkeypatch, mode):
+    first = START.date().toordinal() - dt.date(1970, 1, 1).toordinal()
+    keys = {"deduplicate": ["k", "x"], "deduplication_mode": mode}
+    key = F.xxhash64(F.lit(3), "x").cast("string").alias("k")  # no order in time
+    frame = lambda *a, **k: days(spark, *a, **k).withColumn("k", key)
+    ts.write_dataframe(frame(range(40)), table_name).compute()
+    ts.index_keys(spark, table_name, ["k", "x"])
+    ts.write_dataframe(frame(range(40, 60)), table_name).compute()
+    moved = frame([5, 45], v=1).withColumn("$timestamp", F.col("$timestamp") + F.expr("INTERVAL 90 DAYS"))
+    none = moved.withColumn("k", F.lit(None).cast("string"))
+    write = ts.write_dataframe(moved.unionByName(none), table_name, **keys)
+    assert opened(spark, monkeypatch, write) == {first + 5, first + 45}
+    wanted = [(n, 0) for n in range(60)]
+    if mode == "upsert":
+        wanted = sorted(wanted[:5] + wanted[6:45] + wanted[46:] + [(5, 1), (45, 1)])
+    assert held(ts.read_table(spark, table_name)) == sorted(wanted + [(5, 1), (45, 1)])
+    again = ts.write_dataframe(none, table_name, **keys)
+    assert opened(spark, monkeypatch, again) == {first + 95, first + 135}
+    assert held(ts.read_table(spark, table_name)) == sorted(wanted + [(5, 1), (45, 1)])
+    # a batch beyond the limit scans, and finds the same
+    monkeypatch.setattr(keyindex, "MOST_KEYS", 1)
+    many = ts.write_dataframe(moved.unionByName(none), table_name, **keys)
+    assert len(opened(spark, monkeypatch, many)) >= 60
+    assert held(ts.read_table(spark, table_name)) == sorted(wanted + [(5, 1), (45, 1)])
+    with pytest.raises(ValueError):
+        ts.index_keys(spark, table_name, ["$timestamp"])
+
+
+def test_large_shards_have_filters_of_many_blocks(spark):
+    rows = spark.range(20_000).select(F.lit(3).alias("$shard"), (F.col("id") * 7).alias("x"))
+    index = keyindex.built(rows, ["x"]).cache()
+    assert {r.level for r in index.collect()} == {5} and index.count() == 32
+    hit = lambda *x: [r.shard for r in keyindex.shards_with(
+        index, spark.createDataFrame([(i,) for i in x], "x bigint"), ["x"]).collect()]
+    assert hit(7 * 19_999) == [3] and hit(0) == [3] and hit(-7) == [] and hit(7 * 20_000) == []
+    assert sum(bool(hit(*range(start, start + 70, 7))) for start in range(1, 1400, 140)) <= 1
+    assert all(hit(7 * i) for i in range(0, 20_000, 2_500))
+
+
 def test_versions_as_text():
-    version = Version(3, 2, 5, 7, {6: 1}, (4,), (([[1, 2], [5, 5]], 3, 9),), {"s": 4})
+    version = Version(3, 2, 5, 7, {6: 1}, (4,), (([[1, 2], [5, 5]], 3, 9),), {"s": 4}, ("x",))
     assert Version.of(version.text()) == version and version.hidden() == [4]
     seen = {(g, s) for g in range(8) for s in range(7) if version.sees(g, s)}
     assert seen == {(g, s) for g in (0, 1, 2, 3, 5) for s in range(7) if g >= 3 or s not in (1, 2, 5)}

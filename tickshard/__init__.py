@@ -11,15 +11,24 @@ from tickshard.operators import (
     global_stats,
     hide_internal,
     lagged,
+    led,
     normalize_axis,
     numbered,
     partition_by_slice,
+    ranked,
+    rolled_within,
     slice_bounds,
+    tiled,
     time_range,
     with_global_stats,
     with_slice,
 )
-from tickshard.plans.snapshots import ConcurrentWriteError, compact_table, remove_replaced
+from tickshard.plans.snapshots import (
+    ConcurrentWriteError,
+    compact_table,
+    index_keys,
+    remove_replaced,
+)
 from tickshard.plans.snapshots import drop as drop_table
 from tickshard.plans.temporary import expire_temp, materialize
 from tickshard.sinks import PendingWrite, write_dataframe
@@ -51,20 +60,25 @@ __all__ = [
     "from_pandas",
     "global_stats",
     "hide_internal",
+    "index_keys",
     "lagged",
+    "led",
     "materialize",
     "nan_to_null",
     "normalize_axis",
     "numbered",
     "partition_by_slice",
     "query",
+    "ranked",
     "read_ranges",
     "read_request",
     "read_slices",
     "read_table",
     "remove_replaced",
     "result_schema",
+    "rolled_within",
     "slice_bounds",
+    "tiled",
     "time_range",
     "with_global_stats",
     "with_slice",

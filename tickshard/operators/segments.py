@@ -150,12 +150,14 @@ def with_segment(
     hot_keys: HotKeys,
     *,
     spread: bool,
+    late: bool = False,
     inner: dict[int, dict] | None = None,
 ) -> DataFrame:
     """Rows (with ``hot`` and ``t``, and ``u`` where *inner* is given) with ``segment``.
 
     A row between cut points goes to the segment between them. A row on an instant
-    with cut points goes to the first segment after the times below it. With *inner*
+    with cut points goes to the first segment after the times below it, with *late* to the
+    last one that the instant shares. With *inner*
     cut points, rows of a crowded instant go to its segments in the order of ``u``.
     With *spread*, rows that are equal so far may go to any segment that is left to
     them; the spread goes by the number of the task, which is the same when a lost
@@ -175,13 +177,14 @@ def with_segment(
         for number in np.unique(numbers[numbers >= 0]):
             mine = np.flatnonzero(numbers == number)
             below, on = place(cuts[number], instants[mine])
-            step = tasks[mine] % np.maximum(on, 1) if spread else 0
+            most = np.maximum(on, 1)
+            step = tasks[mine] % most if spread else most - 1 if late else 0
             segment[mine] = below + np.where(on > 0, step + 1, 0)
             for instant, bounds in inner.get(number, {}).items():
                 here = instants[mine] == instant
                 rows = mine[here]
                 inner_below, inner_on = place(bounds, orders[rows])
-                step = tasks[rows] % (inner_on + 1) if spread else 0
+                step = tasks[rows] % (inner_on + 1) if spread else inner_on if late else 0
                 segment[rows] = below[here] + 1 + inner_below + step
         return pd.Series(segment)
 
@@ -210,9 +213,13 @@ def thinned(
 
 
 def carried(
-    per_segment: DataFrame, hot_keys: HotKeys, combine: Callable[[str], Column]
+    per_segment: DataFrame,
+    hot_keys: HotKeys,
+    combine: Callable[[str], Column],
+    backward: bool = False,
 ) -> DataFrame:
-    """What each segment of a hot key takes over from the segments before it.
+    """What each segment of a hot key takes over from the segments before it, with
+    *backward* from those after it.
 
     *per_segment* has ``hot``, ``segment`` and ``value``, one row for each segment that
     has rows; *combine* folds the values of earlier segments. The result has a row for
@@ -223,9 +230,8 @@ def carried(
         [(h, s) for h in hot_keys.cuts for s in range(hot_keys.segment_count(h))],
         "hot int, segment int",
     )
-    earlier = (
-        Window.partitionBy("hot").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    order = F.desc("segment") if backward else F.asc("segment")
+    earlier = Window.partitionBy("hot").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     folded = cells.join(per_segment, ["hot", "segment"], "left").withColumn(
         "carried", combine("value").over(earlier)
     )

@@ -77,12 +77,14 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _candidates(
-    stored: DataFrame, keys: list[str], outline: dict[int, tuple[int, int]]
+    table: Stored, batch: DataFrame, keys: list[str], outline: dict[int, tuple[int, int]]
 ) -> DataFrame:
-    """Stored rows that could repeat a key: all of them, or, when the time is part of
-    the key, those in the batch's shards and time range."""
+    """Stored rows that could repeat a key: when the time is part of the key, those in the
+    batch's shards and time range; else those in the shards an index allows, or all."""
+    stored = table.rows()
     if AXIS not in keys:
-        return stored
+        shards = table.shards_with(batch, keys)
+        return stored if shards is None else stored.where(in_shards(shards))
     return stored.where(in_shards(outline) & within(_span(outline)))
 
 
@@ -96,7 +98,7 @@ def append_new(table: str, rows: DataFrame, keys: list[str]) -> None:
     with staged(one_per_key(rows, keys)) as batch:
         outline = _outline(batch) if AXIS in keys else {}
         table = Stored(rows.sparkSession, table)
-        stored = _candidates(table.rows(), keys, outline).select([named(k) for k in keys])
+        stored = _candidates(table, batch, keys, outline).select([named(k) for k in keys])
         wanted = batch.select([named(k) for k in keys])
         repeated = stored.join(wanted, _match(stored, wanted, keys), "left_semi").distinct()
         fresh = batch.join(repeated, _match(batch, repeated, keys), "left_anti")
@@ -114,7 +116,7 @@ def replace_matching(table: str, rows: DataFrame, keys: list[str]) -> None:
         outline = _outline(batch)
         table = Stored(rows.sparkSession, table)
         wanted = batch.select(*[named(k) for k in keys])
-        probe = _candidates(table.rows(), keys, outline)
+        probe = _candidates(table, batch, keys, outline)
         probe = probe.select(*[named(k) for k in keys], SHARD)
         matches = probe.join(wanted, _match(probe, wanted, keys), "left_semi")
         touched = [r[SHARD] for r in matches.select(SHARD).distinct().collect()]

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickshard.functions.clock import instant_micros, width_micros
-from tickshard.names import GEN, SHARD, quoted_column
-from tickshard.plans import files
+from tickshard.names import AXIS, GEN, SHARD, quoted_column
+from tickshard.plans import files, keyindex
 from tickshard.plans.tables import (
     PARTITIONS_PER_STATEMENT,
     WIDTH_PROPERTY,
@@ -73,6 +73,8 @@ class Version:
     dead: tuple[tuple[Runs, int, int], ...] = ()
     #: The last batch of each stream.
     batches: dict[str, int] | None = None
+    #: Key columns that generations have an index of.
+    indexed: tuple[str, ...] = ()
 
     def text(self) -> str:
         return json.dumps(self.__dict__)
@@ -83,6 +85,7 @@ class Version:
         held["open"] = {int(k): v for k, v in (held["open"] or {}).items()}
         held["batches"] = held["batches"] or {}
         held["lost"], held["dead"] = tuple(held["lost"]), tuple(map(tuple, held["dead"]))
+        held["indexed"] = tuple(held["indexed"])
         return Version(**held)
 
     def hidden(self) -> list[int]:
@@ -218,6 +221,7 @@ class Stored:
             raise ValueError(f"{table!r} is not a table that write_dataframe made")
         self.folder, self.width = known[FOLDER_PROPERTY], int(known[WIDTH_PROPERTY])
         self.base = _latest(spark, self.folder)
+        self._indexed = self.base.indexed
 
     def rows(self) -> DataFrame:
         """The rows of the version that was read, with their ``$shard``."""
@@ -266,6 +270,34 @@ class Stored:
             "SELECT * FROM {rows}",
             rows=clustered(ordered) if cluster else ordered,
         )
+        if self._indexed:
+            self._index(gen, self._indexed)
+
+    def _index(self, gen: int, keys: Sequence[str]) -> None:
+        own = keyindex.built(self._all().where(F.col(GEN) == gen), keys)
+        own.write.mode("overwrite").parquet(keyindex.folder(self.folder, gen))
+
+    def shards_with(self, batch: DataFrame, keys: Sequence[str]) -> list[int] | None:
+        """Shards that may hold a key of *batch*; None if only a scan can tell."""
+        if set(keys) != set(self.base.indexed) or batch.limit(keyindex.MOST_KEYS + 1).count() > keyindex.MOST_KEYS:
+            return None
+        if not files.names_in(self.spark, keyindex.folder(self.folder)):
+            return []
+        index = self.spark.read.parquet(keyindex.folder(self.folder))
+        seen = index.withColumn(SHARD, F.col("shard")).where(self.base.predicate())
+        return [r["shard"] for r in keyindex.shards_with(seen, batch, self.base.indexed).collect()]
+
+    def index(self, keys: Sequence[str]) -> None:
+        """Keep an index of *keys* from now on, also for the rows that are stored."""
+        for gen in sorted({g for g, s in self.partitions() if self.base.sees(g, s)}):
+            self._index(gen, keys)
+
+        def indexed(now: Version) -> Version:
+            if now.changes != self.base.changes or now.open:
+                raise ConcurrentWriteError(f"{self.table!r} was changed while its keys were indexed")
+            return replace(now, number=now.number + 1, indexed=tuple(keys))
+
+        _changed(self.spark, self.folder, indexed)
 
     def _claim(self) -> int:
         def claimed(now: Version) -> Version:
@@ -273,7 +305,9 @@ class Stored:
             opened = {**now.open, gen: _micros()}
             return replace(now, number=now.number + 1, following=gen + 1, open=opened)
 
-        return _changed(self.spark, self.folder, claimed).following - 1
+        version = _changed(self.spark, self.folder, claimed)
+        self._indexed = version.indexed  # no index is made while a generation is open
+        return version.following - 1
 
     def _commit(self, gen: int, replaced: Runs, alone: bool, batch) -> None:
         own = {shard for _, shard in self.partitions(gen)}
@@ -362,6 +396,7 @@ class Stored:
         for gen in {g for g, _ in listed}:
             if gen not in left:  # a folder of its own outlives the catalog's partitions
                 files.remove(self.spark, f"{self.folder}/{GEN}={gen}")
+                files.remove(self.spark, keyindex.folder(self.folder, gen))
         for gen, shard in listed:
             if gen in left:
                 files.remove(self.spark, f"{self.folder}/{GEN}={gen}/{SHARD}={shard}")
@@ -389,6 +424,19 @@ def remove_replaced(spark: SparkSession, table: str) -> None:
     Stored(spark, table)._collect()
 
 
+def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
+    """Keep, for each shard of each write, what tells whether it can hold a value of *keys*.
+
+    Deduplicating writes by these columns then open only the shards that can hold a key of
+    their batch. Writes of unindexed keys and large batches scan the stored keys as before.
+    """
+    stored = Stored(spark, table)
+    unknown = [k for k in keys if k not in stored.rows().columns]
+    if unknown or not keys or AXIS in keys:
+        raise ValueError(f"name stored columns other than {AXIS!r} to index; got {list(keys)}")
+    stored.index(list(keys))
+
+
 def compact_table(spark: SparkSession, table: str, most: int = 1) -> None:
     """Write the shards that hold more than *most* generations anew as one each.
 

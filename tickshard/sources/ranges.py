@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickshard.functions.clock import instant_micros, micros
 from tickshard.names import AXIS, SHARD
-from tickshard.operators.axis import merged_ranges, shards_of, within
+from tickshard.operators.axis import merged_ranges, within
 from tickshard.operators.schema import hide_internal, named
+from tickshard.operators.segments import BEFORE_ALL
 from tickshard.operators.slices import (
     check_count,
     partition_by_slice,
@@ -19,9 +22,9 @@ from tickshard.operators.slices import (
     slice_parts,
 )
 from tickshard.plans.snapshots import stored_shards
-from tickshard.plans.tables import raw_table, shard_width
+from tickshard.plans.tables import in_shards, raw_table, shard_width
 
-# Longer lists of ranges are joined instead of compared one by one; the rows are the same.
+# Longer lists of ranges are searched instead of compared one by one; the rows are the same.
 RANGES_IN_FILTER = 200
 
 
@@ -48,24 +51,38 @@ def read_ranges(
     if len(spans) <= RANGES_IN_FILTER:
         rows = rows.where(within(spans, width))
     else:
-        rows = _in_listed_ranges(rows.where(shards_of(spans, width)), spans, width)
+        held = (s for s in stored_shards(spark, table) if s is not None)
+        rows = _in_listed_ranges(rows.where(in_shards(_touched(held, spans, width))), spans, width)
     if column_names is None:
         return hide_internal(rows)
     return rows.select([named(c) for c in dict.fromkeys((AXIS, *column_names))])
 
 
 def _in_listed_ranges(rows: DataFrame, spans: list[tuple[int, int]], width: int) -> DataFrame:
-    """Rows in one of many disjoint ranges, by a join on the shard; the time filter of the
-    whole extent still reaches the scan."""
-    listed = [
-        (shard, max(lo, shard * width), min(hi, (shard + 1) * width))
-        for lo, hi in spans
-        for shard in range(lo // width, (hi - 1) // width + 1)
-    ]
-    table = rows.sparkSession.createDataFrame(listed, "wanted bigint, lo bigint, hi bigint")
-    inside = (F.col(SHARD) == F.col("wanted")) & (micros() >= F.col("lo")) & (micros() < F.col("hi"))
+    """Rows in one of many disjoint ranges: each looks up the last range that starts before
+    it. Shards that no range touches are not opened, and the time filter of the whole extent
+    still reaches the scan. Sixteen bytes for each range go to the tasks."""
+    lows, highs = (np.array(ends, dtype="int64") for ends in zip(*spans))
+    shared = rows.sparkSession.sparkContext.broadcast((lows, highs))
+
+    @F.pandas_udf("boolean")
+    def inside(t: pd.Series) -> pd.Series:
+        lows, highs = shared.value
+        times = t.to_numpy()
+        last = np.searchsorted(lows, times, side="right") - 1
+        return pd.Series((last >= 0) & (times < highs[last]))
+
     whole = within([(spans[0][0], spans[-1][1])])
-    return rows.where(whole).join(table, inside, "left_semi")
+    return rows.where(whole).where(inside(F.coalesce(micros(), F.lit(BEFORE_ALL))))
+
+
+def _touched(shards: Iterable[int], spans: list[tuple[int, int]], width: int) -> list[int]:
+    """Those of *shards* that one of the sorted, disjoint *spans* reaches into."""
+    numbers = np.array(sorted(shards), dtype="int64")
+    lows, highs = (np.array(ends, dtype="int64") for ends in zip(*spans))
+    first = np.searchsorted((highs - 1) // width, numbers, side="left")  # ends in it or later
+    starts = np.append(lows // width, np.iinfo("int64").max)
+    return numbers[starts[first] <= numbers].tolist()
 
 
 def read_request(spark: SparkSession, request: Mapping) -> DataFrame:
