@@ -393,13 +393,13 @@ def write_upsert_moves_path(spark, sf_dir):
 
 
 def read_ranges_many(spark, sf_dir):
-    """Five thousand ranges of five minutes, from the times of events."""
+    """Half an hour of every hour in which an event falls."""
     events = _events(spark, sf_dir)
     name = temp_name(spark, "run")
     ts.write_dataframe(events, name, shard_size="12h").compute()
-    starts = events.where("event_id < 10000 AND event_id % 2 = 0").select(AXIS).collect()
-    wide = dt.timedelta(minutes=5)
-    ranges = [(row[0], row[0] + wide) for row in starts]
+    hours = events.select(F.date_trunc("hour", AXIS).cast("timestamp_ntz")).distinct().collect()
+    minutes = lambda n: dt.timedelta(minutes=n)
+    ranges = [(hour + minutes(10), hour + minutes(40)) for (hour,) in hours]
     return ts.read_ranges(spark, table=name, ranges=ranges, column_names=["event_id"])
 
 
@@ -438,6 +438,19 @@ def write_upsert_moves(spark, sf_dir):
     return _written(spark, (orders, {"shard_size": "30d"}), (later, options))
 
 
+def write_upsert_indexed(spark, sf_dir):
+    """The same with an index of the keys: only shards that can hold one are searched."""
+    orders = _orders(spark, sf_dir)
+    urgent = orders.where("o_orderpriority = '1-URGENT' OR `$timestamp` < '1995-02-01'")
+    later = urgent.withColumn(AXIS, F.col(AXIS) + F.expr("INTERVAL 400 DAYS"))
+    name = temp_name(spark, "run")
+    ts.write_dataframe(orders, name, shard_size="30d").compute()
+    ts.index_keys(spark, name, ["o_orderkey"])
+    options = {"deduplicate": ["o_orderkey"], "deduplication_mode": "upsert"}
+    ts.write_dataframe(later, name, **options).compute()
+    return ts.read_table(spark, name)
+
+
 # -- as-of joins and windows ---------------------------------------------------------
 
 
@@ -526,6 +539,45 @@ def window_rolling_hot_keys(spark, sf_dir):
     )
 
 
+def _busy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus", "o_custkey")
+
+
+_EVERY_STATUS = {"on": ["o_orderstatus"], "hot_rows": 100}
+
+
+def window_sum_hot_keys(spark, sf_dir):
+    """Rolling sum, count and mean with every key cut into segments; dates have many ties."""
+    columns = {"total": ("sum", "o_custkey"), "n": ("count", "o_custkey"), "mean": ("mean", "o_custkey")}
+    return ts.rolled_within(_busy_orders(spark, sf_dir), columns, "30d", **_EVERY_STATUS)
+
+
+def window_max_hot_keys(spark, sf_dir):
+    """Rolling least and greatest over a range that spans many segments."""
+    columns = {"least": ("min", "o_custkey"), "greatest": ("max", "o_custkey")}
+    return ts.rolled_within(_busy_orders(spark, sf_dir), columns, "200d", **_EVERY_STATUS)
+
+
+def window_rank_hot_keys(spark, sf_dir):
+    """Ranks by the day alone, so that ties lie on cut points."""
+    return ts.ranked(_busy_orders(spark, sf_dir), "place", **_EVERY_STATUS)
+
+
+def window_dense_rank_hot_keys(spark, sf_dir):
+    return ts.ranked(
+        _busy_orders(spark, sf_dir), "place", order=["o_custkey"], dense=True, **_EVERY_STATUS
+    )
+
+
+def window_ntile_hot_keys(spark, sf_dir):
+    return ts.tiled(_busy_orders(spark, sf_dir), "part", 13, order=["o_orderkey"], **_EVERY_STATUS)
+
+
+def window_lead_hot_keys(spark, sf_dir):
+    columns = {"following": "o_custkey", "at": AXIS}
+    return ts.led(_busy_orders(spark, sf_dir), columns, order=["o_orderkey"], **_EVERY_STATUS)
+
+
 # -- streams -----------------------------------------------------------------------
 
 
@@ -597,6 +649,7 @@ def queries() -> dict[str, Query]:
         "write_dedup_drop_keys": write_dedup_drop_keys,
         "write_dedup_upsert": write_dedup_upsert,
         "write_upsert_moves": write_upsert_moves,
+        "write_upsert_indexed": write_upsert_indexed,
         "asof_backward": asof_backward,
         "asof_hot_keys": asof_hot_keys,
         "asof_no_key": asof_no_key,
@@ -608,6 +661,12 @@ def queries() -> dict[str, Query]:
         "window_rolling": window_rolling,
         "window_number_hot_keys": window_number_hot_keys,
         "window_rolling_hot_keys": window_rolling_hot_keys,
+        "window_sum_hot_keys": window_sum_hot_keys,
+        "window_max_hot_keys": window_max_hot_keys,
+        "window_rank_hot_keys": window_rank_hot_keys,
+        "window_dense_rank_hot_keys": window_dense_rank_hot_keys,
+        "window_ntile_hot_keys": window_ntile_hot_keys,
+        "window_lead_hot_keys": window_lead_hot_keys,
         "stream_append": stream_append,
         **_corpus(),
     }
@@ -624,6 +683,7 @@ def _stats_sql(column: str, rounded_sum: bool) -> str:
 
 _ALL_EVENTS = f"SELECT {_EVENT_COLUMNS} FROM events"
 
+_BUSY = 'SELECT o_orderdate AS "$timestamp", o_orderkey, o_orderstatus, o_custkey'
 _LAG = """
     SELECT ts AS "$timestamp", event_id, user_id, value,
            lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before
@@ -754,10 +814,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT o_orderdate, * EXCLUDE (o_orderdate) FROM orders
             WHERE o_orderdate < '1995-01-08'""",
         "read_ranges_many": """
-            SELECT e.ts AS "$timestamp", e.event_id FROM events e
-            WHERE EXISTS (
-                SELECT 1 FROM events r WHERE r.event_id < 10000 AND r.event_id % 2 = 0
-                AND e.ts >= r.ts AND e.ts < r.ts + INTERVAL 5 MINUTE)""",
+            SELECT ts AS "$timestamp", event_id FROM events
+            WHERE minute(ts) >= 10 AND minute(ts) < 40""",
         "global_stats_large": """
             SELECT CAST(sum(CAST(l_partkey AS HUGEINT) * 1000000000000
                             + CAST(l_orderkey AS HUGEINT) * 100000000000) AS VARCHAR) AS sum_large
@@ -793,6 +851,11 @@ def oracle_sql() -> dict[str, str]:
                         THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS "$timestamp",
                    * EXCLUDE (o_orderdate)
             FROM orders""",
+        "write_upsert_indexed": """
+            SELECT CASE WHEN o_orderpriority = '1-URGENT' OR o_orderdate < '1995-02-01'
+                        THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS "$timestamp",
+                   * EXCLUDE (o_orderdate)
+            FROM orders""",
         "asof_backward": _ASOF.format(keys="l.user_id = r.user_id AND"),
         "asof_hot_keys": _ASOF.format(keys="l.user_id = r.user_id AND"),
         "asof_no_key": _ASOF.format(keys=""),
@@ -830,6 +893,28 @@ def oracle_sql() -> dict[str, str]:
                    count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate
                        RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS last_month
             FROM orders""",
+        "window_sum_hot_keys": f"""
+            {_BUSY}, CAST(sum(o_custkey) OVER rolling AS BIGINT) AS total,
+                   count(o_custkey) OVER rolling AS n, avg(o_custkey) OVER rolling AS mean
+            FROM orders WINDOW rolling AS (PARTITION BY o_orderstatus ORDER BY o_orderdate
+                RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW)""",
+        "window_max_hot_keys": f"""
+            {_BUSY}, min(o_custkey) OVER rolling AS least, max(o_custkey) OVER rolling AS greatest
+            FROM orders WINDOW rolling AS (PARTITION BY o_orderstatus ORDER BY o_orderdate
+                RANGE BETWEEN INTERVAL 200 DAY PRECEDING AND CURRENT ROW)""",
+        "window_rank_hot_keys": f"""
+            {_BUSY}, rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate) AS place
+            FROM orders""",
+        "window_dense_rank_hot_keys": f"""
+            {_BUSY}, dense_rank() OVER (PARTITION BY o_orderstatus
+                ORDER BY o_orderdate, o_custkey) AS place FROM orders""",
+        "window_ntile_hot_keys": f"""
+            {_BUSY}, ntile(13) OVER (PARTITION BY o_orderstatus
+                ORDER BY o_orderdate, o_orderkey) AS part FROM orders""",
+        "window_lead_hot_keys": f"""
+            {_BUSY}, lead(o_custkey) OVER following AS following, lead(o_orderdate) OVER following AS at
+            FROM orders WINDOW following AS (PARTITION BY o_orderstatus
+                ORDER BY o_orderdate, o_orderkey)""",
         "stream_append": _ALL_EVENTS,
         **({} if corpus_queries is None else corpus_queries.ORACLE_SQL),
     }
