@@ -157,6 +157,52 @@ def test_automata_accept_what_expansion_gives():
     assert replaced.match("copyright 1 end".split(), 0) == -1
 
 
+def filled(template, *regions):
+    """A wording of a template: without optional words, with *regions* in the replaceable ones."""
+    text = re.sub("<<optional>>.*?<</optional>>", "", template)
+    for region in regions:
+        text = re.sub('<<var match="[^"]*">>', region, text, count=1)
+    return text
+
+
+LONG = {  # the whole licenses, and what stands in their regions
+    "mit": ["this software", "the authors"], "isc": ["the author", "the author"],
+    "bsd-2-clause": ["the holders", "the owner"], "bsd-3-clause": ["acme", "its contributors", "them", "us"],
+}
+
+
+@pytest.mark.parametrize("label", LONG)
+def test_whole_licenses(label):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.BASE)
+    template = max(licenses.TEMPLATES[label], key=len)
+    words = filled(template, *LONG[label]).split()
+    labels = lambda ws: {found for _, _, found in scanner.scan(ws)[1]}
+    assert labels(words) == {label} and labels(["x"] * 5 + words + ["y"] * 5) == {label}
+    long = filled(template, " ".join(["name"] * 500), *LONG[label][1:]).split()
+    assert labels(long) == {label}
+    mandatory = [i for i, w in enumerate(words) if w in licenses.compile_template(template).mandatory]
+    regions = {w for r in LONG[label] for w in r.split()}
+    for i in mandatory:
+        if words[i] not in regions:
+            assert labels(words[:i] + ["nonsense"] + words[i + 1 :]) == set()
+    for part in (words[:20], words[:-1], words[1:], words[: len(words) // 2]):
+        assert labels(part) == set()
+    assert labels(words * 2) == {label} and len(scanner.scan(words * 3)[1]) == 3
+
+
+def test_replaceable_regions_of_any_length():
+    made = licenses.compile_template('copy of <<var match=".+">> and <<optional>>the<</optional>> files')
+    for n in (1, 12, 13, 500):
+        assert made.match(["copy", "of", *["x"] * n, "and", "files", "z"], 0) == n + 4
+        assert made.match(["copy", "of", *["and"] * n, "and", "the", "files"], 0) == n + 5
+    assert made.match("copy of and files".split(), 0) == -1
+    hopeless = set()
+    assert made.match(["copy", "of", "x", "copy", "of", "y"], 0, hopeless) == -1 and hopeless
+    listed = licenses.compile_template('by <<var match="[a-z]+( [a-z]+)*">> in <<var match="[0-9]{4}">>')
+    assert listed.match(["by", *["x"] * 40, "in", "1999"], 0) == 43
+    assert listed.match("by x 7 in 1999".split(), 0) == -1
+
+
 def test_license_notices(frame):
     texts = ["Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.",
              "This work is licensed under the GNU General Public License, version 3 or later",
