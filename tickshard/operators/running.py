@@ -27,6 +27,7 @@ from tickshard.operators.segments import (
     HOT_ROWS,
     HotKeys,
     carried,
+    carried_each,
     crowded_cuts,
     default_splits,
     find_hot_keys,
@@ -379,10 +380,12 @@ def _rolled_in_blocks(
     steps = rows.groupBy("h", "t").agg(*fold).withColumn("b", block)
     asking = rows.drop(*asked).withColumn("b", block)
     earlier = asking.withColumns({"at": F.col("t"), "t": F.col("t") - wide, "b": F.col("b") - 1})
-    back = _run(earlier, steps, asked, hot_rows, splits, backward=True)
+    times = asking.select("h", "b", "t").unionByName(earlier.select("h", "b", "t"))
+    hot_keys = find_hot_keys(times, ["h", "b"], hot_rows, splits)
+    back = _run(earlier, steps, asked, hot_keys, backward=True)
     held = back.withColumnsRenamed({v: f"{v}_back" for v in asked})
     held = held.withColumns({"t": F.col("at"), "b": F.col("b") + 1}).drop("at")
-    both = _run(held, steps, asked, hot_rows, splits, backward=False)
+    both = _run(held, steps, asked, hot_keys, backward=False)
     return both.withColumns(
         {v: _joined(what, F.col(v), F.col(f"{v}_back")) for v, (what, _) in asked.items()}
     )
@@ -395,13 +398,12 @@ def _joined(what: str, a: Column, b: Column) -> Column:
 
 
 def _run(
-    asking: DataFrame, steps: DataFrame, asked: dict, hot_rows: int, splits: int, backward: bool
+    asking: DataFrame, steps: DataFrame, asked: dict, hot_keys: HotKeys | None, backward: bool
 ) -> DataFrame:
     """*asking* with, for each of *asked*, the fold of the *steps* of its block up to its
     time, with *backward* of those from its time on."""
     keys, groups = ["h", "b"], ["h", "b"]
-    times = asking.select(*keys, "t").unionByName(steps.select(*keys, "t"))
-    hot_keys = find_hot_keys(times, keys, hot_rows, splits)
+    folds = {v: _FOLDS[what] for v, (what, _) in asked.items()}
     if hot_keys is not None:
         groups += ["hot", "segment"]
         asking = with_segment(with_hot_number(asking, hot_keys, keys), hot_keys, spread=True)
@@ -412,16 +414,18 @@ def _run(
     time = F.desc("t") if backward else F.asc("t")
     upto = Window.partitionBy(*groups).orderBy(time, "side")
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = every.withColumns({v: _FOLDS[what](v).over(upto) for v, (what, _) in asked.items()})
+    every = every.withColumns({v: fold(v).over(upto) for v, fold in folds.items()})
     every = every.where("side = 1").drop("side")
-    if hot_keys is not None:
-        for v, (what, _) in asked.items():
-            own = steps.where("hot >= 0").groupBy("hot", "segment").agg(_FOLDS[what](v).alias("value"))
-            over = F.broadcast(carried(own, hot_keys, _FOLDS[what], backward))
-            every = every.join(over, ["hot", "segment"], "left")
-            every = every.withColumn(v, _joined(what, F.col(v), F.col("carried"))).drop("carried")
-        every = every.drop("hot", "segment")
-    return every
+    if hot_keys is None:
+        return every
+    own = steps.where("hot >= 0").groupBy("hot", "segment")
+    own = own.agg(*[fold(v).alias(v) for v, fold in folds.items()])
+    over = carried_each(own, hot_keys, folds, backward)
+    over = F.broadcast(over.withColumnsRenamed({v: f"{v}_over" for v in asked}))
+    joined = every.join(over, ["hot", "segment"], "left").withColumns(
+        {v: _joined(what, F.col(v), F.col(f"{v}_over")) for v, (what, _) in asked.items()}
+    )
+    return joined.drop("hot", "segment", *[f"{v}_over" for v in asked])
 
 
 def _answers(rows: DataFrame, names: list[str], columns: Mapping, asked: dict) -> DataFrame:

@@ -14,7 +14,7 @@ unevenly gives the same result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -226,13 +226,24 @@ def carried(
     every segment with something to take over, as ``carried``. This runs over one row
     per segment, of which there are at most ``2 * splits``.
     """
+    folded = carried_each(per_segment, hot_keys, {"value": combine}, backward)
+    folded = folded.withColumnRenamed("value", "carried")
+    return folded.where("carried IS NOT NULL").select("hot", "segment", "carried")
+
+
+def carried_each(
+    per_segment: DataFrame,
+    hot_keys: HotKeys,
+    combine: Mapping[str, Callable[[str], Column]],
+    backward: bool = False,
+) -> DataFrame:
+    """The same for several columns of *per_segment*, each under its own name, with a row for
+    every segment."""
     cells = per_segment.sparkSession.createDataFrame(
         [(h, s) for h in hot_keys.cuts for s in range(hot_keys.segment_count(h))],
         "hot int, segment int",
     )
     order = F.desc("segment") if backward else F.asc("segment")
     earlier = Window.partitionBy("hot").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    folded = cells.join(per_segment, ["hot", "segment"], "left").withColumn(
-        "carried", combine("value").over(earlier)
-    )
-    return folded.where("carried IS NOT NULL").select("hot", "segment", "carried")
+    held = cells.join(per_segment, ["hot", "segment"], "left")
+    return held.withColumns({name: fold(name).over(earlier) for name, fold in combine.items()})
