@@ -28,7 +28,7 @@ from tickshard.llm.scratch import freeing, ranked, result
 from tickshard.llm.words import Words, byte_class, portions
 
 #: Pieces of one length that are ranked together, on average.
-CELL = 2048
+CELL = 256
 #: Chunks of text whose ids a worker remembers, and their bytes.
 REMEMBERED, REMEMBERED_BYTES = 250_000, 16 << 20
 #: Characters that are encoded together.
