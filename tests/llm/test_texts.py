@@ -9,6 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from tickshard.llm.scratch import Scratch
 from tickshard.llm import language, licenses, packing, pii, template
 from tickshard.llm.queries import tokenizer_path
 
@@ -383,6 +384,94 @@ def test_template_strings_and_regions_go(frame):
     assert template.extract_main_text(frame([], schema)).count() == 0
 
 
+PAGE_SCHEMA = "page_id bigint, url string, html string"
+
+
+def texts_of(frame, *pages, host="h.org"):
+    rows = [(i, f"https://{host}/{i}", p) for i, p in enumerate(pages)]
+    found = template.extract_main_text(frame(rows, PAGE_SCHEMA).repartition(3)).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.page_id)]
+
+
+def strange(n, links=3):
+    """A page without article tags whose class names say nothing."""
+    menu = "".join(f"<li><a href=/{n}{i}>go {n} {i}</a></li>" for i in range(links))
+    return (f"<html><body><div class=q1>The Site</div><ul class=q2>{menu}</ul><div class=q3><h1>Head {n}</h1>"
+            f"<p>First {n} of all that is said here today</p><p>Said <a href=/x>the {n} of long link text</a></p></div>"
+            f"<div class=q4>All rights reserved</div></body></html>")
+
+
+def test_templates_decide_where_names_do_not(frame, monkeypatch):
+    pages = [strange(n, 2 + n % 3) for n in range(6)]
+    wanted = [f"Head {n}\nFirst {n} of all that is said here today\nSaid the {n} of long link text" for n in range(6)]
+    assert texts_of(frame, *pages) == wanted
+    # copies of a page are one page, and two different pages are enough
+    assert texts_of(frame, pages[0], pages[0], pages[1]) == [wanted[0], wanted[0], wanted[1]]
+    assert texts_of(frame, pages[2], pages[3]) == [wanted[2], wanted[3]]
+    # one page has no template, and without one the furniture stays
+    assert texts_of(frame, pages[0], pages[0])[0].startswith("The Site\ngo 0 0")
+    monkeypatch.setattr(template, "templates", lambda pages, scratch: scratch.spark.createDataFrame(
+        [], "host string, tags array<bigint>, strings array<bigint>, menus array<bigint>"))
+    assert texts_of(frame, *pages) != wanted
+
+
+def test_articles_are_kept_whole(frame):
+    page = ("<body><header>Top</header><article><h1>T {0}</h1><p>Same words.</p><p><a>a link {0}</a></p>"
+            "<div class='social history'>On society {0}</div><div class='ad'>Buy {0}</div></article>"
+            "<article class=c1>a comment {1}</article><div>End</div></body>")
+    pages = [page.format(n, n) for n in range(4)]
+    got = texts_of(frame, *pages, pages[0])
+    wanted = [f"T {n}\nSame words.\na link {n}\nOn society {n}" for n in range(4)]
+    assert [t.removesuffix(f"\na comment {n}") for n, t in enumerate(got[:4])] == wanted and got[4] == got[0]
+    extra = page.replace("<article class=c1>a comment {1}</article>", "{1}")
+    some = [extra.format(n, f"<article class=c1>comment {n}</article>" * n) for n in range(5)]
+    assert texts_of(frame, *some) == [f"T {n}\nSame words.\na link {n}\nOn society {n}" for n in range(5)]
+
+
+def plain_classes(pages):
+    """Valid classes of tags by whole vectors, from the definition."""
+    pages = list(dict.fromkeys(pages))
+    tokens = [template.page_tokens(p) for p in pages]
+    vectors = {}
+    for key in {k for t in tokens for k in t}:
+        vector = tuple(t[key][0] if key in t else 0 for t in tokens)
+        on = sum(n > 0 for n in vector)
+        if on >= 2 and on >= len(pages) * template.SUPPORT:
+            vectors.setdefault(vector, set()).add(key)
+    once = {v: {k for k in ks if k[0] != "text"} for v, ks in vectors.items() if max(v) == 1}
+    once = {v: ks for v, ks in once.items() if ks}
+    mean = lambda k: (sum(t[k][1] for t in tokens if k in t), template.digest(*k))
+    bad = set()
+    for t in tokens:
+        places = {v: [t[k][1] for k in sorted(ks, key=mean)] for v, ks in once.items() if next(iter(ks)) in t}
+        bad |= {v for v, ps in places.items() if ps != sorted(ps)}
+    for t in tokens:
+        here = [v for v, ks in once.items() if next(iter(ks)) in t]
+        spans = {v: sorted(t[k][1] for k in once[v]) for v in here}
+        inside = lambda a, b: any(spans[b][0] < p < spans[b][-1] for p in spans[a])
+        for v in here:
+            bad |= {v for w in here if sum(w) > sum(v) and w not in bad and inside(v, w) and inside(w, v)}
+    return {template.digest(*k) for v, ks in once.items() if v not in bad for k in ks}
+
+
+def test_classes_are_those_of_whole_vectors(spark, frame):
+    rng = random.Random(11)
+    part = {c: f"<div class={c}>text of {c}</div>" for c in "abcdefg"}
+    for count in (1, 2, 3, 5, 9, 16):
+        pages = []
+        for n in range(count):
+            names = [c for c in "abcdefg" if rng.random() < {"a": 1, "b": 1, "c": 0.8, "d": 0.6}.get(c, 0.5)]
+            if rng.random() < 0.3:
+                rng.shuffle(names)
+            body = "".join(part[c] if c != "f" else f"<section class=f>{n}</section>" * rng.randrange(1, 3) for c in names)
+            pages.append(f"<html><body>{body}<p>own {n}</p></body></html>")
+        pages += pages[:2]
+        rows = [(i, f"https://x.org/{i}", p) for i, p in enumerate(pages)]
+        with Scratch(spark) as scratch:
+            found = template.templates(frame(rows, PAGE_SCHEMA).repartition(2), scratch).collect()
+        assert (set(found[0].tags) if found else set()) == plain_classes(pages)
+
+
 @pytest.mark.parametrize("text", ["<", "<a", "<!--", "<script>x", "a < b > c", "<p title='a>b'>x</p>"])
 def test_broken_markup(text):
-    assert isinstance(template.main_text(text, frozenset()), str)
+    assert isinstance(template.main_text(text), str)

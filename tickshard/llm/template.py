@@ -2,17 +2,20 @@
 
 1. A page is a sequence of tokens: tags with the path of block tags they stand in, and
    whole text strings with theirs.
-2. The occurrence vector of a token over the pages of its host is kept as a commutative
-   digest: the sum over pages of a hash of page and count. Tasks add up their own pages
-   first, so a host with a third of all pages is only a few more partial sums.
-3. Tokens of one host with the same vector, found on enough of its pages, are an
-   equivalence class. A class is valid if its tokens keep one order on their pages; valid
-   classes nest by the places they span, and the nested classes are the host's template.
-4. A page is read again with its host's template: what is not template is in slots between
-   template tokens. A slot belongs to the article or to a menu, header, footer, sidebar,
-   notice, advert, form or comment by the template tags that enclose it. Strings of the
-   template outside the article go, and so do lists of links.
-Pages of hosts with few pages have no template; the tags of the page itself decide.
+2. The occurrence vector of a token says how often it is on each of the different pages of
+   its host; copies of a page are one page. It is kept as a digest. Tokens of one vector, on
+   at least two pages and half of the host's, are an equivalence class.
+3. A class is valid if its tokens come in one order on every page, and nested: of two
+   classes one lies between two neighbouring tokens of the other on every page. Of classes
+   that cross, the one on fewer pages is not valid. The valid classes are the template.
+4. Between two tags of the template is a slot. Over all pages of a host a slot whose text is
+   mostly in links is a menu.
+5. A page is read again with its host's template. Its article is what stands between the
+   template's article tags, whatever it holds; on hosts without such tags it is what is in
+   slots, but for menus and for slots whose template tags are named as furniture. Strings of
+   the template and menus are never looked for inside the article.
+One page says nothing about a template: on hosts with a single different page the names of
+all tags decide, and so does the presence of an article tag.
 """
 
 from __future__ import annotations
@@ -23,16 +26,19 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickshard.llm.scratch import Scratch, result
+from tickshard.llm.scratch import Scratch, freeing, result
 
-#: A template needs this many pages of a host, and a token this share of them.
-MIN_PAGES = 3
+#: The share of a host's different pages that a token of the template is on; two at least.
 SUPPORT = 0.5
-#: Tokens that a task adds up before it hands them on.
-HELD = 200_000
+#: A slot with more than this share of its text in links is a menu.
+LINKED = 0.5
+#: Pages that a task remembers so as not to hand on copies.
+SEEN = 100_000
+#: Parts that the tokens of a host are dealt to where they meet its classes.
+DEALT = 32
 
 # Tags of HTML and what they mean for text.
 INLINE = frozenset(
@@ -50,7 +56,7 @@ RAW = "script|style|title|textarea|noscript|iframe"
 DROPPED = frozenset([*SILENT.split("|"), *"nav footer aside form fieldset dialog menu".split()])
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 _BAD = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|masthead|"
+    r"(?:^|[\s_-])(nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|masthead|"
     r"site-?header|page-?header|ads?|advert|adverts|advertisement|advertising|sponsor|sponsored|"
     r"promo|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|"
     r"social|comments?|commentlist|disqus|replies|respond|related|recommended|widget|toolbar|"
@@ -77,6 +83,13 @@ _PIECE = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+class Template:
+    """What the pages of a host have in common: digests of tokens."""
+
+    def __init__(self, tags=(), strings=(), menus=()):
+        self.tags, self.strings, self.menus = frozenset(tags), frozenset(strings), frozenset(menus)
+
+
 class Node:
     """An open block tag."""
 
@@ -90,22 +103,33 @@ def _marks(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
 
 
-def _open(parent: Node, name: str, attributes: str) -> Node:
+def _furniture(names: str, whole: bool) -> bool:
+    """Whether a class or id names furniture; with *whole* each of its words does."""
+    words = names.split()
+    return bool(words) and (all if whole else any)(_BAD.search(w) for w in words)
+
+
+def _open(parent: Node, name: str, attributes: str, template: Template | None) -> Node:
     marks = _marks(attributes) if "=" in attributes else {}
     label = marks.get("class", "")
     role = marks.get("role", "").lower()
     path = f"{parent.path}/{name}" + (f".{label}" if label else "")
-    main = parent.main or name in ("article", "main") or role in ("main", "article")
-    main = main or marks.get("itemprop", "").lower() == "articlebody"
+    own = name in ("article", "main") or role in ("main", "article")
+    own = own or marks.get("itemprop", "").lower() == "articlebody"
+    if own and template is not None and not parent.main:
+        own = not template.tags or digest("open", path, "") in template.tags
     bad = name in DROPPED or role in _ROLES or name == "header" and not parent.main
     if not bad and name not in ("html", "body", "main", "h1", "h2", "h3", "p"):
-        bad = bool(_BAD.search(label) or _BAD.search(marks.get("id", "")))
-    if name == "article" and parent.main and _BAD.search(parent.path.rpartition("/")[2]):
+        bad = any(_furniture(marks.get(k, ""), parent.main) for k in ("class", "id"))
+        # names count on tags of the template; on all tags only where there is none
+        if bad and template is not None and template.tags:
+            bad = digest("open", path, "") in template.tags
+    if name == "article" and parent.main and _furniture(parent.path.rpartition("/")[2], False):
         bad = True
-    return Node(name, path, parent.dropped or bad, main)
+    return Node(name, path, parent.dropped or bad, parent.main or own)
 
 
-def pieces(page: str) -> Iterator[tuple[str, Node, str]]:
+def pieces(page: str, template: Template | None = None) -> Iterator[tuple[str, Node, str]]:
     """(kind, block, text) of a page in order; kinds: open, close, text, link, unlink."""
     root = Node("", "", False, False)
     stack, at = [root], 0
@@ -140,7 +164,7 @@ def pieces(page: str) -> Iterator[tuple[str, Node, str]]:
                 break
             if stack[d].name in _SCOPES:
                 break
-        node = _open(stack[-1], name, attributes or "")
+        node = _open(stack[-1], name, attributes or "", template)
         yield "open", node, name
         if name not in VOID and not (attributes or "").endswith("/"):
             stack.append(node)
@@ -158,19 +182,22 @@ def digest(*parts: str) -> int:
     return int.from_bytes(raw.digest(), "little", signed=True)
 
 
-def page_tokens(page: str) -> dict[int, tuple[str, str, str, int, int]]:
-    """Tokens of a page: kind, path, string, how often and where first."""
+def page_tokens(page: str) -> dict[tuple[str, str, str], list[int]]:
+    """Tokens of a page: how often and where first; the length of a text, and of its links."""
     found: dict[tuple[str, str, str], list[int]] = {}
+    in_link = False
     for place, (kind, node, text) in enumerate(pieces(page)):
-        if kind == "text":
-            text = cleaned(text)
-            if not text:
-                continue
-        elif kind not in ("open", "close"):
+        if kind in ("link", "unlink"):
+            in_link = kind == "link"
             continue
-        own = found.setdefault((kind, node.path, text), [0, place])
+        text = cleaned(text) if kind == "text" else ""
+        if kind == "text" and not text:
+            continue
+        own = found.setdefault((kind, node.path, text), [0, place, 0, 0])
         own[0] += 1
-    return {digest(*key): (*key, *own) for key, own in found.items()}
+        own[2] += len(text)
+        own[3] += len(text) if in_link else 0
+    return found
 
 
 def host_of(url: str | None) -> str:
@@ -179,157 +206,183 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of a task's pages: (host, token) -> pages, times, digest of the vector, places."""
-    held: dict[tuple[str, int], list[int]] = {}
+_TOKEN = "host string, page bigint, token bigint, text boolean, times bigint, place bigint, size bigint, linked bigint"
 
-    def flush() -> pa.RecordBatch:
-        keys, rows = list(held), list(held.values())
-        made = pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.int64()),
-                *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)),
-            ],
-            names=["host", "token", "pages", "times", "vector", "place"],
-        )
-        held.clear()
-        return made
 
+def _page_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of each different page; token 0 stands for the page."""
+    seen: set[tuple[str, int]] = set()
     for batch in batches:
-        for url, page in zip(batch.column("url"), batch.column("html")):
-            page, host = page.as_py() or "", host_of(url.as_py())
-            seed = digest(page)
-            tokens = page_tokens(page)
-            tokens[0] = ("page", "", "", 1, 0)  # counts the host's pages
-            for token, (*_, times, place) in tokens.items():
-                own = held.setdefault((host, token), [0, 0, 0, 0])
-                vector = (seed ^ times * 0x9E3779B97F4A7C15) * 0xD6E8FEB86659FD93
-                own[0] += 1
-                own[1] += times
-                own[2] = ((own[2] + vector + 2**31) % 2**32) - 2**31
-                own[3] += place
-            if len(held) > HELD:
-                yield flush()
-    if held:
-        yield flush()
-
-
-def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """(host, token, pages, times, vector, place): the digest of each token's vector."""
-    fields = "host string, token bigint, pages bigint, times bigint, vector bigint, place bigint"
-    return (
-        pages.select("url", "html")
-        .mapInArrow(_occurrences, fields)
-        .groupBy("host", "token")
-        .agg(
-            F.sum("pages").alias("pages"),
-            F.sum("times").alias("times"),
-            F.pmod(F.sum("vector"), F.lit(1 << 32)).alias("vector"),
-            F.sum("place").alias("place"),
+        rows: list[tuple] = []
+        for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+            host, page = host_of(url), page or ""
+            number = digest(page)
+            if (host, number) in seen:
+                continue
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.add((host, number))
+            rows.append((host, number, 0, False, 1, 0, 0, 0))
+            for key, (times, place, size, linked) in page_tokens(page).items():
+                rows.append((host, number, digest(*key), key[0] == "text", times, place, size, linked))
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4]
+        columns = list(zip(*rows)) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds)],
+            names=["host", "page", "token", "text", "times", "place", "size", "linked"],
         )
-    )
 
 
-def _nest(left):
-    """The classes of one host; its frequent tokens are about as many as one page has.
+def token_rows(pages: DataFrame) -> DataFrame:
+    """The tokens of the different pages of each host, each once."""
+    rows = pages.select("url", "html").mapInArrow(freeing(_page_rows), _TOKEN)
+    names = ["text", "times", "place", "size", "linked"]
+    return rows.groupBy("host", "page", "token").agg(*[F.any_value(n).alias(n) for n in names])
 
-    Tokens of a class have one vector, so they occur on the same pages equally often. The
-    mean of their first places orders them; tokens that share a place can't be ordered and
-    leave the class. A class is nested in the last one whose places enclose its own.
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """(host, token, text, cls, pages, once, step): the tokens of equivalence classes.
+
+    ``step`` orders the tokens of a class by the mean of their places; ``once`` says that they
+    are on a page once. Digests of vectors are sums and exclusive ors over different pages.
     """
-    rows = left.to_pylist()
-    total = max((r["pages"] for r in rows if r["token"] == 0), default=0)
-    if total < MIN_PAGES:
-        return pa.table({"host": [], "tokens": []}, schema=_TEMPLATE)
-    classes: dict[tuple, list[dict]] = {}
-    for r in rows:
-        if r["token"] and r["pages"] >= SUPPORT * total:
-            classes.setdefault((r["pages"], r["times"], r["vector"]), []).append(r)
-    valid = []
-    for tokens in classes.values():
-        tokens.sort(key=lambda r: (r["place"], r["token"]))
-        places = [r["place"] for r in tokens]
-        ordered = [r for r, p in zip(tokens, places) if places.count(p) == 1 or len(places) < 3]
-        if ordered:
-            mean = [r["place"] / r["pages"] for r in ordered]
-            valid.append((min(mean), max(mean), [r["token"] for r in ordered]))
-    valid.sort(key=lambda c: (c[0], -c[1]))
-    nested, open_classes = [], []
-    for low, high, tokens in valid:
-        while open_classes and open_classes[-1][1] < high:
-            open_classes.pop()
-        nested.append({"depth": len(open_classes), "tokens": tokens})
-        open_classes.append((low, high))
-    return pa.table({"host": [rows[0]["host"]], "tokens": [nested]}, schema=_TEMPLATE)
-
-
-_TEMPLATE = pa.schema(
-    [
-        ("host", pa.string()),
-        ("tokens", pa.list_(pa.struct([("depth", pa.int32()), ("tokens", pa.list_(pa.int64()))]))),
-    ]
-)
+    counted = F.xxhash64("page", "times")
+    vectors = rows.groupBy("host", "token").agg(
+        F.count("*").alias("pages"),
+        F.sum("times").alias("times"),
+        F.bit_xor(counted).alias("vector"),
+        F.sum(F.pmod(F.xxhash64(counted), F.lit(1 << 31))).alias("check"),
+        F.sum("place").alias("place"),
+        F.any_value("text").alias("text"),
+    )
+    totals = vectors.where("token = 0").select("host", F.col("pages").alias("total"))
+    often = (F.col("pages") >= 2) & (F.col("pages") >= F.col("total") * SUPPORT)
+    common = vectors.where("token <> 0 AND pages > 1").join(totals, "host").where(often)
+    name = F.xxhash64("pages", "times", "vector", "check")
+    order = Window.partitionBy("host", "cls").orderBy("place", "token")
+    return common.withColumn("cls", name).select(
+        "host",
+        "token",
+        "text",
+        "cls",
+        "pages",
+        (F.col("times") == F.col("pages")).alias("once"),
+        F.row_number().over(order).alias("step"),
+    )
+
+
+def _met(rows: DataFrame, found: DataFrame, kind: str) -> DataFrame:
+    """*rows* with the classes of their tokens. A frequent token of a large host is dealt to
+    several tasks by page, and its class goes to each of them."""
+    part = F.pmod(F.xxhash64("page"), F.lit(DEALT)).alias("part")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(DEALT - 1).cast("bigint"))).alias("part")
+    named = found.drop("text").select("*", every)
+    return rows.select("*", part).join(named, ["host", "token", "part"], kind)
+
+
+def _faults(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes that are out of order on a page, and those that cross one on more pages."""
+    for batch in batches:
+        bad: set[tuple[str, int]] = set()
+        for host, members in zip(batch.column("host").to_pylist(), batch.column("members").to_pylist()):
+            own: dict[int, list[dict]] = {}
+            for m in sorted(members, key=lambda m: m["place"]):
+                own.setdefault(m["cls"], []).append(m)
+            for cls, tokens in own.items():
+                if any(a["step"] > b["step"] for a, b in zip(tokens, tokens[1:])):
+                    bad.add((host, cls))
+            ordered = sorted(own, key=lambda c: (-own[c][0]["pages"], c))
+            within = lambda a, b: any(b[0]["place"] < m["place"] < b[-1]["place"] for m in a)
+            for n, less in enumerate(ordered):
+                for more in ordered[:n]:
+                    if (host, more) not in bad and within(own[less], own[more]) and within(own[more], own[less]):
+                        bad.add((host, less))
+                        break
+        hosts, names = zip(*bad) if bad else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(names, pa.int64())], names=["host", "cls"]
+        )
 
 
 def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, tokens): the nested equivalence classes of every host with enough pages."""
-    sums = scratch.store(occurrence_vectors(pages))
-    count = sums.where("token = 0").select("host", F.col("pages").alias("total"))
-    # no token of one page is frequent where a template needs more; most tokens are such
-    frequent = (
-        sums.where("pages > 1").join(count.where(F.col("total") >= MIN_PAGES), "host")
-        .where((F.col("token") == 0) | (F.col("pages") >= F.col("total") * SUPPORT))
-        .drop("total")
+    """(host, tags, strings, menus): the template of every host that has one.
+
+    Its tokens are each on half of the host's pages, so they are at most about twice as many
+    as a page has.
+    """
+    rows = scratch.store(token_rows(pages))
+    found = scratch.store(classes_of(rows))
+    once = found.where("once AND NOT text")
+    members = F.collect_list(F.struct("place", "step", "cls", "pages")).alias("members")
+    by_page = _met(rows.where("NOT text"), once, "inner").groupBy("host", "page").agg(members)
+    faults = by_page.mapInArrow(_faults, "host string, cls bigint").distinct()
+    valid = scratch.store(found.join(faults, ["host", "cls"], "left_anti"))
+    tags = valid.where("once AND NOT text").withColumn("tag", F.col("token"))
+    # a text is in the slot after the last tag of the template before it
+    placed = _met(rows.where("token <> 0"), tags.select("host", "token", "tag"), "left")
+    before = Window.partitionBy("host", "page").orderBy("place")
+    slots = placed.withColumn("slot", F.last("tag", ignorenulls=True).over(before))
+    linked = slots.where("text AND slot IS NOT NULL").groupBy("host", "slot").agg(
+        F.sum("size").alias("size"), F.sum("linked").alias("linked")
+    )
+    menus = linked.where(F.col("linked") > F.col("size") * LINKED)
+    parts = (
+        tags.select("host", "token", F.lit("tags").alias("part"))
+        .unionByName(valid.where("text").select("host", "token", F.lit("strings").alias("part")))
+        .unionByName(menus.select("host", F.col("slot").alias("token"), F.lit("menus").alias("part")))
     )
-    fields = "host string, tokens array<struct<depth:int,tokens:array<bigint>>>"
-    return frequent.groupBy("host").applyInArrow(_nest, fields)
+    held = lambda part: F.collect_set(F.when(F.col("part") == part, F.col("token"))).alias(part)
+    made = parts.groupBy("host").agg(held("tags"), held("strings"), held("menus"))
+    return made.where(F.size("tags") > 0)
 
 
-def main_text(page: str, template: frozenset[int]) -> str:
-    """The article of a page, its blocks on lines; *template* holds the host's tokens."""
-    blocks: list[tuple[Node, str, int, int]] = []  # block, raw text, length in links, length
+def main_text(page: str, template: Template | None = None) -> str:
+    """The article of a page, its blocks on lines, by the template of its host if it has one."""
+    template = template or Template()
+    text = _main_text(page, template)
+    if text is None and template.tags:  # the template has no article tag, or not this page's
+        text = _main_text(page, template, any_article=True)
+    return text or ""
+
+
+def _main_text(page: str, template: Template, any_article: bool = False) -> str | None:
+    """None: the page has article tags, but none of the template's."""
+    blocks: list[tuple[Node, str, int]] = []  # block, raw text, slot
     raw: list[str] = []
-    linked = length = 0
-    in_link = False
     block: Node | None = None
+    slot = 0
+    marked = False
 
     def end() -> None:
-        nonlocal linked, length, block
+        nonlocal block
         if block is not None and raw:
-            blocks.append((block, "".join(raw), linked, length))
+            blocks.append((block, "".join(raw), slot))
         raw.clear()
-        linked = length = 0
         block = None
 
-    for kind, node, text in pieces(page):
+    for kind, node, text in pieces(page, None if any_article else template):
         if kind == "text":
             if block is not None and block is not node:
                 end()
             block = node
             raw.append(text)
-            size = len(text.strip())
-            length += size
-            linked += size if in_link else 0
-        elif kind == "link":
-            in_link = True
-        elif kind == "unlink":
-            in_link = False
-        else:
+        elif kind in ("open", "close"):
             end()
+            marked = marked or node.name in ("article", "main")
+            if template.menus and (token := digest(kind, node.path, "")) in template.tags:
+                slot = token
     end()
-    kept = [(b, t, links, n) for b, t, links, n in blocks if not b.dropped and t.strip()]
-    article = [(b, t) for b, t, _, _ in kept if b.main]
-    if article:
-        chosen = [cleaned(t) for _, t in article]
-    else:
-        chosen = []
-        for b, t, links, n in kept:
-            line = cleaned(t)
-            in_template = line and digest("text", b.path, line) in template
-            if not in_template and links * 2 <= n:
-                chosen.append(line)
-    return "\n".join(line for line in chosen if line)
+    kept = [(b, cleaned(t), slot) for b, t, slot in blocks if not b.dropped and t.strip()]
+    article = [line for b, line, _ in kept if b.main]
+    if not article and marked and not any_article and template.tags:
+        return None
+    if not article:
+        article = [
+            line
+            for b, line, slot in kept
+            if slot not in template.menus and digest("text", b.path, line) not in template.strings
+        ]
+    return "\n".join(line for line in article if line)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -341,20 +394,19 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     with Scratch(pages.sparkSession) as scratch:
         found = scratch.store(templates(pages, scratch))
         rows = pages.select("page_id", "url", "html").withColumn("host", _host_column())
-        tokens = F.flatten(F.transform("tokens", lambda c: c["tokens"]))
-        joined = rows.join(found.select("host", tokens.alias("tokens")), "host", "left")
+        joined = rows.join(found, "host", "left")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: dict[str, frozenset[int]] = {}
+            seen: dict[str, Template] = {}
             for batch in batches:
                 texts = []
-                rows = zip(batch.column("host"), batch.column("html"), batch.column("tokens"))
-                for host, page, tokens in rows:
-                    host = host.as_py()
+                parts = [batch.column(n) for n in ("tags", "strings", "menus")]
+                rows = zip(batch.column("host").to_pylist(), batch.column("html"))
+                for i, (host, page) in enumerate(rows):
                     if host not in seen:
                         if len(seen) > 1000:
                             seen.clear()
-                        seen[host] = frozenset(tokens.as_py() or ())
+                        seen[host] = Template(*[p[i].as_py() or () for p in parts])
                     texts.append(main_text(page.as_py() or "", seen[host]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -367,7 +419,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 )
 
         fields = "page_id bigint, url string, text string, n_chars bigint"
-        return result(joined.mapInArrow(run, fields))
+        return result(joined.mapInArrow(freeing(run), fields))
 
 
 def _host_column():
