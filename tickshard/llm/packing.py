@@ -30,9 +30,9 @@ from tickshard.llm.words import Words, byte_class, portions
 #: Pieces of one length that are ranked together, on average.
 CELL = 256
 #: Chunks of text whose ids a worker remembers, and their bytes.
-REMEMBERED, REMEMBERED_BYTES = 250_000, 16 << 20
+REMEMBERED, REMEMBERED_BYTES = 400_000, 16 << 20
 #: Characters that are encoded together.
-PORTION = 1_000_000
+PORTION = 4_000_000
 
 
 class Encoder:
@@ -99,16 +99,19 @@ class Encoder:
         spaced = np.ones(len(words.starts), dtype=bool)
         spaced[first[:-1][np.diff(first) > 0]] = False  # the first of its text
         coded = words.slices(spaced).dictionary_encode()
-        chunks, known = coded.dictionary.to_pylist(), self.known
-        new = [c for c in chunks if c not in known]
-        self.held += sum(map(len, new))
-        self._learn([c for c in new if c[0] == 32])
-        for chunk in new:
+        chunks, known = _bytes_of(coded.dictionary), self.known
+        held = list(map(known.get, chunks))
+        new = [i for i, own in enumerate(held) if own is None]
+        self.held += sum(len(chunks[i]) for i in new)
+        self._learn([chunks[i] for i in new if chunks[i][0] == 32])
+        for i in new:
+            chunk = chunks[i]
             if chunk[0] != 32:
                 ids = self.ranks.encode_ordinary(chunk.decode("utf-8", "surrogatepass"))
                 known[chunk] = np.array(ids, dtype="<u4").tobytes()
+            held[i] = known[chunk]
         table = np.empty(len(chunks), dtype=object)
-        table[:] = [known[c] for c in chunks]
+        table[:] = held
         ids = table[coded.indices.to_numpy()].tolist()
         odd = self._odd(texts, words)
         rows = zip(texts, odd, first[:-1].tolist(), first[1:].tolist())
@@ -146,6 +149,13 @@ _RARE_WHITE = re.compile(
 _NOT_SPACE = byte_class(lambda b: b != 0x20)
 
 
+def _bytes_of(values: pa.Array) -> list[bytes]:
+    """The items of an array of bytes that has no offset, without a Python object for each scalar."""
+    ends = np.frombuffer(values.buffers()[1], dtype=np.int64)[: len(values) + 1].tolist()
+    data = (values.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 @functools.cache
 def _encoder(path: str) -> Encoder:
     """One for each worker process."""
