@@ -108,3 +108,36 @@ def test_no_key_needs_the_search_for_hot_keys(spark):
     left = spark.createDataFrame([(at(5), "a", 1)], LEFT)
     with pytest.raises(ValueError, match="hot_rows"):
         ts.asof_join(left, left, hot_rows=None)
+
+
+def test_two_tables_are_two_scans(spark, tmp_path):
+    """Also where keys are hot and instants crowded; what segments take over is no third scan."""
+    at = F.timestamp_seconds(F.col("id") % 40 * 60).cast("timestamp_ntz").alias("$timestamp")
+    for side, n in (("left", 3000), ("right", 2000)):
+        rows = spark.range(n).select(at, (F.col("id") % 3).alias("k"), F.col("id").alias(side))
+        rows.write.parquet(str(tmp_path / side))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
+    joined = ts.asof_join(left, right, on=["k"], tie=["right"], hot_rows=20, splits=64)
+    joined.write.format("noop").mode("overwrite").save()
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 2 and "ReusedExchange" in plan
+    best = {}
+    for r in right.collect():
+        best.setdefault((r.k, r["$timestamp"]), []).append(r.right)
+    for r in joined.collect():
+        assert r.right == max(best[r.k, r["$timestamp"]]) and r.matched_at == r["$timestamp"]
+
+
+def test_maps_at_any_depth_are_payload(spark):
+    start = "TIMESTAMP_NTZ '2024-01-01'"
+    left = spark.sql(f"SELECT {start} + make_dt_interval(0, id) AS `$timestamp`, id AS x FROM range(6)")
+    right = spark.sql(f"""
+        SELECT {start} + make_dt_interval(0, id * 2) AS `$timestamp`, map('a', id) AS m,
+               if(id = 1, NULL, struct(map('k', array(map('z', id), map())) AS deep, id AS n)) AS s
+        FROM range(3) UNION ALL SELECT {start}, map('a', -1), NULL""")
+    for hot_rows in (1, 5_000_000):
+        found = {r.x: (r.m["a"], r.s and (r.s.deep["k"][0]["z"], r.s.deep["k"][1], r.s.n))
+                 for r in ts.asof_join(left, right, hot_rows=hot_rows, splits=4).collect()}
+        assert found == {0: (0, (0, {}, 0)), 1: (0, (0, {}, 0)), 2: (1, None), 3: (1, None),
+                         4: (2, (2, {}, 2)), 5: (2, (2, {}, 2))}

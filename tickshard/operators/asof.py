@@ -18,7 +18,6 @@ from tickshard.operators.segments import (
     carried,
     default_splits,
     find_hot_keys,
-    thinned,
     with_hot_number,
     with_segment,
 )
@@ -30,6 +29,38 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [named(k).alias(f"k{i}") for i, k in enumerate(keys)]
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def _ordered(column: Column, kind: T.DataType) -> Column:
+    """*column* with its maps, at any depth, as their sorted entries: maps have no order."""
+    if not _has_map(kind):
+        return column
+    if isinstance(kind, T.StructType):
+        fields = [_ordered(column.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind)]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _ordered(x, kind.elementType))
+    entry = lambda e: F.struct(e["key"].alias("key"), _ordered(e["value"], kind.valueType).alias("value"))
+    return F.sort_array(F.transform(F.map_entries(column), entry))
+
+
+def _restored(column: Column, kind: T.DataType) -> Column:
+    """What ``_ordered`` was made from."""
+    if not _has_map(kind):
+        return column
+    if isinstance(kind, T.StructType):
+        fields = [_restored(column.getField(f"f{i}"), f.dataType).alias(f.name) for i, f in enumerate(kind)]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _restored(x, kind.elementType))
+    entry = lambda e: F.struct(e["key"].alias("key"), _restored(e["value"], kind.valueType).alias("value"))
+    return F.map_from_entries(F.transform(column, entry))
+
+
 def _seeds(right: DataFrame, hot_keys: HotKeys, keys: list[str]) -> DataFrame:
     """For each segment of a hot key, the last right row of the segments before it.
     The right side shrinks to one row per segment before anything moves."""
@@ -79,9 +110,10 @@ def asof_join(
         for those keys counts the rows, and samples them if they are many;
         ``hot_rows=None`` skips it for keys known to be small.
 
-    Both sides move once, by key and segment, and each left row takes the last right
-    row before it in its segment: no pairs are formed. The last right row of earlier
-    segments enters each segment as one extra row.
+    Both sides move by key and segment, and each left row takes the last right row before it
+    in its segment: no pairs are formed. The last right row of earlier segments enters each
+    segment as one extra row. Where there are hot keys, right rows of one key and instant are
+    folded into the winner before.
     """
     require_utc(left.sparkSession)
     if hot_rows is None and not on:
@@ -91,13 +123,9 @@ def asof_join(
 
     others = [c for c in right.columns if c not in on and c != AXIS]
     others = [*tie, *[c for c in others if c not in tie]]
-    # maps have no order; their entries, sorted, have one
-    maps = {c for c in others if isinstance(right.schema[c].dataType, T.MapType)}
+    kinds = {c: right.schema[c].dataType for c in others}
     payload = F.struct(
-        *[
-            (F.sort_array(F.map_entries(named(c))) if c in maps else named(c)).alias(f"c{i}")
-            for i, c in enumerate(others)
-        ],
+        *[_ordered(named(c), kinds[c]).alias(f"c{i}") for i, c in enumerate(others)],
         named(AXIS).alias("at"),
     )
     usable = named(AXIS).isNotNull()
@@ -124,11 +152,13 @@ def asof_join(
     if hot_keys is not None:
         groups += ["hot", "segment"]
         left_rows = with_hot_number(left_rows, hot_keys, keys)
-        right_rows = with_hot_number(right_rows, hot_keys, keys)
-        placed = with_segment(right_rows, hot_keys, spread=False)
+        # the winner of each instant first: an instant moves as one row, and what segments
+        # take over comes from the same shuffled rows
+        folded = right_rows.groupBy(*keys, "t", "side").agg(F.max("r").alias("r"))
+        placed = with_segment(with_hot_number(folded, hot_keys, keys), hot_keys, spread=False)
         sides = [
             with_segment(left_rows, hot_keys, spread=True),
-            thinned(placed, hot_keys, keys, F.max("r").alias("r")),
+            placed,
             _seeds(placed, hot_keys, keys),
         ]
     rows = sides[0]
@@ -146,11 +176,7 @@ def asof_join(
         *[F.col("l").getField(f"c{i}").alias(c) for i, c in enumerate(left.columns)],
         found.getField("at").alias(matched_at),
         *[
-            (
-                F.map_from_entries(found.getField(f"c{i}"))
-                if c in maps
-                else found.getField(f"c{i}")
-            ).alias(c + suffix if c in taken else c)
+            _restored(found.getField(f"c{i}"), kinds[c]).alias(c + suffix if c in taken else c)
             for i, c in enumerate(others)
         ],
     )

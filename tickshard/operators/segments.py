@@ -194,24 +194,6 @@ def with_segment(
     return numbered.withColumn("segment", locate.asNondeterministic()("hot", "t", order, task))
 
 
-def thinned(
-    placed: DataFrame, hot_keys: HotKeys, keys: Sequence[str], *aggregates: Column
-) -> DataFrame:
-    """*placed* rows with those of each crowded instant folded into one row by
-    *aggregates*, before they move. Other rows pass as they are."""
-    crowded = [(hot, instant) for hot, instant, _ in hot_keys.crowded_instants()]
-    if not crowded:
-        return placed
-    instants = F.broadcast(placed.sparkSession.createDataFrame(crowded, "hot int, t bigint"))
-    folded = (
-        placed.join(instants, ["hot", "t"], "left_semi")
-        .groupBy(*keys, "t", "side", "hot", "segment")
-        .agg(*aggregates)
-    )
-    others = placed.join(instants, ["hot", "t"], "left_anti")
-    return others.unionByName(folded)
-
-
 def carried(
     per_segment: DataFrame,
     hot_keys: HotKeys,
