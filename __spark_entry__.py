@@ -543,6 +543,24 @@ def _busy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).select(AXIS, "o_orderkey", "o_orderstatus", "o_custkey")
 
 
+def bucket_count_filled(spark, sf_dir):
+    """Every hour of six years for each status, with the last customer up to it."""
+    orders = _busy_orders(spark, sf_dir).where("o_custkey % 3 > 0 OR o_orderstatus = 'P'")
+    return ts.bucket_filled(
+        orders, "1h", "o_orderkey", on=["o_orderstatus"], carry={"customer": "o_custkey"}
+    )
+
+
+def bucket_minutes_filled(spark, sf_dir):
+    """Every minute of the events, added up by day."""
+    filled = ts.bucket_filled(_events(spark, sf_dir), "1min", "event_id")
+    return filled.groupBy(F.date_trunc("day", AXIS).cast("timestamp_ntz").alias("day")).agg(
+        F.count("*").alias("minutes"),
+        F.sum("count(event_id)").alias("events"),
+        F.count_if(F.col("count(event_id)") == 0).alias("empty"),
+    )
+
+
 _EVERY_STATUS = {"on": ["o_orderstatus"], "hot_rows": 100}
 
 
@@ -661,6 +679,8 @@ def queries() -> dict[str, Query]:
         "window_rolling": window_rolling,
         "window_number_hot_keys": window_number_hot_keys,
         "window_rolling_hot_keys": window_rolling_hot_keys,
+        "bucket_count_filled": bucket_count_filled,
+        "bucket_minutes_filled": bucket_minutes_filled,
         "window_sum_hot_keys": window_sum_hot_keys,
         "window_max_hot_keys": window_max_hot_keys,
         "window_rank_hot_keys": window_rank_hot_keys,
@@ -893,6 +913,28 @@ def oracle_sql() -> dict[str, str]:
                    count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate
                        RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS last_month
             FROM orders""",
+        "bucket_count_filled": """
+            WITH held AS (
+                SELECT o_orderstatus, date_trunc('hour', o_orderdate) AS b, count(o_orderkey) AS n,
+                       arg_max(o_custkey, (o_orderdate, o_custkey)) AS c
+                FROM orders WHERE o_custkey % 3 > 0 OR o_orderstatus = 'P' GROUP BY ALL),
+            spans AS (
+                SELECT o_orderstatus,
+                       unnest(generate_series(min(b), max(b), INTERVAL 1 HOUR)) AS b
+                FROM held GROUP BY o_orderstatus)
+            SELECT o_orderstatus, CAST(b AS TIMESTAMP) AS "$timestamp",
+                   coalesce(n, 0) AS "count(o_orderkey)",
+                   last_value(c IGNORE NULLS) OVER (PARTITION BY o_orderstatus ORDER BY b
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS customer
+            FROM spans LEFT JOIN held USING (o_orderstatus, b)""",
+        "bucket_minutes_filled": """
+            WITH held AS (
+                SELECT date_trunc('minute', ts) AS b, count(event_id) AS n FROM events GROUP BY 1),
+            spans AS (
+                SELECT unnest(generate_series(min(b), max(b), INTERVAL 1 MINUTE)) AS b FROM held)
+            SELECT CAST(date_trunc('day', b) AS TIMESTAMP) AS day, count(*) AS minutes,
+                   CAST(sum(coalesce(n, 0)) AS BIGINT) AS events, CAST(count_if(n IS NULL) AS BIGINT) AS empty
+            FROM spans LEFT JOIN held USING (b) GROUP BY 1""",
         "window_sum_hot_keys": f"""
             {_BUSY}, CAST(sum(o_custkey) OVER rolling AS BIGINT) AS total,
                    count(o_custkey) OVER rolling AS n, avg(o_custkey) OVER rolling AS mean

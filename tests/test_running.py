@@ -250,7 +250,7 @@ def test_segments_of_rolled_aggregates_are_even(spark):
         running.with_segment = plain
     for placed in seen[::2]:  # those of the rows; steps have one row for each instant
         sizes = [r["count"] for r in placed.groupBy("hot", "segment").count().collect()]
-        assert max(sizes) <= 2 * 4210 / 8
+        assert max(sizes) <= 2 * (2 * 4210) / 8  # each row asks in two blocks
 
 
 def test_other_keys_take_one_row_each(spark, rows):

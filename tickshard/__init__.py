@@ -6,6 +6,7 @@ from tickshard.operators import (
     asof_join,
     bucket_agg,
     bucket_count,
+    bucket_filled,
     counted_within,
     declare_schema,
     global_stats,
@@ -51,6 +52,7 @@ __all__ = [
     "asof_join",
     "bucket_agg",
     "bucket_count",
+    "bucket_filled",
     "compact_table",
     "counted_within",
     "declare_schema",

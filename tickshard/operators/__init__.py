@@ -1,6 +1,6 @@
 from tickshard.operators.asof import asof_join
 from tickshard.operators.axis import normalize_axis, time_range
-from tickshard.operators.buckets import bucket_agg, bucket_count
+from tickshard.operators.buckets import bucket_agg, bucket_count, bucket_filled
 from tickshard.operators.running import (
     counted_within,
     lagged,
@@ -18,6 +18,7 @@ __all__ = [
     "asof_join",
     "bucket_agg",
     "bucket_count",
+    "bucket_filled",
     "coerce",
     "counted_within",
     "declare_schema",
