@@ -91,6 +91,9 @@ def test_a_hot_shard_is_written_by_several_tasks(spark, table_name, tmp_path):
     rows = spark.range(0, 400_000, 1, 16).select(
         F.lit("2024-01-01").cast("timestamp_ntz").alias("$timestamp"), F.lit("x" * 40).alias("s")
     )
+    # read from files: rows of constants alone would be shuffled without their columns
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "8k")
