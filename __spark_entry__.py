@@ -451,6 +451,39 @@ def write_upsert_indexed(spark, sf_dir):
     return ts.read_table(spark, name)
 
 
+def _measured_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders, measured from the start, after an append, a truncation and an upsert that
+    moves rows to other shards."""
+    orders = _orders(spark, sf_dir)
+    urgent = orders.where("o_orderpriority = '1-URGENT' OR `$timestamp` < '1995-02-01'")
+    later = urgent.withColumn(AXIS, F.col(AXIS) + F.expr("INTERVAL 400 DAYS"))
+    doubled = ts.time_range(orders, "1996-01-01", "1996-06-15")
+    name = temp_name(spark, "run")
+    ts.write_dataframe(_until(orders, "1995-06-10"), name, shard_size="30d").compute()
+    ts.measure_columns(spark, name, ["o_totalprice", "o_custkey"])
+    ts.write_dataframe(_from(orders, "1995-06-10"), name).compute()
+    ts.write_dataframe(doubled, name, push_mode="truncate").compute()
+    options = {"deduplicate": ["o_orderkey"], "deduplication_mode": "upsert"}
+    ts.write_dataframe(later, name, **options).compute()
+    return name
+
+
+def global_stats_stored(spark, sf_dir):
+    """Statistics of a table that was written in four ways, from its stored moments."""
+    name = _measured_orders(spark, sf_dir)
+    stats = ts.stored_stats(spark, name, "o_totalprice", "o_custkey")
+    exact = stats.withColumn("sum_o_custkey", F.col("sum_o_custkey").cast("bigint"))
+    return _rounded(exact, *[c for c in stats.columns if c != "sum_o_custkey"])
+
+
+def range_stats_stored(spark, sf_dir):
+    """The same within ranges of time that cover some shards in part."""
+    name = _measured_orders(spark, sf_dir)
+    ranges = [("1993-03-07", "1995-11-02"), ("1997-01-01", "1997-01-05")]
+    stats = ts.stored_stats(spark, name, "o_totalprice", ranges=ranges)
+    return _rounded(stats, *stats.columns)
+
+
 # -- as-of joins and windows ---------------------------------------------------------
 
 
@@ -668,6 +701,8 @@ def queries() -> dict[str, Query]:
         "write_dedup_upsert": write_dedup_upsert,
         "write_upsert_moves": write_upsert_moves,
         "write_upsert_indexed": write_upsert_indexed,
+        "global_stats_stored": global_stats_stored,
+        "range_stats_stored": range_stats_stored,
         "asof_backward": asof_backward,
         "asof_hot_keys": asof_hot_keys,
         "asof_no_key": asof_no_key,
@@ -876,6 +911,16 @@ def oracle_sql() -> dict[str, str]:
                         THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS "$timestamp",
                    * EXCLUDE (o_orderdate)
             FROM orders""",
+        "global_stats_stored": f"""
+            SELECT {_stats_sql("o_totalprice", True)}, {_stats_sql("o_custkey", False)}
+            FROM orders""",
+        "range_stats_stored": f"""
+            SELECT {_stats_sql("o_totalprice", True)}
+            FROM (SELECT o_totalprice,
+                         CASE WHEN o_orderpriority = '1-URGENT' OR o_orderdate < '1995-02-01'
+                              THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS t
+                  FROM orders)
+            WHERE t >= '1993-03-07' AND t < '1995-11-02' OR t >= '1997-01-01' AND t < '1997-01-05'""",
         "asof_backward": _ASOF.format(keys="l.user_id = r.user_id AND"),
         "asof_hot_keys": _ASOF.format(keys="l.user_id = r.user_id AND"),
         "asof_no_key": _ASOF.format(keys=""),

@@ -28,7 +28,9 @@ from tickshard.plans.snapshots import (
     ConcurrentWriteError,
     compact_table,
     index_keys,
+    measure_columns,
     remove_replaced,
+    stored_stats,
 )
 from tickshard.plans.snapshots import drop as drop_table
 from tickshard.plans.temporary import expire_temp, materialize
@@ -66,6 +68,7 @@ __all__ = [
     "lagged",
     "led",
     "materialize",
+    "measure_columns",
     "nan_to_null",
     "normalize_axis",
     "numbered",
@@ -80,6 +83,7 @@ __all__ = [
     "result_schema",
     "rolled_within",
     "slice_bounds",
+    "stored_stats",
     "tiled",
     "time_range",
     "with_global_stats",

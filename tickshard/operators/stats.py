@@ -36,14 +36,16 @@ def global_stats(df: DataFrame, *columns: str) -> DataFrame:
     return nan_to_null(df, *columns).agg(*measures)
 
 
-def with_global_stats(df: DataFrame, *columns: str) -> DataFrame:
+def with_global_stats(df: DataFrame, *columns: str, stats: DataFrame | None = None) -> DataFrame:
     """*df* with the statistics of the whole frame on every row.
 
+    *stats* is the row of statistics if it is known, as from ``stored_stats``.
+
     The statistics are one scalar subquery: a single pass with partial
     aggregation whose one-row result enters the projection as a constant. Rows
     are neither shuffled nor joined.
     """
-    stats = global_stats(df, *columns)
+    stats = global_stats(df, *columns) if stats is None else stats
     row = stats.select(F.struct(*[named(c) for c in stats.columns])).scalar()
     extended = df.withColumn(_STATS, row)
     values = [F.col(_STATS).getField(c).alias(c) for c in stats.columns]

@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 from tickshard.functions.clock import instant_micros, width_micros
 from tickshard.names import AXIS, GEN, SHARD, quoted_column
-from tickshard.plans import files, keyindex
+from tickshard.operators.axis import any_of, merged_ranges, within
+from tickshard.plans import files, keyindex, moments
 from tickshard.plans.tables import (
     PARTITIONS_PER_STATEMENT,
     WIDTH_PROPERTY,
@@ -75,6 +76,8 @@ class Version:
     batches: dict[str, int] | None = None
     #: Key columns that generations have an index of.
     indexed: tuple[str, ...] = ()
+    #: Columns whose moments generations keep.
+    measured: tuple[str, ...] = ()
 
     def text(self) -> str:
         return json.dumps(self.__dict__)
@@ -85,7 +88,7 @@ class Version:
         held["open"] = {int(k): v for k, v in (held["open"] or {}).items()}
         held["batches"] = held["batches"] or {}
         held["lost"], held["dead"] = tuple(held["lost"]), tuple(map(tuple, held["dead"]))
-        held["indexed"] = tuple(held["indexed"])
+        held["indexed"], held["measured"] = tuple(held["indexed"]), tuple(held.get("measured", ()))
         return Version(**held)
 
     def hidden(self) -> list[int]:
@@ -221,7 +224,7 @@ class Stored:
             raise ValueError(f"{table!r} is not a table that write_dataframe made")
         self.folder, self.width = known[FOLDER_PROPERTY], int(known[WIDTH_PROPERTY])
         self.base = _latest(spark, self.folder)
-        self._indexed = self.base.indexed
+        self._indexed, self._measured = self.base.indexed, self.base.measured
 
     def rows(self) -> DataFrame:
         """The rows of the version that was read, with their ``$shard``."""
@@ -272,6 +275,13 @@ class Stored:
         )
         if self._indexed:
             self._index(gen, self._indexed)
+        if self._measured:
+            self._measure(gen, self._measured)
+
+    def _measure(self, gen: int, columns: Sequence[str]) -> None:
+        """Rows of a generation never change, so a row that is there twice counts once."""
+        own = moments.built(self._all().where(F.col(GEN) == gen), columns)
+        own.write.mode("append").parquet(moments.folder(self.folder, gen))
 
     def _index(self, gen: int, keys: Sequence[str]) -> None:
         own = keyindex.built(self._all().where(F.col(GEN) == gen), keys)
@@ -299,6 +309,34 @@ class Stored:
 
         _changed(self.spark, self.folder, indexed)
 
+    def measure(self, columns: Sequence[str]) -> None:
+        """Keep moments of *columns*, too, from now on, also for the rows that are stored."""
+        for gen in sorted({g for g, s in self.partitions() if self.base.sees(g, s)}):
+            self._measure(gen, columns)
+
+        def measured(now: Version) -> Version:
+            if now.changes != self.base.changes or now.open:
+                raise ConcurrentWriteError(f"{self.table!r} was changed while it was measured")
+            return replace(now, number=now.number + 1, measured=(*now.measured, *columns))
+
+        _changed(self.spark, self.folder, measured)
+
+    def moments(self) -> DataFrame:
+        """(shard, column, n, whole, part, spread) of what the version that was read holds.
+
+        Rows of removed partitions stay in the folder, so those the catalog knows decide.
+        """
+        schema = "shard bigint, column string, n bigint, whole decimal(38,0), part double, spread double"
+        known = [p for p in self.partitions() if self.base.sees(*p)]
+        if not known:
+            return self.spark.createDataFrame([], schema)
+        stored = self.spark.read.schema(f"{schema}, {quoted_column(GEN)} bigint").parquet(
+            moments.folder(self.folder)
+        )
+        pairs = self.spark.createDataFrame(known, f"{quoted_column(GEN)} bigint, shard bigint")
+        present = stored.join(pairs, [GEN, "shard"], "left_semi")
+        return present.dropDuplicates([GEN, "shard", "column"]).drop(GEN)
+
     def _claim(self) -> int:
         def claimed(now: Version) -> Version:
             gen = now.following
@@ -306,7 +344,8 @@ class Stored:
             return replace(now, number=now.number + 1, following=gen + 1, open=opened)
 
         version = _changed(self.spark, self.folder, claimed)
-        self._indexed = version.indexed  # no index is made while a generation is open
+        # Neither changes while a generation is open.
+        self._indexed, self._measured = version.indexed, version.measured
         return version.following - 1
 
     def _commit(self, gen: int, replaced: Runs, alone: bool, batch) -> None:
@@ -397,6 +436,7 @@ class Stored:
             if gen not in left:  # a folder of its own outlives the catalog's partitions
                 files.remove(self.spark, f"{self.folder}/{GEN}={gen}")
                 files.remove(self.spark, keyindex.folder(self.folder, gen))
+                files.remove(self.spark, moments.folder(self.folder, gen))
         for gen, shard in listed:
             if gen in left:
                 files.remove(self.spark, f"{self.folder}/{GEN}={gen}/{SHARD}={shard}")
@@ -437,6 +477,47 @@ def index_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
     stored.index(list(keys))
 
 
+def measure_columns(spark: SparkSession, table: str, columns: Sequence[str]) -> None:
+    """Keep count, sum and deviation of *columns* for each shard of each write.
+
+    ``stored_stats`` then answers without a scan, whatever is written later. It takes one
+    pass over the columns of what is stored, and later one over those of each write.
+    """
+    stored = Stored(spark, table)
+    wrong = moments.not_numbers(stored.rows().drop(SHARD).schema, columns)
+    if wrong or not columns:
+        raise ValueError(f"name stored columns of numbers to measure; got {list(columns)}")
+    if fresh := [c for c in dict.fromkeys(columns) if c not in stored.base.measured]:
+        stored.measure(fresh)
+
+
+def stored_stats(spark: SparkSession, table: str, *columns: str, ranges=None) -> DataFrame:
+    """What ``global_stats`` says of a measured table, from its stored moments.
+
+    No row is read. With *ranges* (half-open, as in ``read_ranges``) rows of the shards that
+    a range covers in part are read, and moments answer for the others. The frame describes
+    the version that was there at the call; sums of fractions can differ from those of a
+    scan in the last bits, as the order of addition does.
+    """
+    while True:
+        stored = Stored(spark, table)
+        if unknown := [c for c in columns if c not in stored.base.measured]:
+            raise ValueError(f"columns {unknown} of {table!r} are not measured")
+        held = stored.moments()
+        if _latest(spark, stored.folder).changes == stored.base.changes:
+            break  # no partition was removed between the version and the listing
+    held = held.where(F.col("column").isin(list(columns)))
+    if ranges is not None:
+        spans, width = merged_ranges(ranges), stored.width
+        full = [(-(-lo // width), hi // width - 1) for lo, hi in spans if hi // width > -(-lo // width)]
+        ends = {s for lo, hi in spans for s in (lo // width, (hi - 1) // width)}
+        ends = sorted(s for s in ends if not any(a <= s <= b for a, b in full))
+        inside = [F.col("shard").between(a, b) for a, b in full]
+        edges = stored.rows().where(F.col(SHARD).isin(ends) & within(spans))
+        held = held.where(any_of(inside)).unionByName(moments.built(edges, columns))
+    return moments.merged(held, columns, stored.rows().schema)
+
+
 def compact_table(spark: SparkSession, table: str, most: int = 1) -> None:
     """Write the shards that hold more than *most* generations anew as one each.
 
