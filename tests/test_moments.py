@@ -122,6 +122,23 @@ def test_a_measuring_that_failed_counts_once(spark, table_name, monkeypatch):
     check(spark, table_name)
 
 
+def test_an_append_that_others_overtook(spark, table_name, monkeypatch):
+    """Its rows go to a later generation; those of the first one do not count."""
+    ts.write_dataframe(rows(spark, range(12)), table_name).compute()
+    ts.measure_columns(spark, table_name, ["x", "n of"])
+    insert, other = Stored._insert, [rows(spark, [1, 6], 50.0)]
+
+    def slow(self, gen, frame, cluster):
+        insert(self, gen, frame, cluster)
+        if other:
+            ts.write_dataframe(other.pop(), table_name, push_mode="truncate").compute()
+
+    monkeypatch.setattr(Stored, "_insert", slow)
+    ts.write_dataframe(rows(spark, [2, 30], 9.0), table_name).compute()
+    assert ts.read_table(spark, table_name).where("k IN (2, 30)").count() == 2
+    check(spark, table_name)
+
+
 def test_values_far_from_zero_and_beyond_64_bits(spark, table_name):
     held = [(START + i * DAY, i, 1e9 + i % 3, 2**62 + i) for i in range(30)]
     frame = spark.createDataFrame(held, "`$timestamp` timestamp_ntz, k bigint, x double, w bigint")
