@@ -3,10 +3,14 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tickshard.llm import near
+from tickshard.llm.components import components
 from tickshard.llm.near import near_duplicates
+from tickshard.llm.scratch import Scratch
 
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -125,3 +129,46 @@ def test_ids_with_several_texts_keep_all_links(frame):
     rows = [(1, texts[0]), (1, texts[1]), (2, close[0]), (3, close[1]), (4, "something else")]
     got = near_duplicates(frame(rows, "doc_id bigint, text string"), 2).collect()
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)} and len(got) == 5
+
+
+def test_a_task_of_a_long_list_holds_few_shingles(spark, monkeypatch):
+    """Few members with large sets are cut into blocks, too."""
+    monkeypatch.setattr(near, "SHORT_LIST", 4)
+    monkeypatch.setattr(near, "BLOCK_ITEMS", 1000, raising=False)
+    held = lambda left: pa.table({"a": [left.num_rows], "b": [sum(map(len, left.column("items").to_pylist()))]})
+    monkeypatch.setattr(near, "_forest", held)
+    reps = spark.range(100).withColumnRenamed("id", "rep")
+    members = reps.selectExpr("1L AS value", "rep", "100L AS n", "100L AS length")
+    sets = reps.select("rep", F.sequence(F.col("rep"), F.col("rep") + 99).alias("items"))
+    labels = spark.createDataFrame([], "rep bigint, comp bigint")
+    tasks = near._long_list_links(members, labels, sets).collect()
+    assert sum(t.b for t in tasks) == 10 * 100 * 100  # ten blocks: each member meets all of them
+    assert len(tasks) == 55 and max(t.b for t in tasks) <= 5000
+
+
+@pytest.mark.parametrize("items", [300, 2000])
+def test_blocks_by_shingles_lose_no_link(frame, monkeypatch, items):
+    monkeypatch.setattr(near, "SHORT_LIST", 4)
+    monkeypatch.setattr(near, "BLOCK_ITEMS", items, raising=False)
+    rows = near_copies(80, 14) + [(1000 + i, t) for i, (_, t) in enumerate(near_copies(30, 3, 8))]
+    assert found(frame(rows, "doc_id bigint, text string"), 2) == brute(rows, 2)
+
+
+def test_groups_are_contracted_once(frame, monkeypatch):
+    """Links that lists add join groups; the links inside these are not worked through again."""
+    monkeypatch.setattr(near, "SHORT_LIST", 4)
+    given, stored = [], []
+    store = Scratch.store
+
+    def noted(edges, scratch):
+        given.append({tuple(r) for r in edges.collect()})
+        before = len(stored)
+        labels = components(edges, scratch)
+        assert (len(stored) - before) % 3 == 0  # a round stores three tables, nothing else is
+        return labels
+
+    monkeypatch.setattr(Scratch, "store", lambda self, df: stored.append(1) or store(self, df))
+    monkeypatch.setattr(near, "components", noted)
+    rows = near_copies(150, 14)
+    assert found(frame(rows, "doc_id bigint, text string"), 2) == brute(rows, 2)
+    assert len(given) == 2 and given[1] and not given[0] & given[1]

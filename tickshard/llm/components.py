@@ -15,8 +15,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     and replaces nodes by what they point at. Edges inside one node vanish, so the graph
     shrinks until none is left; a chain of n nodes takes about log4(n) rounds. All state
     is in tables; nothing but the question whether edges are left comes to the driver.
+    *edges* are read several times and should be stored; a pair may occur more than once.
     """
-    edges = scratch.store(edges.where("a <> b").distinct())
+    edges = edges.where("a <> b")
     labels = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -36,8 +36,9 @@ SKETCH_BITS = 20
 SKETCH_BLOCK = 1 << 14
 #: Lists up to this many members are paired by a join.
 SHORT_LIST = 32
-#: Members of a long list that one side of a task holds, on average.
+#: Members of a long list that one side of a task holds, and shingles of their sets, on average.
 BLOCK = 512
+BLOCK_ITEMS = 1 << 20
 #: Bits of the filter that keeps texts without a candidate pair out of a shuffle.
 FILTER_BITS = 1 << 24
 
@@ -286,13 +287,18 @@ def _forest(left):
 
 
 def _long_list_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between classes that still meet in a long list."""
-    long_lists = members.where(F.col("length") > SHORT_LIST).select("value", "rep", "length")
+    """Links between groups (by their labels) that still meet in a long list."""
+    long_lists = members.where(F.col("length") > SHORT_LIST).select("value", "rep", "n", "length")
     named = long_lists.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    spread = named.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_lists = spread.where("lo <> hi").select("value")
-    left = named.join(open_lists, "value", "left_semi").join(sets, "rep")
-    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    fullness = F.greatest(F.max("length") / BLOCK, F.sum("n") / BLOCK_ITEMS)
+    spread = named.groupBy("value").agg(
+        F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"),
+        F.ceil(fullness).cast("int").alias("blocks"),
+    )
+    open_lists = spread.where("lo <> hi").select("value", "blocks")
+    left = named.select("value", "rep", "comp").join(open_lists, "value").join(sets, "rep")
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     dealt = left.select("value", "rep", "comp", "items", own.alias("block"), other)
@@ -367,14 +373,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
         ids = scratch.store(ids.distinct())
         sets = scratch.store(_full_sets(docs, ids, shingle))
         links = scratch.store(_confirmed(likely, sets))
-        labels = scratch.store(components(links, scratch))
-        more = scratch.store(_long_list_links(members, labels.withColumnRenamed("node", "rep"), sets))
-        if not more.isEmpty():
-            labels = components(links.unionByName(more), scratch)
-        named = classes.select(*keys, "rep").join(
-            labels.withColumnRenamed("node", "rep"), "rep", "left"
-        )
+        labels = components(links, scratch).withColumnRenamed("node", "rep")
+        more = scratch.store(_long_list_links(members, labels, sets))
+        named = classes.select(*keys, "rep").join(labels, "rep", "left")
         groups = named.select(*keys, F.coalesce("comp", "rep").alias("group"))
+        if not more.isEmpty():
+            joined = components(more, scratch).withColumnRenamed("node", "group")
+            groups = groups.join(joined, "group", "left").select(
+                *keys, F.coalesce("comp", "group").alias("group")
+            )
         found = prints.drop("sig").join(groups, keys, "left")
         alone = F.coalesce("group", "doc_id")
         component = F.when(F.col("doc_id").isNotNull(), alone).alias("component_id")
