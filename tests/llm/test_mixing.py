@@ -65,6 +65,15 @@ def test_targets_and_taken_words(frame, monkeypatch, cell):
     assert sorted(map(key, found)) == sorted(map(key, again))
 
 
+@pytest.mark.parametrize("words", [429_496_729, 429_496_730, (1 << 31) - 1, 1 << 31, 10**18])
+def test_targets_of_many_words(frame, words):
+    # 5 times the words is no int from the second on; the words themselves are one up to the third
+    sizes = {"a": words // 2, "b": words // 4, None: words - words // 2 - words // 4}
+    rows = [(s, size, weight) for (s, size), weight in zip(sizes.items(), (5, 2, 1))]
+    found = mixing.targets(frame(rows, "source string, source_size bigint, weight int")).collect()
+    assert {r.source: r.target for r in found} == pytest.approx(plain_targets(sizes), rel=1e-15)
+
+
 def test_mix_follows_the_schedules(frame):
     docs = [(i, " ".join([f"w{i}"] * 10), s, "x") for i, s in enumerate(["a", "b", "c"] * 2000)]
     rows = mixing.mix(frame(docs, DOCS), weights=(1, 1, 1)).collect()

@@ -135,7 +135,8 @@ def targets(sources: DataFrame, repeats: int = REPEATS) -> DataFrame:
         full, left, weights = n, total - taken, open_weights
         if not weights:
             return sources.withColumn("target", most.cast("double"))
-    share = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(weights))
+    # a literal is an int or a bigint by its value, so a plain product would overflow
+    share = (F.col("weight") * wide(F.lit(left))).cast("double") / F.lit(float(weights))
     return sources.withColumn("target", F.when(above, most.cast("double")).otherwise(share))
 
 
